@@ -103,11 +103,16 @@ def parse_numeric(c, precision: int = 38, scale: int = 9) -> Column:
 def parse_time(c) -> Column:
     """``java.sql.Time.valueOf``: ``h:m:s`` as three ints, rolled over leniently to ``HH:mm:ss``."""
     v = as_col(c)
-    parts = [F.regexp_extract(v, TIME_RE, i).try_cast("int") for i in (1, 2, 3)]
-    secs = parts[0].cast("bigint") * 3600 + parts[1].cast("bigint") * 60 + parts[2].cast("bigint")
+    parts = F.split(v, ":")
+    h, m, s = (F.get(parts, i).try_cast("int") for i in range(3))
+    secs = h.cast("bigint") * 3600 + m.cast("bigint") * 60 + s.cast("bigint")
     day = F.pmod(secs, F.lit(86400))
-    text = F.format_string("%02d:%02d:%02d", (day / 3600).cast("int"), ((day % 3600) / 60).cast("int"), (day % 60).cast("int"))
-    ok = v.rlike(TIME_RE) & parts[0].isNotNull() & parts[1].isNotNull() & parts[2].isNotNull()
+
+    def two(x: Column) -> Column:
+        return F.lpad(x.cast("string"), 2, "0")
+
+    text = F.concat_ws(":", two(F.floor(day / 3600)), two(F.floor((day % 3600) / 60)), two(day % 60))
+    ok = v.rlike(TIME_RE) & h.isNotNull() & m.isNotNull() & s.isNotNull()
     return F.when(ok, text)
 
 

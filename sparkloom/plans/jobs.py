@@ -39,7 +39,7 @@ def staged(spark: SparkSession, fields: list[sch.Field], table: str | None = Non
     if prune:
         present = set(raw.columns)
         raw = raw.select(*[c for c in sch.raw_projection(fields) if c in present])
-    return staging.stage(raw, fields, on_error=on_error)
+    return staging.stage(readers.spread(raw), fields, on_error=on_error)
 
 
 def raw_to_staging(spark: SparkSession, *, output: str, table: str | None = None, query: str | None = None,

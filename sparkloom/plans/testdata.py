@@ -12,13 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom import schema as sch
+from sparkloom.sources import readers
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table. ``spread``: for CPU-heavy row-local queries, use all cores even when the
+    file is a single split (see ``readers.spread``; a no-op on large inputs)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return readers.spread(df) if spread else df
 
 
 def lines_of(df: DataFrame, expr: str) -> DataFrame:

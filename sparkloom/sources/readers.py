@@ -40,3 +40,16 @@ def read_pruned(spark: SparkSession, table: str, fields: list[Field]) -> DataFra
     """Only the schema's columns (minus the load-time column) are read; Catalyst turns the
     projection into the parquet ``ReadSchema`` so other columns are never decoded."""
     return read_table(spark, table=table).select(*raw_projection(fields))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores (for example one small,
+    single-row-group file) before CPU-heavy row-local work. At scale the input has far more
+    splits than cores and this returns ``df`` unchanged - no shuffle is added.
+
+    The round-robin repartition is retry-safe: Spark sorts rows before distributing them, so a
+    recomputed map task after an executor loss sends every row to the same partition again."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
