@@ -1,0 +1,61 @@
+"""Plan-shape assertions: no Python in any registered plan, pushdown/pruning, shuffle counts."""
+
+import re
+
+import pytest
+
+from sparkloom.plans.registry import QUERIES
+
+SF = "/root/testdata/sf0.001"
+PYTHON_NODES = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
+                "PythonMapInArrow")
+SINK_QUERIES = {"partition_overwrite", "ingestion_partition", "table_sink_append", "table_sink_truncate",
+                "text_roundtrip", "header_roundtrip", "tagged_sink"}
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SINK_QUERIES))
+def test_no_python_in_plan(spark, name):
+    p = plan(QUERIES[name](spark, SF))
+    assert not any(node in p for node in PYTHON_NODES), p
+
+
+def test_sum_is_partial_then_one_shuffle(spark):
+    p = plan(QUERIES["sum_per_key"](spark, SF))
+    assert "partial_sum" in p
+    assert len(re.findall(r"Exchange hashpartitioning", p)) == 1
+
+
+def test_staging_has_no_key_shuffle(spark):
+    p = plan(QUERIES["staging_reset_on_error"](spark, SF))
+    assert "hashpartitioning" not in p and "rangepartitioning" not in p
+
+
+def test_pruned_scan_reads_only_schema_columns(spark):
+    p = plan(QUERIES["pruned_source"](spark, SF))
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string>" in p
+
+
+def test_filter_pushed_to_scan(spark):
+    from pyspark.sql import functions as F
+    from sparkloom.plans import testdata as D
+
+    df = D.table(spark, SF, "orders").where(F.col("o_orderstatus") == "F").select("o_orderkey")
+    p = plan(df)
+    assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)]" in p
+
+
+def test_cogroup_is_one_union_then_grouping(spark):
+    p = plan(QUERIES["cogroup"](spark, SF))
+    assert p.count("Union") == 1
+    assert len(re.findall(r"Exchange rangepartitioning", p)) == 1
+    assert "SortMergeJoin" not in p and "BroadcastHashJoin" not in p
+
+
+def test_max_filter_uses_scalar_subquery(spark):
+    p = plan(QUERIES["max_length_filter"](spark, SF))
+    assert "Subquery" in p
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
