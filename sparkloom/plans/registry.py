@@ -92,7 +92,7 @@ def q_multi_output(spark, d):
 
 # ---- delimited lines -------------------------------------------------------------------------------
 def _session_lines(spark, d):
-    return D.with_line(spark, D.lines_of(D.table(spark, d, "events", spread=True), D.SESSION_LINES), jobs.SESSION_HEADER)
+    return D.with_line(spark, D.lines_of(D.table(spark, d, "events"), D.SESSION_LINES), jobs.SESSION_HEADER)
 
 
 def q_skip_header_prefix(spark, d):
@@ -125,7 +125,7 @@ def q_project_field(spark, d):
 # ---- typed parses ---------------------------------------------------------------------------------
 def _cast_query(type_name: str, table: str, key: str, raw: str, render=None) -> Query:
     def q(spark, d):
-        src = D.table(spark, d, table, spread=True).select(F.col(key).alias("key"), F.expr(raw).alias("raw"))
+        src = readers.spread(D.table(spark, d, table).select(F.col(key).alias("key"), F.expr(raw).alias("raw")))
         value = casts.parse_as(F.col("raw"), type_name)
         if render is not None:
             value = render(value)
@@ -145,7 +145,7 @@ q_cast_time = _cast_query("TIME", "events", "event_id", D.RAW_TIME)
 
 # ---- staging ----------------------------------------------------------------------------------------
 def _staged_orders(spark, d, raw_exprs, on_error="reset"):
-    raw = D.raw_frame(D.table(spark, d, "orders", spread=True), raw_exprs)
+    raw = D.raw_frame(D.table(spark, d, "orders"), raw_exprs)
     return staging.stage(raw, D.ORDER_FIELDS, on_error=on_error)
 
 
@@ -155,19 +155,19 @@ def q_staging_reset_on_error(spark, d):
 
 def q_staging_typed(spark, d):
     fields = sch.from_json_text(_order_schema_json())
-    raw = D.raw_frame(D.table(spark, d, "orders", spread=True), D.RAW_ORDERS_CLEAN)
+    raw = D.raw_frame(D.table(spark, d, "orders"), D.RAW_ORDERS_CLEAN)
     return comparable(staging.stage(raw, fields), fields)
 
 
 def q_staging_strict(spark, d):
     fields = [f for f in D.ORDER_FIELDS if f.type != "TIME"]
-    raw = D.raw_frame(D.table(spark, d, "orders", spread=True), D.RAW_ORDERS_CLEAN)
+    raw = D.raw_frame(D.table(spark, d, "orders"), D.RAW_ORDERS_CLEAN)
     return comparable(staging.stage(raw, fields, on_error="strict"), fields)
 
 
 def q_staging_schema_string(spark, d):
     fields = sch.from_pipe_string(D.LINEITEM_SCHEMA_STRING)
-    raw = D.raw_frame(D.table(spark, d, "lineitem", spread=True), D.RAW_LINEITEM)
+    raw = D.raw_frame(D.table(spark, d, "lineitem"), D.RAW_LINEITEM)
     return comparable(staging.stage(raw, fields), fields)
 
 

@@ -18,15 +18,14 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A driver table. ``spread``: for CPU-heavy row-local queries, use all cores even when the
-    file is a single split (see ``readers.spread``; a no-op on large inputs)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return readers.spread(df) if spread else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def lines_of(df: DataFrame, expr: str) -> DataFrame:
-    return df.select(F.expr(expr).alias("value"))
+    """One text line per row. Spread over all cores when the scan is a single split (a no-op on
+    large inputs); done after the projection so the scan stays pruned to the columns used."""
+    return readers.spread(df.select(F.expr(expr).alias("value")))
 
 
 def with_line(spark: SparkSession, lines: DataFrame, line: str) -> DataFrame:
@@ -183,4 +182,5 @@ RAW_LINEITEM = {
 
 
 def raw_frame(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
-    return df.select(*[F.expr(e).alias(name) for name, e in exprs.items()])
+    """All-string raw rows (spread after the projection, like ``lines_of``)."""
+    return readers.spread(df.select(*[F.expr(e).alias(name) for name, e in exprs.items()]))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sparkloom.schema import Field, raw_projection
 
@@ -47,9 +48,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     single-row-group file) before CPU-heavy row-local work. At scale the input has far more
     splits than cores and this returns ``df`` unchanged - no shuffle is added.
 
-    The round-robin repartition is retry-safe: Spark sorts rows before distributing them, so a
-    recomputed map task after an executor loss sends every row to the same partition again."""
+    Rows are hash-partitioned on their own content: deterministic, so a map task recomputed after
+    an executor loss routes every row to the same partition again, and - unlike a round-robin
+    repartition - no per-task sort is needed to make it so."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, F.xxhash64(*[F.col(c) for c in df.columns]))
