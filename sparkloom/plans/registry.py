@@ -138,7 +138,12 @@ q_cast_boolean = _cast_query("BOOLEAN", "orders", "o_orderkey", D.RAW_BOOLEAN)
 q_cast_date = _cast_query("DATE", "orders", "o_orderkey", D.RAW_DATE)
 q_cast_datetime = _cast_query("DATETIME", "events", "event_id", D.RAW_DATETIME)
 q_cast_timestamp = _cast_query("TIMESTAMP", "events", "event_id", D.RAW_TIMESTAMP, F.unix_micros)
-q_cast_float = _cast_query("FLOAT", "lineitem", "l_orderkey", D.RAW_FLOAT)
+def q_cast_float(spark, d):
+    """FLOAT parse; NaN is reported as a flag (NaN never equals itself, so no value hash can match it)."""
+    parsed = _cast_query("FLOAT", "lineitem", "l_orderkey", D.RAW_FLOAT)(spark, d)
+    nan = F.isnan(F.col("value"))
+    return parsed.select("key", "raw", F.when(~nan, F.col("value")).alias("value"),
+                         F.coalesce(nan, F.lit(False)).alias("is_nan"))
 q_cast_numeric = _cast_query("NUMERIC", "lineitem", "l_orderkey", D.RAW_NUMERIC)
 q_cast_time = _cast_query("TIME", "events", "event_id", D.RAW_TIME)
 
@@ -359,7 +364,9 @@ ORACLE: dict[str, str] = {
     "cast_date": O.cast_sql("DATE", O.RAW_DATE, "orders", "o_orderkey"),
     "cast_datetime": O.cast_sql("DATETIME", O.RAW_DATETIME, "events", "event_id"),
     "cast_timestamp": O.cast_sql("TIMESTAMP", O.RAW_TIMESTAMP, "events", "event_id"),
-    "cast_float": O.cast_sql("FLOAT", O.RAW_FLOAT, "lineitem", "l_orderkey"),
+    "cast_float": (f"SELECT key, raw, CASE WHEN NOT isnan(value) THEN value END AS value, "
+                   f"coalesce(isnan(value), false) AS is_nan "
+                   f"FROM ({O.cast_sql('FLOAT', O.RAW_FLOAT, 'lineitem', 'l_orderkey')})"),
     "cast_numeric": O.cast_sql("NUMERIC", O.RAW_NUMERIC, "lineitem", "l_orderkey"),
     "cast_time": O.cast_sql("TIME", O.RAW_TIME, "events", "event_id"),
     "staging_reset_on_error": O.staging_sql(D.ORDER_FIELDS, O.RAW_ORDERS_DIRTY, "orders"),
