@@ -59,5 +59,9 @@ def field(c, index: int, sep: str = ",") -> Column:
 
 
 def utf16_length(c) -> Column:
-    """``String.length()`` counts UTF-16 code units; Spark's ``length`` counts code points."""
-    return (F.octet_length(F.encode(as_col(c), "UTF-16BE")) / F.lit(2)).cast("bigint")
+    """``String.length()`` counts UTF-16 code units; Spark's ``length`` counts code points.
+    ASCII strings (bytes == code points) take the cheap path; others are measured in UTF-16."""
+    v = as_col(c)
+    n = F.length(v).cast("bigint")
+    return F.when(F.octet_length(v) == n, n).otherwise(
+        (F.octet_length(F.encode(v, "UTF-16BE")) / F.lit(2)).cast("bigint"))

@@ -51,15 +51,27 @@ def parse_kv_lines(lines: DataFrame, line_col: str = "value", sep: str = ",",
 # --------------------------------------------------------------------------------------------
 def group_runs(df: DataFrame, key: str, value: str, tag: str | None = None, as_text: bool = False) -> DataFrame:
     """(key[, tag], _run, vs) where ``vs`` is a sorted slice of the key's values; the runs of a key,
-    ordered by ``_run``, concatenate to the key's fully sorted value list. ``as_text`` renders each
-    slice as ``a, b, c`` in the run (column ``txt``) so the final assembly only joins strings."""
+    ordered by ``_run``, concatenate to the key's fully sorted value list (duplicates kept).
+    ``as_text`` renders each slice as ``a, b, c`` in the run (column ``txt``) so the final assembly
+    only joins strings.
+
+    1. Copies of one (key, value) pair collapse to a count, map-side first (partial aggregation):
+       even a single pair repeated across a third of all rows becomes one row per map task.
+    2. The distinct pairs are range-partitioned on (key, value). The sampling for the range bounds
+       reads the materialised output of step 1, so the upstream scan is not computed twice, and a
+       hot key's value range is cut over as many partitions as its size needs.
+    3. Each partition sorts its (bounded) slice per key; the slice is expanded back to all copies.
+    """
     keys = [key] + ([tag] if tag else [])
-    ranged = df.select(*keys, value).repartitionByRange(*keys, value)
-    runs = ranged.groupBy(*keys, F.spark_partition_id().alias(RUN)).agg(
-        F.array_sort(F.collect_list(value)).alias("vs"))
+    pairs = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    ranged = pairs.repartitionByRange(*keys, value)
+    slices = ranged.groupBy(*keys, F.spark_partition_id().alias(RUN)).agg(
+        F.array_sort(F.collect_list(F.struct(value, "_n"))).alias("_vn"))
     if as_text:
-        runs = runs.select(*keys, RUN, join_values("vs").alias("txt"))
-    return runs
+        rendered = F.transform("_vn", lambda x: F.array_join(F.array_repeat(x[value].cast("string"), x["_n"].cast("int")), LIST_SEP))
+        return slices.select(*keys, RUN, F.array_join(rendered, LIST_SEP).alias("txt"))
+    expanded = F.flatten(F.transform("_vn", lambda x: F.array_repeat(x[value], x["_n"].cast("int"))))
+    return slices.select(*keys, RUN, expanded.alias("vs"))
 
 
 def _ordered(parts: Column, field_name: str) -> Column:

@@ -90,6 +90,37 @@ def q_multi_output(spark, d):
     return routed.select("tag", "k", "line")
 
 
+# ---- whole document texts --------------------------------------------------------------------------
+def _doc_words(spark, d):
+    """(word, doc_id) for every word of every whole text (split on spaces and line breaks)."""
+    docs = readers.spread(D.table(spark, d, "documents").select("doc_id", "text"))
+    words = F.filter(F.split(F.col("text"), D.WORD_SPLIT), lambda w: w != F.lit(""))
+    return docs.select(F.explode(words).alias("k"), F.col("doc_id").alias("v"))
+
+
+def q_word_doc_groups(spark, d):
+    """A1/P6 over real text: very common words are hot keys holding a large share of all pairs."""
+    return keyed.group_lines(_doc_words(spark, d))
+
+
+def q_word_counts(spark, d):
+    """U1 composite over real text: occurrences per word (partial aggregation absorbs hot words)."""
+    counted = _doc_words(spark, d).select("k", F.lit(1).cast("bigint").alias("v"))
+    return counted.transform(keyed.sum_lines)
+
+
+def q_longest_words(spark, d):
+    """F4/J2 over real text: the longest words of all documents with the ids of their documents."""
+    return keyed.group_lines(keyed.filter_by_max_length(_doc_words(spark, d)))
+
+
+def q_text_source_lines(spark, d):
+    """K1 + S1 with whole multi-line texts: write every document as text, read the lines back."""
+    target = shared_dir(spark, "doc-text")
+    text.write_lines(D.table(spark, d, "documents").select("text"), target)
+    return readers.read_lines(spark, target)
+
+
 # ---- delimited lines -------------------------------------------------------------------------------
 def _session_lines(spark, d):
     return D.with_line(spark, D.lines_of(D.table(spark, d, "events"), D.SESSION_LINES), jobs.SESSION_HEADER)
@@ -284,6 +315,10 @@ def q_tagged_sink(spark, d):
 
 QUERIES: dict[str, Query] = {
     "split_lines": q_split_lines,
+    "word_doc_groups": q_word_doc_groups,
+    "word_counts": q_word_counts,
+    "longest_words": q_longest_words,
+    "text_source_lines": q_text_source_lines,
     "group_by_key": q_group_by_key,
     "sum_per_key": q_sum_per_key,
     "global_max": q_global_max,
@@ -340,8 +375,15 @@ _SINK_SECOND = ("SELECT o_orderkey, o_orderstatus, 'R-' || o_orderpriority AS o_
                 "CAST(o_orderdate AS DATE) AS o_orderdate FROM orders WHERE o_orderstatus = 'F'")
 _SESSION_DATA = f"SELECT {O.SESSION_RECODED} AS value FROM events"
 
+_WORDS = (f"(SELECT w AS k, doc_id AS v FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '{D.WORD_SPLIT}')) AS w "
+          f"FROM documents) WHERE w <> '')")
+
 ORACLE: dict[str, str] = {
     "split_lines": "SELECT o_orderpriority AS k, o_orderkey AS v FROM orders",
+    "word_doc_groups": O.group_line_sql("k", "v", _WORDS),
+    "word_counts": (f"SELECT k, k || ':' || CAST(count(*) AS VARCHAR) AS line FROM {_WORDS} GROUP BY k"),
+    "longest_words": O.group_line_sql("k", "v", _WORDS, f"WHERE length(k) = (SELECT max(length(k)) FROM {_WORDS})"),
+    "text_source_lines": "SELECT unnest(string_split(text, chr(10))) AS value FROM documents",
     "group_by_key": O.group_line_sql("o_orderpriority", "o_custkey", "orders"),
     "sum_per_key": ("SELECT l_returnflag || l_linestatus AS k, l_returnflag || l_linestatus || ':' || "
                     "CAST(CAST(sum(l_partkey) AS BIGINT) AS VARCHAR) AS line FROM lineitem "

@@ -39,6 +39,9 @@ PRIORITY_ORDER_LINES = "concat(o_orderpriority, ', ', CAST(o_orderkey AS STRING)
 FLAG_PART_LINES = "concat(l_returnflag, l_linestatus, ', ', CAST(l_partkey AS STRING))"
 PART_NAME_LINES = "concat(p_name, ', ', CAST(p_partkey AS STRING))"
 
+# Words of a document: maximal runs of characters other than space and line feed.
+WORD_SPLIT = "[ \n]+"
+
 # ---- delimited-line inputs ---------------------------------------------------------------------
 SESSION_LINES = (
     "concat_ws(',', CAST(event_id AS STRING), CAST(user_id AS STRING), event_type, props, "

@@ -120,3 +120,19 @@ def test_hot_key_is_split_across_runs(spark):
     assert vs == sorted(vs) and len(vs) == 20000
     line = keyed.group_lines(hot).collect()[0].line
     assert line == "hot:[" + ", ".join(str(i) for i in range(20000)) + "]"
+
+
+def test_repeated_pair_collapses_before_shuffle(spark):
+    """One (key, value) pair repeated many times is counted map-side, then expanded in the output."""
+    from pyspark.sql import functions as F
+
+    rep = spark.range(0, 5000).select(F.lit("hot").alias("k"), F.lit(5).cast("bigint").alias("v"))
+    other = spark.createDataFrame([("hot", 3), ("hot", 9), ("cold", 1)], "k string, v bigint")
+    df = rep.unionByName(other)
+    line = {r.k: r.line for r in keyed.group_lines(df).collect()}
+    assert line["hot"] == "hot:[3, " + ", ".join(["5"] * 5000) + ", 9]"
+    assert line["cold"] == "cold:[1]"
+    plan = keyed.group_lines(df)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan
+    vs = {r.k: r.vs for r in keyed.group_by_key(df).collect()}
+    assert vs["hot"] == [3] + [5] * 5000 + [9]
