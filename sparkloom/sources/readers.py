@@ -44,14 +44,16 @@ def read_pruned(spark: SparkSession, table: str, fields: list[Field]) -> DataFra
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores (for example one small,
-    single-row-group file) before CPU-heavy row-local work. At scale the input has far more
-    splits than cores and this returns ``df`` unchanged - no shuffle is added.
+    """Spread a scan that yields at most half as many splits as the cluster has cores (for example
+    one small, single-row-group file) before CPU-heavy row-local work. At scale the input has far
+    more splits than cores and this returns ``df`` unchanged - no shuffle is added.
 
     Rows are hash-partitioned on their own content: deterministic, so a map task recomputed after
     an executor loss routes every row to the same partition again, and - unlike a round-robin
     repartition - no per-task sort is needed to make it so."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    # Only when the input would leave most cores idle: re-shuffling an input that already uses
+    # more than half of the cluster costs more than the extra parallelism returns.
+    if df.rdd.getNumPartitions() * 2 > target:
         return df
     return df.repartition(target, F.xxhash64(*[F.col(c) for c in df.columns]))
