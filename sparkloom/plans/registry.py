@@ -93,7 +93,7 @@ def q_multi_output(spark, d):
 # ---- whole document texts --------------------------------------------------------------------------
 def _doc_words(spark, d):
     """(word, doc_id) for every word of every whole text (split on spaces and line breaks)."""
-    docs = readers.spread(D.table(spark, d, "documents").select("doc_id", "text"))
+    docs = D.table(spark, d, "documents").select("doc_id", "text")
     words = F.filter(F.split(F.col("text"), D.WORD_SPLIT), lambda w: w != F.lit(""))
     return docs.select(F.explode(words).alias("k"), F.col("doc_id").alias("v"))
 
@@ -156,7 +156,7 @@ def q_project_field(spark, d):
 # ---- typed parses ---------------------------------------------------------------------------------
 def _cast_query(type_name: str, table: str, key: str, raw: str, render=None) -> Query:
     def q(spark, d):
-        src = readers.spread(D.table(spark, d, table).select(F.col(key).alias("key"), F.expr(raw).alias("raw")))
+        src = D.table(spark, d, table).select(F.col(key).alias("key"), F.expr(raw).alias("raw"))
         value = casts.parse_as(F.col("raw"), type_name)
         if render is not None:
             value = render(value)

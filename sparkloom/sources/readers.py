@@ -43,7 +43,7 @@ def read_pruned(spark: SparkSession, table: str, fields: list[Field]) -> DataFra
     return read_table(spark, table=table).select(*raw_projection(fields))
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None, by: list[str] | None = None) -> DataFrame:
     """Spread a scan that yields at most half as many splits as the cluster has cores (for example
     one small, single-row-group file) before CPU-heavy row-local work. At scale the input has far
     more splits than cores and this returns ``df`` unchanged - no shuffle is added.
@@ -56,4 +56,5 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     # more than half of the cluster costs more than the extra parallelism returns.
     if df.rdd.getNumPartitions() * 2 > target:
         return df
-    return df.repartition(target, F.xxhash64(*[F.col(c) for c in df.columns]))
+    cols = by or df.columns  # a unique key spreads evenly and lets Catalyst keep the scan pruned
+    return df.repartition(target, F.xxhash64(*[F.col(c) for c in cols]))
