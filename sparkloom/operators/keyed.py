@@ -68,7 +68,8 @@ def group_runs(df: DataFrame, key: str, value: str, tag: str | None = None, as_t
     slices = ranged.groupBy(*keys, F.spark_partition_id().alias(RUN)).agg(
         F.array_sort(F.collect_list(F.struct(value, "_n"))).alias("_vn"))
     if as_text:
-        rendered = F.transform("_vn", lambda x: F.array_join(F.array_repeat(x[value].cast("string"), x["_n"].cast("int")), LIST_SEP))
+        rendered = F.transform("_vn", lambda x: F.array_join(
+            F.array_repeat(F.coalesce(x[value].cast("string"), F.lit("null")), x["_n"].cast("int")), LIST_SEP))
         return slices.select(*keys, RUN, F.array_join(rendered, LIST_SEP).alias("txt"))
     expanded = F.flatten(F.transform("_vn", lambda x: F.array_repeat(x[value], x["_n"].cast("int"))))
     return slices.select(*keys, RUN, expanded.alias("vs"))

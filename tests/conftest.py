@@ -19,6 +19,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="sparkloom-test-wh-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

@@ -122,6 +122,11 @@ def test_hot_key_is_split_across_runs(spark):
     assert line == "hot:[" + ", ".join(str(i) for i in range(20000)) + "]"
 
 
+def test_null_values_render_as_null(spark):
+    df = spark.createDataFrame([("a", 2), ("a", None), ("a", 1)], "k string, v bigint")
+    assert keyed.group_lines(df).collect()[0].line == "a:[null, 1, 2]"
+
+
 def test_repeated_pair_collapses_before_shuffle(spark):
     """One (key, value) pair repeated many times is counted map-side, then expanded in the output."""
     from pyspark.sql import functions as F
@@ -136,3 +141,11 @@ def test_repeated_pair_collapses_before_shuffle(spark):
     assert "partial_count" in plan
     vs = {r.k: r.vs for r in keyed.group_by_key(df).collect()}
     assert vs["hot"] == [3] + [5] * 5000 + [9]
+
+
+def test_three_way_cogroup(spark):
+    a = spark.createDataFrame([("x", "1"), ("y", "2")], "k string, v string")
+    b = spark.createDataFrame([("x", "3")], "k string, v string")
+    c = spark.createDataFrame([("z", "4"), ("x", "5"), ("x", "0")], "k string, v string")
+    got = sorted(r.line for r in keyed.cogroup_lines({"a": a, "b": b, "c": c}).collect())
+    assert got == ["x : [1];[3];[0, 5]", "y : [2];[];[]", "z : [];[];[4]"]

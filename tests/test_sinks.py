@@ -116,3 +116,20 @@ def test_read_table_rule(spark):
     with pytest.raises(ValueError):
         readers.read_table(spark)
     assert readers.read_table(spark, query="SELECT 1 AS one").collect()[0].one == 1
+
+
+def test_catalog_table_partition_replace(spark):
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    spark.sql("DROP TABLE IF EXISTS sl_days")
+    tables.write_table(_days(spark, [(1, "a", d1), (2, "b", d2)]), "sl_days", partition_by=["day"])
+    with pytest.raises(ValueError):
+        tables.write_day_partitions(_days(spark, [(3, "c", d2)]), "sl_missing", "day")
+    tables.write_day_partitions(_days(spark, [(3, "c", d2)]), "sl_days", "day")
+    got = sorted(tuple(r) for r in spark.read.table("sl_days").select("id", "v", "day").collect())
+    assert got == [(1, "a", d1), (3, "c", d2)]
+    # the session setting is restored after the write
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").upper() == "STATIC"
+    tables.write_table(_days(spark, [(4, "d", d1)]), "sl_days", write="append", create="never")
+    assert spark.read.table("sl_days").count() == 3
+    tables.write_table(_days(spark, [(5, "e", d1)]), "sl_days", write="truncate")
+    assert [r.id for r in spark.read.table("sl_days").collect()] == [5]
