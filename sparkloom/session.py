@@ -38,11 +38,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     Uses the session's ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only when none
     is set *and* the master is local (tests, bench) is a private folder created and registered.
     """
-    sc = spark.sparkContext
-    configured = sc.getCheckpointDir() or spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
+    configured = spark.conf.get(_CHECKPOINT_KEY, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: only the session conf is visible
+        sc = None
+    if sc is not None:
+        configured = sc.getCheckpointDir() or configured or sc.getConf().get(_CHECKPOINT_KEY, None)
     if configured:
         return configured.rstrip("/")
-    if not sc.master.startswith("local"):
+    if sc is None or not sc.master.startswith("local"):
         raise RuntimeError(
             f"{_CHECKPOINT_KEY} is not set; configure a shared folder (HDFS/S3/...) for this cluster"
         )

@@ -51,10 +51,14 @@ def spread(df: DataFrame, min_partitions: int | None = None, by: list[str] | Non
     Rows are hash-partitioned on their own content: deterministic, so a map task recomputed after
     an executor loss routes every row to the same partition again, and - unlike a round-robin
     repartition - no per-task sort is needed to make it so."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view of the plan (e.g. a remote session): leave as is
+        return df
     # Only when the input would leave most cores idle: re-shuffling an input that already uses
     # more than half of the cluster costs more than the extra parallelism returns.
-    if df.rdd.getNumPartitions() * 2 > target:
+    if splits * 2 > target:
         return df
     cols = by or df.columns  # a unique key spreads evenly and lets Catalyst keep the scan pruned
     return df.repartition(target, F.xxhash64(*[F.col(c) for c in cols]))
