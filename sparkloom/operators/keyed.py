@@ -165,11 +165,19 @@ def global_max(df: DataFrame, col: Column | str, out: str = "max_value") -> Data
     return df.agg(F.max(c).alias(out))
 
 
-def filter_by_max_length(df: DataFrame, key: str = "k") -> DataFrame:
+def filter_by_max_length(df: DataFrame, key: str = "k", materialize: bool = False) -> DataFrame:
     """Keep pairs whose key length equals the global maximum key length.
 
     The maximum is an uncorrelated scalar subquery: Spark runs it as its own small job and inlines
-    the single value into the filter (the broadcast singleton of the dataflow model)."""
+    the single value into the filter (the broadcast singleton of the dataflow model). The input is
+    read twice (once for the max, once for the filter); with ``materialize`` an expensive input is
+    written once to the shared checkpoint folder (reliable checkpoint, lineage cut there) and both
+    passes read it, which also means a lost executor never forces the upstream to be recomputed."""
+    if materialize:
+        from sparkloom.session import checkpoint_root
+
+        checkpoint_root(df.sparkSession)  # ensure a shared checkpoint folder is configured
+        df = df.checkpoint(eager=True)
     longest = global_max(df, utf16_length(F.col(key))).scalar()
     return df.where(utf16_length(F.col(key)) == longest)
 

@@ -73,10 +73,11 @@ def sum_words(spark: SparkSession, *, input: str, output: str, num_shards: int |
     return text.write_lines(kv.transform(keyed.sum_lines), output, col="line", num_shards=num_shards)
 
 
-def longest_words(spark: SparkSession, *, input: str, output: str, num_shards: int | None = None) -> str:
+def longest_words(spark: SparkSession, *, input: str, output: str, num_shards: int | None = None,
+                  materialize_input: bool = False) -> str:
     kv = keyed.parse_kv_lines(readers.read_lines(spark, input))
-    return text.write_lines(keyed.group_lines(keyed.filter_by_max_length(kv)), output, col="line",
-                            num_shards=num_shards)
+    longest = keyed.filter_by_max_length(kv, materialize=materialize_input)
+    return text.write_lines(keyed.group_lines(longest), output, col="line", num_shards=num_shards)
 
 
 def cogroup_pairs(inputs: dict[str, DataFrame], *, output: str, blank_empty: bool = False,

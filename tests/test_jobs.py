@@ -28,6 +28,8 @@ def test_word_jobs(spark, out_dir):
     assert _read(spark, jobs.sum_words(spark, input=src, output=out_dir("s"))) == ["and:9", "cat:15", "dog:7", "jump:3",
                                                                                     "tree:2"]
     assert _read(spark, jobs.longest_words(spark, input=src, output=out_dir("l"))) == ["jump:[3]", "tree:[2]"]
+    assert _read(spark, jobs.longest_words(spark, input=src, output=out_dir("lm"), materialize_input=True)) == [
+        "jump:[3]", "tree:[2]"]
     tagged = jobs.split_words(spark, input=src, output=out_dir("t"), cutoff=4, marker="c")
     got = sorted((r.tag, r.value) for r in spark.read.text(tagged).collect())
     assert ("marker", "cat:[1, 5, 9]") in got and ("above", "jump:[3]") in got and ("below", "dog:[2, 5]") in got
