@@ -9,9 +9,10 @@
   * ``"reject"``     - like ``null_field`` plus an ``_errors`` array naming the failed fields; use
                        ``split_rejects`` to route good and bad rows.
 
-Implementation: two projections. The first computes each typed value once (and its failure flag),
-the second applies the mask. Catalyst will not collapse them because that would repeat the regex
-and cast work. Row-local: no shuffle, no UDF; the scan reads only the schema's columns.
+Implementation: chained projections. The first computes each typed value once (and its failure
+flag), the next the position of the last failure, the last applies the mask. Catalyst does not
+collapse them because that would repeat the regex/cast work (or the last-failure expression) per
+column. Row-local: no shuffle, no UDF; the scan reads only the schema's columns.
 """
 
 from __future__ import annotations
@@ -82,8 +83,11 @@ def stage(
     names = [f.name for f in fields]
 
     if on_error == "reset":
+        # Position of the last failed field, computed once per row in its own projection (with
+        # hundreds of columns, inlining it into every output column would be quadratic).
         last_fail = F.greatest(F.lit(-1), F.lit(-1), *[F.when(F.col(_f(i)), F.lit(i)).otherwise(F.lit(-1)) for i in range(n)])
-        return parsed.select(*[F.when(last_fail < F.lit(i), F.col(_v(i))).alias(names[i]) for i in range(n)])
+        masked = parsed.select(*[F.col(_v(i)) for i in range(n)], last_fail.alias("__last_fail"))
+        return masked.select(*[F.when(F.col("__last_fail") < F.lit(i), F.col(_v(i))).alias(names[i]) for i in range(n)])
     if on_error == "strict":
         return parsed.select(*[
             F.when(F.col(_f(i)), F.raise_error(F.lit(f"cannot parse field {names[i]} as {fields[i].type}")))

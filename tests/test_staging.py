@@ -149,3 +149,19 @@ def test_order_staging_schema_types(spark):
     assert out.order_id == 1 and out.amount == Decimal("12.5") and out.create_dt == dt.date(2022, 5, 23)
     assert out.create_datetime == dt.datetime(2022, 5, 23, 13, 25, 34) and out.is_subscriber is True
     assert out.avg_rating == 4.5 and out.record_load_ts is not None
+
+
+def test_wide_schema_reset_is_linear(spark):
+    n = 300
+    fields = [sch.Field(f"c{i}", "INTEGER") for i in range(n)]
+    row = tuple("x" if i == 150 else str(i) for i in range(n))
+    df = spark.createDataFrame([row], ", ".join(f"c{i} string" for i in range(n)))
+    staged = staging.stage(df, fields)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000000")
+    try:
+        plan = staged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert plan.count("greatest(") == 1
+    out = staged.collect()[0]
+    assert all(out[i] is None for i in range(151)) and all(out[i] == i for i in range(151, n))
