@@ -157,11 +157,11 @@ def test_wide_schema_reset_is_linear(spark):
     row = tuple("x" if i == 150 else str(i) for i in range(n))
     df = spark.createDataFrame([row], ", ".join(f"c{i} string" for i in range(n)))
     staged = staging.stage(df, fields)
-    spark.conf.set("spark.sql.maxMetadataStringLength", "1000000")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "100000")
     try:
         plan = staged._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.unset("spark.sql.maxMetadataStringLength")
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
     assert plan.count("greatest(") == 1
     out = staged.collect()[0]
     assert all(out[i] is None for i in range(151)) and all(out[i] == i for i in range(151, n))
