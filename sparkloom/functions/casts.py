@@ -38,7 +38,8 @@ NEVER_FAIL = frozenset({"STRING", "BOOLEAN"})
 # match before a final newline.
 INT_RE = r"^[+-]?[0-9]+\z"
 DATE_RE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
-_NTZ_BODY = r"[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?"
+# The fraction may be empty ("13:25:01." parses as 13:25:01), as in the ISO time parser.
+_NTZ_BODY = r"[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{0,9})?)?"
 NTZ_RE = rf"^{_NTZ_BODY}\z"
 TS_RE = rf"^{_NTZ_BODY}(Z|[+-][0-9]{{2}}:[0-9]{{2}}(:[0-9]{{2}})?)\z"
 NUM_RE = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
@@ -64,13 +65,13 @@ def parse_date(c) -> Column:
 def parse_datetime(c) -> Column:
     """``LocalDateTime.parse``: ``yyyy-MM-ddTHH:mm[:ss[.f{1,9}]]``, case-insensitive ``T``, no zone."""
     v = F.upper(as_col(c))
-    return F.when(v.rlike(NTZ_RE), v.try_cast("timestamp_ntz"))
+    return F.when(v.rlike(NTZ_RE), F.regexp_replace(v, r"\.\z", "").try_cast("timestamp_ntz"))
 
 
 def parse_timestamp(c) -> Column:
     """ISO offset date-time to an instant: offset (``Z`` or ``+HH:MM[:SS]``) is mandatory."""
     v = F.upper(as_col(c))
-    with_seconds = F.regexp_replace(v, r"T([0-9]{2}:[0-9]{2})(Z|[+-].*)\z", "T$1:00$2")
+    with_seconds = F.regexp_replace(F.regexp_replace(v, r"\.(Z|[+-])", "$1"), r"T([0-9]{2}:[0-9]{2})(Z|[+-].*)\z", "T$1:00$2")
     return F.when(v.rlike(TS_RE), with_seconds.try_cast("timestamp"))
 
 

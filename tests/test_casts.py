@@ -36,6 +36,8 @@ def test_datetime(spark):
     assert got[:2] == [dt.datetime(2022, 5, 23, 13, 25), dt.datetime(2022, 5, 23, 13, 25, 1)]
     assert got[2] is None and got[3] is None and got[5] is None and got[6] is None
     assert got[4] == dt.datetime(2022, 5, 23, 13, 25, 1, 123456)
+    more = parse_all(spark, "DATETIME", ["2022-05-23T13:25:01.", "2022-05-23T13:25:01.123456789", "2022-05-23T13:25."])
+    assert more == [dt.datetime(2022, 5, 23, 13, 25, 1), dt.datetime(2022, 5, 23, 13, 25, 1, 123456), None]
 
 
 def test_timestamp(spark):
@@ -53,6 +55,9 @@ def test_timestamp(spark):
     assert got[2] is None and got[4] is None and got[5] is None
     assert got[3] == us(2022, 5, 23, 13, 25, 34)
     assert got[6] == us(2022, 5, 23, 14, 26, 4)
+    more = spark.createDataFrame([("2022-05-23T13:25:01.Z",), ("2022-05-23T13:25:01.+01:00",)], "raw string")
+    got2 = [r.us for r in more.select(F.unix_micros(casts.parse_timestamp(F.col("raw"))).alias("us")).collect()]
+    assert got2 == [us(2022, 5, 23, 13, 25, 1), us(2022, 5, 23, 12, 25, 1)]
 
 
 def test_float(spark):
