@@ -43,6 +43,7 @@ _NTZ_BODY = r"[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{0,9
 NTZ_RE = rf"^{_NTZ_BODY}\z"
 TS_RE = rf"^{_NTZ_BODY}(Z|[+-][0-9]{{2}}:[0-9]{{2}}(:[0-9]{{2}})?)\z"
 NUM_RE = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
+NUM_ZERO_RE = r"^[+-]?[0.]+([eE][+-]?[0-9]+)?\z"
 FLOAT_DEC_RE = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?\z"
 FLOAT_HEX_RE = r"^[+-]?0[xX]([0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?[0-9]+[fFdD]?\z"
 FLOAT_NAN_RE = r"^[+-]?NaN\z"
@@ -98,7 +99,11 @@ def parse_float(c) -> Column:
 def parse_numeric(c, precision: int = 38, scale: int = 9) -> Column:
     """``new BigDecimal(s)``: sign, digits, optional fraction and exponent; stored at (38, 9)."""
     v = as_col(c)
-    return F.when(v.rlike(NUM_RE), v.try_cast(f"decimal({precision},{scale})"))
+    dec = f"decimal({precision},{scale})"
+    # A zero mantissa is zero whatever the exponent ("0E100"); try_cast would size it by the
+    # exponent and overflow.
+    zero = v.rlike(NUM_ZERO_RE)
+    return F.when(v.rlike(NUM_RE), F.when(zero, F.lit(0).cast(dec)).otherwise(v.try_cast(dec)))
 
 
 def parse_time(c) -> Column:

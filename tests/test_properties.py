@@ -1,0 +1,115 @@
+"""Property tests: the typed parsers agree with small independent models of the JVM parsing rules
+on generated strings (batched: one Spark job per generated list)."""
+
+import math
+import re
+from decimal import ROUND_HALF_UP, Context, Decimal
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from sparkloom.functions import casts
+
+
+def run(spark, type_name, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, raw string")
+    rows = df.select("i", casts.parse_as(F.col("raw"), type_name).alias("v")).collect()
+    return [r.v for r in sorted(rows, key=lambda r: r.i)]
+
+
+def model_integer(s):
+    if s is None or not re.fullmatch(r"[+-]?[0-9]+", s):
+        return None
+    n = int(s)
+    return n if -(2**63) <= n < 2**63 else None
+
+
+def model_numeric(s):
+    if s is None or not re.fullmatch(r"[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?", s):
+        return None
+    d = Decimal(s).quantize(Decimal("1e-9"), rounding=ROUND_HALF_UP, context=Context(prec=100000, Emax=10**9, Emin=-10**9))
+    return d if abs(d) < Decimal(10) ** 29 else None
+
+
+def model_float(s):
+    if s is None:
+        return None
+    t = s.strip("".join(chr(c) for c in range(0x21)))
+    if re.fullmatch(r"[+-]?NaN", t):
+        return math.nan
+    m = re.fullmatch(r"([+-]?)Infinity", t)
+    if m:
+        return -math.inf if m.group(1) == "-" else math.inf
+    if re.fullmatch(r"[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?", t):
+        return float(t.rstrip("fFdD"))
+    return None
+
+
+def model_time(s):
+    m = re.fullmatch(r"([+-]?[0-9]{1,10}):([+-]?[0-9]{1,10}):([+-]?[0-9]{1,10})", s or "")
+    if not m:
+        return None
+    h, mi, se = (int(x) for x in m.groups())
+    if any(not -(2**31) <= x < 2**31 for x in (h, mi, se)):
+        return None
+    t = (h * 3600 + mi * 60 + se) % 86400
+    return f"{t // 3600:02d}:{t % 3600 // 60:02d}:{t % 60:02d}"
+
+
+def model_boolean(s):
+    return s is not None and s.lower() == "true"
+
+
+DIGITS = st.text(alphabet="0123456789", min_size=1, max_size=22)
+NUMBERISH = st.one_of(
+    st.text(alphabet="0123456789+-.eE dDfF", max_size=14),
+    st.builds(lambda a, b: f"{a}.{b}", DIGITS, DIGITS),
+    st.builds(lambda s, a, e: f"{s}{a}e{e}", st.sampled_from(["", "+", "-"]), DIGITS, st.integers(-400, 400)),
+    st.sampled_from(["NaN", "-NaN", "Infinity", "+Infinity", "-Infinity", "nan", "inf", " 1 ", "\t2\n", "", "1_000"]),
+    st.none(),
+)
+TIMEISH = st.one_of(
+    st.builds(lambda a, b, c: f"{a}:{b}:{c}", st.integers(-50, 100), st.integers(-100, 200), st.integers(-100, 200)),
+    st.text(alphabet="0123456789:+- ", max_size=12),
+    st.none(),
+)
+BOOLISH = st.one_of(st.sampled_from(["true", "TRUE", "tRuE", "false", "yes", "1", " true", "True "]), st.text(max_size=5),
+                    st.none())
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.one_of(DIGITS, NUMBERISH), min_size=1, max_size=40))
+def test_integer_matches_model(spark, values):
+    assert run(spark, "INTEGER", values) == [model_integer(v) for v in values]
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(NUMBERISH, min_size=1, max_size=40))
+def test_numeric_matches_model(spark, values):
+    got = run(spark, "NUMERIC", values)
+    want = [model_numeric(v) for v in values]
+    assert [None if g is None else Decimal(g) for g in got] == want
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(NUMBERISH, min_size=1, max_size=40))
+def test_float_matches_model(spark, values):
+    got = run(spark, "FLOAT", values)
+    for v, g, w in zip(values, got, [model_float(v) for v in values]):
+        if w is not None and math.isnan(w):
+            assert g is not None and math.isnan(g), v
+        else:
+            assert g == w, v
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(TIMEISH, min_size=1, max_size=40))
+def test_time_matches_model(spark, values):
+    assert run(spark, "TIME", values) == [model_time(v) for v in values]
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(BOOLISH, min_size=1, max_size=40))
+def test_boolean_matches_model(spark, values):
+    assert run(spark, "BOOLEAN", values) == [model_boolean(v) for v in values]
