@@ -44,7 +44,16 @@ def norm(v):
 def main(argv):
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:] or list(QUERIES)
-    spark = local_session(8)
+    if os.environ.get("PARITY_DEFAULT_SESSION"):
+        # A session with Spark's defaults (200 shuffle partitions, local time zone, ANSI as shipped)
+        # to check that no query relies on the settings of ``local_session``.
+        from pyspark.sql import SparkSession
+
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.sql.session.timeZone", os.environ.get("PARITY_TZ", "America/Los_Angeles"))
+                 .config("spark.sql.ansi.enabled", os.environ.get("PARITY_ANSI", "false")).getOrCreate())
+    else:
+        spark = local_session(8)
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for t in TABLES:
