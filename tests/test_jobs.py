@@ -83,3 +83,19 @@ def test_raw_to_table_job(spark, out_dir):
     assert spark.read.parquet(out).count() == 2
     fields = sch.from_pipe_string("id:INTEGER|amt:NUMERIC")
     assert [f.name for f in fields] == spark.read.parquet(out).columns
+
+
+def test_cli(spark, out_dir):
+    from sparkloom.plans import cli
+
+    src = _text_input(spark, out_dir, WORD_LINES, "cli-in")
+    out = cli.run(spark, ["group-words", "--input", src, "--output", out_dir("cli-g"), "--num-shards", "1"])
+    assert _read(spark, out)[0] == "and:[1, 2, 6]"
+    left = _text_input(spark, out_dir, ["amy,amy@example.com", "carl,carl@example.com"], "cli-l")
+    right = _text_input(spark, out_dir, ["amy,111", "james,222"], "cli-r")
+    out = cli.run(spark, ["cogroup", "--left", left, "--right", right, "--output", out_dir("cli-c")])
+    assert _read(spark, out) == ["amy : [amy@example.com];[111]", "carl : [carl@example.com];[]", "james : [];[222]"]
+    spark.createDataFrame([("1", "2024-01-01")], "id string, d string").createOrReplaceTempView("cli_raw")
+    out = cli.run(spark, ["stage", "--query", "SELECT * FROM cli_raw", "--schema-string", "id:INTEGER|d:DATE",
+                          "--output", out_dir("cli-s"), "--partition-col", "d"])
+    assert [(r.id, str(r.d)) for r in spark.read.parquet(out).collect()] == [(1, "2024-01-01")]
