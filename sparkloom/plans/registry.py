@@ -313,6 +313,21 @@ def q_tagged_sink(spark, d):
     return spark.read.text(target).select("value", F.col("tag").cast("string"))
 
 
+def q_incremental_staging(spark, d):
+    """Structured Streaming form of the staging load: the raw orders arrive as two file batches
+    (finished orders first, then the rest); each run of the stager picks up only the new files
+    (checkpointed file source + file sink = exactly once). Result = one staging of all orders."""
+    from sparkloom.streaming.staging_stream import start_staging_stream
+
+    src, out, ckpt = shared_dir(spark, "raw-orders"), shared_dir(spark, "staged-orders"), shared_dir(spark, "ckpt")
+    raw = D.raw_frame(D.table(spark, d, "orders"), D.RAW_ORDERS_CLEAN)
+    for batch, cond in (("b1", F.col("o_orderstatus") == F.lit("F")), ("b2", F.col("o_orderstatus") != F.lit("F"))):
+        raw.where(cond).write.parquet(f"{src}/{batch}")
+        start_staging_stream(spark, source_dir=f"{src}/*", fields=D.ORDER_FIELDS, output=out,
+                             partition_col=tables.NO_PARTITION_COLUMN, checkpoint=ckpt).awaitTermination()
+    return comparable(spark.read.parquet(out).drop(tables.INGESTION_DAY), D.ORDER_FIELDS)
+
+
 QUERIES: dict[str, Query] = {
     "split_lines": q_split_lines,
     "word_doc_groups": q_word_doc_groups,
@@ -357,6 +372,7 @@ QUERIES: dict[str, Query] = {
     "text_roundtrip": q_text_roundtrip,
     "header_roundtrip": q_header_roundtrip,
     "tagged_sink": q_tagged_sink,
+    "incremental_staging": q_incremental_staging,
 }
 
 
@@ -432,4 +448,5 @@ ORACLE: dict[str, str] = {
     "header_roundtrip": (f"{_SESSION_DATA} UNION ALL SELECT '{jobs.SESSION_HEADER}' AS value "
                          f"FROM range({HEADER_SHARDS})"),
     "tagged_sink": f"SELECT line AS value, tag FROM ({_MULTI})",
+    "incremental_staging": O.staging_sql(D.ORDER_FIELDS, O.RAW_ORDERS_CLEAN, "orders"),
 }

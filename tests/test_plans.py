@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 PYTHON_NODES = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
                 "PythonMapInArrow")
 SINK_QUERIES = {"partition_overwrite", "ingestion_partition", "table_sink_append", "table_sink_truncate",
-                "text_roundtrip", "header_roundtrip", "tagged_sink"}
+                "text_roundtrip", "header_roundtrip", "tagged_sink", "incremental_staging"}
 
 
 def plan(df):

@@ -19,7 +19,7 @@ from sparkloom.plans.registry import QUERIES  # noqa: E402
 from sparkloom.session import local_session  # noqa: E402
 
 SINKS = {"partition_overwrite", "ingestion_partition", "table_sink_append", "table_sink_truncate",
-         "text_roundtrip", "header_roundtrip", "tagged_sink", "text_source_lines"}
+         "text_roundtrip", "header_roundtrip", "tagged_sink", "text_source_lines", "incremental_staging"}
 
 
 def summarise(plan: str) -> dict:
