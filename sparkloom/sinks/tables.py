@@ -83,7 +83,8 @@ def write_day_partitions(df: DataFrame, target: str, partition_col: str | None =
                          on_null: str = "fail", reject_target: str | None = None) -> str:
     """K5/K6: replace exactly the day partitions present in ``df``; untouched days stay.
 
-    * ``partition_col`` ``None``/``"N/A"`` routes rows to today's date (ingestion-time partitioning).
+    * ``partition_col`` must be a DATE column; ``None``/``"N/A"`` routes rows to today's date
+      (ingestion-time partitioning).
     * A NULL partition value fails the job (``on_null="fail"``: checked inside the write itself, so
       nothing is committed and no extra pass is needed) or, with ``on_null="divert"``, those rows are
       appended to ``reject_target`` and only the rest is written.
@@ -96,6 +97,11 @@ def write_day_partitions(df: DataFrame, target: str, partition_col: str | None =
     spark = df.sparkSession
     if partition_col in (None, NO_PARTITION_COLUMN):
         df, partition_col = with_ingestion_day(df), INGESTION_DAY
+    part_type = dict(df.dtypes).get(partition_col)
+    if part_type != "date":
+        # Day partitions need a DATE column: a timestamp would give one partition per distinct
+        # instant (and an invalid day suffix), a string could hold anything.
+        raise TypeError(f"partition column {partition_col} must be DATE, got {part_type}")
     if on_null == "divert":
         if not reject_target:
             raise ValueError("on_null='divert' needs a reject_target")

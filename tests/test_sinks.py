@@ -133,3 +133,9 @@ def test_catalog_table_partition_replace(spark):
     assert spark.read.table("sl_days").count() == 3
     tables.write_table(_days(spark, [(5, "e", d1)]), "sl_days", write="truncate")
     assert [r.id for r in spark.read.table("sl_days").collect()] == [5]
+
+
+def test_partition_column_must_be_date(spark, out_dir):
+    df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 10, 0))], "id bigint, ts timestamp")
+    with pytest.raises(TypeError):
+        tables.write_day_partitions(df, out_dir("bad-part"), "ts")
