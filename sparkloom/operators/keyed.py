@@ -95,6 +95,40 @@ def group_lines(df: DataFrame, key: str = "k", value: str = "v", out: str = "lin
         F.col(key), format_group_text(F.col(key), F.col("_txt")).alias(out))
 
 
+def group_chunks(df: DataFrame, key: str = "k", value: str = "v", chunk_size: int = 10_000,
+                 out: str = "txt") -> DataFrame:
+    """A1 with bounded rows: (key, chunk, txt) where chunk ``c`` holds the values ranked
+    ``[c*chunk_size, (c+1)*chunk_size)`` in the key's ascending value list, rendered ``a, b, c``.
+    Joining a key's chunks in order with ``", "`` gives exactly the list of ``group_lines``, but no
+    row, group or task ever holds more than ``chunk_size`` values - not even for a key (or a
+    single repeated pair) holding a third of all rows.
+
+    Ranks are computed without sorting any group in one place: pair counts (map-side), range split
+    into runs, a running count inside each run (a run is one range partition's slice), the runs'
+    offsets from a running sum over the (few) runs of each key, then each pair is cut into the
+    chunks its rank interval covers."""
+    from pyspark.sql import Window
+
+    pairs = df.groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
+    ranged = pairs.repartitionByRange(key, value).withColumn(RUN, F.spark_partition_id())
+    in_run = Window.partitionBy(key, RUN).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranged.withColumn("_end", F.sum("_n").over(in_run))
+    run_sizes = local.groupBy(key, RUN).agg(F.sum("_n").alias("_size"))
+    before = Window.partitionBy(key).orderBy(RUN).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = run_sizes.select(key, RUN, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_off"))
+    ranked = local.join(offsets, [key, RUN]).select(
+        key, value, "_n", (F.col("_off") + F.col("_end") - F.col("_n")).alias("_start"))
+    c = F.lit(chunk_size)
+    chunks = F.sequence(F.floor(F.col("_start") / c), F.floor((F.col("_start") + F.col("_n") - 1) / c))
+    pieces = ranked.select(key, value, "_n", "_start", F.explode(chunks).alias("chunk"))
+    lo = F.greatest(F.col("_start"), F.col("chunk") * c)
+    hi = F.least(F.col("_start") + F.col("_n"), (F.col("chunk") + 1) * c)
+    pieces = pieces.select(key, "chunk", value, (hi - lo).alias("_cnt"))
+    rendered = F.transform(F.array_sort(F.collect_list(F.struct(value, "_cnt"))), lambda x: F.array_join(
+        F.array_repeat(F.coalesce(x[value].cast("string"), F.lit("null")), x["_cnt"].cast("int")), LIST_SEP))
+    return pieces.groupBy(key, "chunk").agg(F.array_join(rendered, LIST_SEP).alias(out))
+
+
 # --------------------------------------------------------------------------------------------
 # Co-group of N tagged inputs
 # --------------------------------------------------------------------------------------------

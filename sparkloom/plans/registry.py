@@ -45,6 +45,15 @@ def q_group_by_key(spark, d):
     return keyed.group_lines(kv)
 
 
+CHUNK_SIZE = 1000
+
+
+def q_group_by_key_chunks(spark, d):
+    """A1 with bounded rows: the group_by_key lists in chunks of at most CHUNK_SIZE values."""
+    kv = keyed.parse_kv_lines(D.lines_of(D.table(spark, d, "orders"), D.PRIORITY_CUST_LINES))
+    return keyed.group_chunks(kv, chunk_size=CHUNK_SIZE)
+
+
 def q_sum_per_key(spark, d):
     kv = keyed.parse_kv_lines(D.lines_of(D.table(spark, d, "lineitem"), D.FLAG_PART_LINES))
     return kv.transform(keyed.sum_lines)
@@ -335,6 +344,7 @@ QUERIES: dict[str, Query] = {
     "longest_words": q_longest_words,
     "text_source_lines": q_text_source_lines,
     "group_by_key": q_group_by_key,
+    "group_by_key_chunks": q_group_by_key_chunks,
     "sum_per_key": q_sum_per_key,
     "global_max": q_global_max,
     "key_length": q_key_length,
@@ -401,6 +411,10 @@ ORACLE: dict[str, str] = {
     "longest_words": O.group_line_sql("k", "v", _WORDS, f"WHERE length(k) = (SELECT max(length(k)) FROM {_WORDS})"),
     "text_source_lines": "SELECT unnest(string_split(text, chr(10))) AS value FROM documents",
     "group_by_key": O.group_line_sql("o_orderpriority", "o_custkey", "orders"),
+    "group_by_key_chunks": (f"WITH p AS (SELECT o_orderpriority AS k, o_custkey AS v, row_number() OVER "
+                            f"(PARTITION BY o_orderpriority ORDER BY o_custkey) - 1 AS r FROM orders) "
+                            f"SELECT k, CAST(r // {CHUNK_SIZE} AS BIGINT) AS chunk, "
+                            f"string_agg(CAST(v AS VARCHAR), ', ' ORDER BY v) AS txt FROM p GROUP BY k, r // {CHUNK_SIZE}"),
     "sum_per_key": ("SELECT l_returnflag || l_linestatus AS k, l_returnflag || l_linestatus || ':' || "
                     "CAST(CAST(sum(l_partkey) AS BIGINT) AS VARCHAR) AS line FROM lineitem "
                     "GROUP BY l_returnflag, l_linestatus"),

@@ -149,3 +149,20 @@ def test_three_way_cogroup(spark):
     c = spark.createDataFrame([("z", "4"), ("x", "5"), ("x", "0")], "k string, v string")
     got = sorted(r.line for r in keyed.cogroup_lines({"a": a, "b": b, "c": c}).collect())
     assert got == ["x : [1];[3];[0, 5]", "y : [2];[];[]", "z : [];[];[4]"]
+
+
+def test_group_chunks_bounded_and_exact(spark):
+    from pyspark.sql import functions as F
+
+    rep = spark.range(0, 2500).select(F.lit("hot").alias("k"), F.lit(5).cast("bigint").alias("v"))
+    other = spark.range(0, 3000).select(F.lit("hot").alias("k"), (F.col("id") % 17).alias("v"))
+    df = rep.unionByName(other).unionByName(spark.createDataFrame([("cold", 1), ("cold", 3)], "k string, v bigint"))
+    chunks = {}
+    for r in keyed.group_chunks(df, chunk_size=1000).collect():
+        chunks.setdefault(r.k, {})[r.chunk] = r.txt
+    lines = {r.k: r.line for r in keyed.group_lines(df).collect()}
+    for k, parts in chunks.items():
+        assert sorted(parts) == list(range(len(parts)))
+        assert all(len(t.split(", ")) <= 1000 for t in parts.values())
+        assert lines[k] == f"{k}:[" + ", ".join(parts[i] for i in range(len(parts))) + "]"
+    assert len(chunks["hot"]) == 6 and chunks["cold"] == {0: "1, 3"}
