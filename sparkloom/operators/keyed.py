@@ -106,13 +106,20 @@ def group_chunks(df: DataFrame, key: str = "k", value: str = "v", chunk_size: in
     Ranks are computed without sorting any group in one place: pair counts (map-side), range split
     into runs, a running count inside each run (a run is one range partition's slice), the runs'
     offsets from a running sum over the (few) runs of each key, then each pair is cut into the
-    chunks its rank interval covers."""
+    chunks its rank interval covers. Runs the pair/range stages eagerly (checkpoint) when called."""
     from pyspark.sql import Window
 
     pairs = df.groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
     ranged = pairs.repartitionByRange(key, value).withColumn(RUN, F.spark_partition_id())
     in_run = Window.partitionBy(key, RUN).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.withColumn("_end", F.sum("_n").over(in_run))
+    # The runs feed two branches (their sizes and the pairs themselves); both must see the same run
+    # ids. A second range exchange would sample its own bounds, so the ranked pairs are written
+    # once to the shared checkpoint folder (reliable checkpoint: also survives executor loss).
+    from sparkloom.session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)
+    local = local.checkpoint(eager=True)
     run_sizes = local.groupBy(key, RUN).agg(F.sum("_n").alias("_size"))
     before = Window.partitionBy(key).orderBy(RUN).rowsBetween(Window.unboundedPreceding, -1)
     offsets = run_sizes.select(key, RUN, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_off"))
