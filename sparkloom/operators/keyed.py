@@ -83,16 +83,19 @@ def _ordered(parts: Column, field_name: str) -> Column:
 def group_by_key(df: DataFrame, key: str = "k", value: str = "v", out: str = "vs") -> DataFrame:
     """A1: (key, sorted array of all values; duplicates kept)."""
     runs = group_runs(df, key, value)
-    return runs.groupBy(key).agg(
-        F.flatten(_ordered(F.collect_list(F.struct(RUN, "vs")), "vs")).alias(out))
+    grouped = runs.groupBy(key).agg(F.collect_list(F.struct(RUN, "vs")).alias("_p"))
+    merged = F.when(F.size("_p") == F.lit(1), F.col("_p")[0]["vs"]).otherwise(F.flatten(_ordered(F.col("_p"), "vs")))
+    return grouped.select(F.col(key), merged.alias(out))
 
 
 def group_lines(df: DataFrame, key: str = "k", value: str = "v", out: str = "line") -> DataFrame:
-    """A1 + P6: one ``key:[v1, v2, ...]`` line per key (values ascending)."""
+    """A1 + P6: one ``key:[v1, v2, ...]`` line per key (values ascending). Most keys have a single
+    run, whose text is used as is; only keys spread over several runs are ordered and joined."""
     runs = group_runs(df, key, value, as_text=True)
-    joined = F.array_join(_ordered(F.collect_list(F.struct(RUN, "txt")), "txt"), LIST_SEP)
-    return runs.groupBy(key).agg(joined.alias("_txt")).select(
-        F.col(key), format_group_text(F.col(key), F.col("_txt")).alias(out))
+    grouped = runs.groupBy(key).agg(F.collect_list(F.struct(RUN, "txt")).alias("_p"))
+    joined = F.when(F.size("_p") == F.lit(1), F.col("_p")[0]["txt"]).otherwise(
+        F.array_join(_ordered(F.col("_p"), "txt"), LIST_SEP))
+    return grouped.select(F.col(key), format_group_text(F.col(key), joined).alias(out))
 
 
 def group_chunks(df: DataFrame, key: str = "k", value: str = "v", chunk_size: int = 10_000,
