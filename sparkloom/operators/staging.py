@@ -19,7 +19,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sparkloom.functions.casts import is_supported, parse_as, parse_failed
 from sparkloom.schema import RECORD_LOAD_TS, Field
@@ -105,9 +104,3 @@ def split_rejects(staged: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows without ``_errors``, rejected rows with ``_errors``) of a ``reject``-mode frame."""
     ok = F.size("_errors") == F.lit(0)
     return staged.where(ok).drop("_errors"), staged.where(~ok)
-
-
-def output_schema(fields: list[Field]) -> T.StructType:
-    from sparkloom.schema import to_struct
-
-    return to_struct(fields)

@@ -7,7 +7,6 @@ is declared lazily and runs once, at the sink.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sparkloom import schema as sch
 from sparkloom.operators import keyed, lines, staging
@@ -117,8 +116,3 @@ def customer_records(spark: SparkSession, *, input: str, output: str, customer_i
 
 def customer_names(df: DataFrame, *, output: str, num_shards: int | None = None) -> str:
     return text.write_lines(lines.project(df, "name"), output, num_shards=num_shards)
-
-
-def text_lines(df: DataFrame, col: str) -> DataFrame:
-    """Helper for tests/jobs: any column as a ``value`` line frame."""
-    return df.select(F.col(col).cast("string").alias("value"))

@@ -72,10 +72,6 @@ def to_struct(fields: list[Field]) -> T.StructType:
     return T.StructType([T.StructField(f.name, spark_type(f), True) for f in fields])
 
 
-def to_pipe_string(fields: list[Field]) -> str:
-    return "|".join(f"{f.name}:{f.type}" for f in fields)
-
-
 def raw_projection(fields: list[Field]) -> list[str]:
     """Columns to read from the raw source: the schema minus the load-time column."""
     return [f.name for f in fields if f.name != RECORD_LOAD_TS]

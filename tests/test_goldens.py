@@ -18,8 +18,13 @@ def test_group_by_key_golden(spark):
 
 
 def test_group_by_key_arrays(spark):
-    got = {r.k: r.vs for r in keyed.group_by_key(_kv(spark)).collect()}
+    from sparkloom.functions.formatting import format_group
+
+    grouped = keyed.group_by_key(_kv(spark))
+    got = {r.k: r.vs for r in grouped.collect()}
     assert got == {"and": [1, 2, 6], "cat": [1, 5, 9], "dog": [2, 5], "jump": [3], "tree": [2]}
+    lines = sorted(r.line for r in grouped.select(format_group("k", "vs").alias("line")).collect())
+    assert lines == ["and:[1, 2, 6]", "cat:[1, 5, 9]", "dog:[2, 5]", "jump:[3]", "tree:[2]"]
 
 
 def test_sum_per_key(spark):
