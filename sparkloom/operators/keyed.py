@@ -69,12 +69,19 @@ def group_runs(df: DataFrame, key: str, value: str, tag: str | None = None, as_t
         F.array_sort(F.collect_list(F.struct(value, "_n"))).alias("_vn"))
     if as_text:
         rendered = F.transform("_vn", lambda x: F.array_join(
-            F.array_repeat(F.coalesce(x[value].cast("string"), F.lit("null")), x["_n"].cast("int")), LIST_SEP))
+            F.array_repeat(F.coalesce(x[value].cast("string"), F.lit("null")), _copies(x["_n"])), LIST_SEP))
         return slices.select(*keys, RUN, F.array_join(rendered, LIST_SEP).alias("txt"))
-    expanded = F.flatten(F.transform("_vn", lambda x: F.array_repeat(x[value], x["_n"].cast("int"))))
+    expanded = F.flatten(F.transform("_vn", lambda x: F.array_repeat(x[value], _copies(x["_n"]))))
     return slices.select(*keys, RUN, expanded.alias("vs"))
 
 
+def _copies(n: Column) -> Column:
+    """Copy count for ``array_repeat``; a count beyond the array limit fails loudly (a plain int cast
+    would wrap in a non-ANSI session and silently drop values). ``group_chunks`` has no such limit."""
+    return F.when(n <= F.lit(2_147_483_647), n.cast("int")).otherwise(
+        F.raise_error(F.lit("a single (key, value) pair occurs too often for one list; use group_chunks")))
+
+
 def _ordered(parts: Column, field_name: str) -> Column:
     """collect_list(struct(_run, x)) -> x's in run order."""
     return F.transform(F.array_sort(parts), lambda s: s[field_name])
