@@ -86,12 +86,11 @@ def parse_float(c) -> Column:
     decimal or hex literal with optional ``f/F/d/D`` suffix; out-of-range rounds to +-Infinity/0."""
     t = jtrim(as_col(c))
     unsuffixed = F.regexp_replace(t, r"[fFdD]\z", "")
-    return (
-        F.when(t.rlike(FLOAT_NAN_RE), F.lit(float("nan")))
+    return (  # the common decimal form is tested first
+        F.when(t.rlike(FLOAT_DEC_RE), unsuffixed.try_cast("double"))
+        .when(t.rlike(FLOAT_NAN_RE), F.lit(float("nan")))
         .when(t.rlike(FLOAT_INF_RE),
-              F.when(F.regexp_extract(t, FLOAT_INF_RE, 1) == F.lit("-"), F.lit(float("-inf")))
-              .otherwise(F.lit(float("inf"))))
-        .when(t.rlike(FLOAT_DEC_RE), unsuffixed.try_cast("double"))
+              F.when(F.startswith(t, F.lit("-")), F.lit(float("-inf"))).otherwise(F.lit(float("inf"))))
         .when(t.rlike(FLOAT_HEX_RE), t.try_cast("double"))
     )
 

@@ -13,22 +13,26 @@ from pyspark.sql import functions as F
 
 from sparkloom.functions._col import as_col
 
-# The whitespace set of Character.isWhitespace (used by String.strip), written as a
-# Java regex class: the ASCII controls TAB, LF, VT, FF, CR, FS, GS, RS, US plus every Unicode space,
-# line and paragraph separator except the three no-break spaces U+00A0, U+2007, U+202F.
-STRIP_CLASS = r"[[\t\n\x0B\f\r\x1C-\x1F][\p{Z}&&[^\x{00A0}\x{2007}\x{202F}]]]"
+# The characters Character.isWhitespace accepts (what String.strip removes): TAB, LF,
+# VT, FF, CR, FS, GS, RS, US, and the Unicode space, line and paragraph separators except the
+# no-break spaces U+00A0, U+2007 and U+202F.
+STRIP_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
+    "\u0020\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2008\u2009\u200a"
+    "\u2028\u2029\u205f\u3000"
+)
 # String.trim removes every char <= U+0020.
-TRIM_CLASS = r"[\x00-\x20]"
+TRIM_CHARS = "".join(chr(c) for c in range(0x21))
 
 
 def strip(c) -> Column:
     """``String.strip()``: remove leading/trailing Unicode whitespace (not no-break spaces)."""
-    return F.regexp_replace(as_col(c), rf"^{STRIP_CLASS}+|{STRIP_CLASS}+\z", "")
+    return F.btrim(as_col(c), F.lit(STRIP_CHARS))
 
 
 def jtrim(c) -> Column:
     """``String.trim()``: remove leading/trailing chars <= U+0020."""
-    return F.regexp_replace(as_col(c), rf"^{TRIM_CLASS}+|{TRIM_CLASS}+\z", "")
+    return F.btrim(as_col(c), F.lit(TRIM_CHARS))
 
 
 def java_split(c, sep: str = ",") -> Column:

@@ -109,5 +109,7 @@ def test_strip_trim_length(spark):
     rows = df.select(strip("v").alias("s"), jtrim("v").alias("t")).collect()
     assert [r.s for r in rows] == ["12", " 12 ", "\x0112\x01"]
     assert [r.t for r in rows] == ["12 ", " 12 ", "12"]
+    uni = spark.createDataFrame([("\u3000 12\u2028",), ("\u00a012\u2007",), ("\u1680x\u205f",)], "v string")
+    assert [r.s for r in uni.select(strip("v").alias("s")).collect()] == ["12", "\u00a012\u2007", "x"]
     emoji = spark.createDataFrame([("a\U0001F600",)], "v string")
     assert emoji.select(utf16_length("v").alias("n")).collect()[0].n == 3
