@@ -39,10 +39,18 @@ def java_split(c, sep: str = ",") -> Column:
     """``String.split(sep)`` (limit 0) for a literal separator.
 
     Unlike Spark's ``split``, trailing empty fields are dropped: ``"a,b,,"`` -> 2 fields,
-    ``","`` -> 0 fields, ``""`` -> one empty field.
-    """
+    ``","`` -> 0 fields, ``""`` -> one empty field. For a one-character separator, dropping the
+    trailing empty fields is right-trimming that character (no regex pass); longer separators use a
+    regex for the trailing run."""
     v = as_col(c)
     s = re.escape(sep)
+    if len(sep) == 1:
+        body = F.rtrim(v, F.lit(sep))
+        return (
+            F.when(v == F.lit(""), F.array(F.lit("")))
+            .when(body == F.lit(""), F.array().cast("array<string>"))
+            .otherwise(F.split(body, s))
+        )
     return (
         F.when(v == F.lit(""), F.array(F.lit("")))
         .when(v.rlike(rf"^(?:{s})+\z"), F.array().cast("array<string>"))

@@ -141,3 +141,22 @@ DATEISH = st.one_of(
 @given(st.lists(DATEISH, min_size=1, max_size=40))
 def test_date_matches_model(spark, values):
     assert run(spark, "DATE", values) == [model_date(v) for v in values]
+
+
+def model_java_split(s, sep):
+    if s == "":
+        return [""]
+    parts = s.split(sep)
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text(alphabet="ab,:|", max_size=10), min_size=1, max_size=30), st.sampled_from([",", "|", "::"]))
+def test_java_split_matches_model(spark, values, sep):
+    from sparkloom.functions.strings import java_split
+
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    rows = sorted(df.select("i", java_split(F.col("v"), sep).alias("p")).collect(), key=lambda r: r.i)
+    assert [r.p for r in rows] == [model_java_split(v, sep) for v in values]
