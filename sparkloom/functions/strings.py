@@ -40,8 +40,7 @@ def java_split(c, sep: str = ",") -> Column:
 
     Unlike Spark's ``split``, trailing empty fields are dropped: ``"a,b,,"`` -> 2 fields,
     ``","`` -> 0 fields, ``""`` -> one empty field. For a one-character separator, dropping the
-    trailing empty fields is right-trimming that character (no regex pass); longer separators use a
-    regex for the trailing run."""
+    trailing empty fields is right-trimming that character (no regex pass)."""
     v = as_col(c)
     s = re.escape(sep)
     if len(sep) == 1:
@@ -51,11 +50,14 @@ def java_split(c, sep: str = ",") -> Column:
             .when(body == F.lit(""), F.array().cast("array<string>"))
             .otherwise(F.split(body, s))
         )
-    return (
-        F.when(v == F.lit(""), F.array(F.lit("")))
-        .when(v.rlike(rf"^(?:{s})+\z"), F.array().cast("array<string>"))
-        .otherwise(F.split(F.regexp_replace(v, rf"(?:{s})+\z", ""), s))
-    )
+    # Longer separators: split left to right keeping every field, then drop the trailing empty
+    # fields (a right-anchored regex would align the separators from the wrong end).
+    parts = F.split(v, s, -1)
+    trailing = F.aggregate(
+        F.reverse(parts), F.struct(F.lit(0).alias("n"), F.lit(True).alias("open")),
+        lambda acc, x: F.when(acc["open"] & (x == F.lit("")), F.struct((acc["n"] + 1).alias("n"), F.lit(True).alias("open")))
+        .otherwise(F.struct(acc["n"].alias("n"), F.lit(False).alias("open"))))["n"]
+    return F.when(v == F.lit(""), F.array(F.lit(""))).otherwise(F.slice(parts, 1, F.size(parts) - trailing))
 
 
 def get_field(parts, index: int, line) -> Column:

@@ -102,11 +102,11 @@ def test_java_split(spark):
     df = spark.createDataFrame([(v,) for v in vals], "v string")
     got = [r.p for r in df.select(java_split(F.col("v")).alias("p")).collect()]
     assert got == [["a", "b"], [], [""], ["", "", "b"], ["a"], ["a", "", "b"]]
-    multi = spark.createDataFrame([("a::b::::",), ("::",), ("",), ("a|b||",)], "v string")
+    multi = spark.createDataFrame([("a::b::::",), ("::",), ("",), ("a|b||",), (":::::::",)], "v string")
     got2 = [r.p for r in multi.select(java_split(F.col("v"), "::").alias("p")).collect()]
-    assert got2 == [["a", "b"], [], [""], ["a|b||"]]
+    assert got2 == [["a", "b"], [], [""], ["a|b||"], ["", "", "", ":"]]
     pipes = [r.p for r in multi.select(java_split(F.col("v"), "|").alias("p")).collect()]
-    assert pipes == [["a::b::::"], ["::"], [""], ["a", "b"]]
+    assert pipes == [["a::b::::"], ["::"], [""], ["a", "b"], [":::::::"]]
 
 
 def test_strip_trim_length(spark):
