@@ -160,3 +160,68 @@ def test_java_split_matches_model(spark, values, sep):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
     rows = sorted(df.select("i", java_split(F.col("v"), sep).alias("p")).collect(), key=lambda r: r.i)
     assert [r.p for r in rows] == [model_java_split(v, sep) for v in values]
+
+
+_DT_RE = (r"([0-9]{4})-([0-9]{2})-([0-9]{2})T([0-9]{2}):([0-9]{2})(?::([0-9]{2})(?:\.([0-9]{0,9}))?)?")
+
+
+def _model_local(m):
+    import datetime as dt
+
+    y, mo, d, h, mi, s, frac = m.group(1, 2, 3, 4, 5, 6, 7)
+    try:
+        return dt.datetime(int(y), int(mo), int(d), int(h), int(mi), int(s or 0), int(((frac or "") + "000000")[:6]))
+    except ValueError:
+        return None
+
+
+def model_datetime(s):
+    m = re.fullmatch(_DT_RE, (s or "").upper())
+    return _model_local(m) if m else None
+
+
+def model_timestamp_us(s):
+    import datetime as dt
+
+    m = re.fullmatch(_DT_RE + r"(Z|[+-][0-9]{2}:[0-9]{2}(?::[0-9]{2})?)", (s or "").upper())
+    if not m:
+        return None
+    local = _model_local(m)
+    off = m.group(8)
+    if local is None:
+        return None
+    if off == "Z":
+        secs = 0
+    else:
+        sign = -1 if off[0] == "-" else 1
+        hh, mm, ss = (int(x) for x in (off[1:].split(":") + ["0"])[:3])
+        if hh > 18 or mm > 59 or ss > 59 or (hh == 18 and (mm or ss)):
+            return None
+        secs = sign * (hh * 3600 + mm * 60 + ss)
+    epoch = dt.datetime(1970, 1, 1)
+    return (local - epoch) // dt.timedelta(microseconds=1) - secs * 1_000_000
+
+
+TSISH = st.one_of(
+    st.builds(lambda y, mo, d, h, mi, s, f, t, off: f"{y:04d}-{mo:02d}-{d:02d}{t}{h:02d}:{mi:02d}{s}{f}{off}",
+              st.integers(1900, 2100), st.integers(1, 13), st.integers(1, 31), st.integers(0, 24), st.integers(0, 60),
+              st.sampled_from(["", ":00", ":59", ":60", ":7"]), st.sampled_from(["", ".", ".5", ".123456", ".123456789"]),
+              st.sampled_from(["T", "t", " "]),
+              st.sampled_from(["", "Z", "z", "+05:30", "-08:00", "+18:00", "+18:30", "+05:30:15", "+0530", "+5:30"])),
+    st.none(),
+)
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(TSISH, min_size=1, max_size=40))
+def test_timestamp_matches_model(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, raw string")
+    rows = df.select("i", F.unix_micros(casts.parse_timestamp(F.col("raw"))).alias("us")).collect()
+    got = [r.us for r in sorted(rows, key=lambda r: r.i)]
+    assert got == [model_timestamp_us(v) for v in values]
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(TSISH, min_size=1, max_size=40))
+def test_datetime_matches_model(spark, values):
+    assert run(spark, "DATETIME", values) == [model_datetime(v) for v in values]
