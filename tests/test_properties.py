@@ -225,3 +225,57 @@ def test_timestamp_matches_model(spark, values):
 @given(st.lists(TSISH, min_size=1, max_size=40))
 def test_datetime_matches_model(spark, values):
     assert run(spark, "DATETIME", values) == [model_datetime(v) for v in values]
+
+
+PAIRS = st.lists(st.tuples(st.sampled_from(["a", "b", "hot", "x"]), st.integers(-5, 30)), min_size=1, max_size=120)
+
+
+def _no_merge(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+
+
+def _merge(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@settings(max_examples=15, deadline=None)
+@given(PAIRS)
+def test_group_lines_and_chunks_match_model(spark, pairs):
+    from sparkloom.operators import keyed
+
+    df = spark.createDataFrame(pairs, "k string, v bigint")
+    want = {}
+    for k, v in pairs:
+        want.setdefault(k, []).append(v)
+    _no_merge(spark)
+    try:
+        lines = {r.k: r.line for r in keyed.group_lines(df).collect()}
+        chunks = {}
+        for r in keyed.group_chunks(df, chunk_size=3).collect():
+            chunks.setdefault(r.k, {})[r.chunk] = r.txt
+    finally:
+        _merge(spark)
+    assert lines == {k: f"{k}:[" + ", ".join(str(v) for v in sorted(vs)) + "]" for k, vs in want.items()}
+    for k, vs in want.items():
+        vs = sorted(vs)
+        assert chunks[k] == {i // 3: ", ".join(str(v) for v in vs[i:i + 3]) for i in range(0, len(vs), 3)}
+
+
+@settings(max_examples=15, deadline=None)
+@given(PAIRS, PAIRS)
+def test_cogroup_matches_model(spark, left, right):
+    from sparkloom.operators import keyed
+
+    a = spark.createDataFrame([(k, str(v)) for k, v in left], "k string, v string")
+    b = spark.createDataFrame([(k, str(v)) for k, v in right], "k string, v string")
+    _no_merge(spark)
+    try:
+        got = {r.k: r.line for r in keyed.cogroup_lines({"l": a, "r": b}).collect()}
+    finally:
+        _merge(spark)
+    keys = {k for k, _ in left} | {k for k, _ in right}
+
+    def side(rows, k):
+        return "[" + ", ".join(sorted(str(v) for kk, v in rows if kk == k)) + "]"
+
+    assert got == {k: f"{k} : {side(left, k)};{side(right, k)}" for k in keys}
