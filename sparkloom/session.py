@@ -44,7 +44,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001 - remote session: only the session conf is visible
         sc = None
     if sc is not None:
-        configured = sc.getCheckpointDir() or configured or sc.getConf().get(_CHECKPOINT_KEY, None)
+        if sc.getCheckpointDir():
+            return sc.getCheckpointDir().rstrip("/")
+        configured = configured or sc.getConf().get(_CHECKPOINT_KEY, None)
+        if configured:  # named in the conf only: register it so DataFrame.checkpoint() uses it too
+            sc.setCheckpointDir(configured)
+            return sc.getCheckpointDir().rstrip("/")
     if configured:
         return configured.rstrip("/")
     if sc is None or not sc.master.startswith("local"):
