@@ -20,38 +20,39 @@ def _is_path(target: str) -> bool:
     return "/" in target
 
 
-def target_exists(spark: SparkSession, target: str) -> bool:
+def target_exists(spark: SparkSession, target: str, fmt: str = "parquet") -> bool:
     if not _is_path(target):
         return spark.catalog.tableExists(target)
     try:
-        spark.read.parquet(target).schema
+        spark.read.format(fmt).load(target).schema
         return True
     except AnalysisException:
         return False
 
 
-def read_target(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target) if _is_path(target) else spark.read.table(target)
+def read_target(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame:
+    return spark.read.format(fmt).load(target) if _is_path(target) else spark.read.table(target)
 
 
 def write_table(df: DataFrame, target: str, write: str = "append", create: str = "if_needed",
-                partition_by: list[str] | None = None) -> str:
+                partition_by: list[str] | None = None, fmt: str = "parquet") -> str:
     """K4: ``append`` adds rows; ``truncate`` replaces the table's content; ``empty`` writes only if
-    the target has no rows. ``create="never"`` requires the target to exist already."""
+    the target has no rows. ``create="never"`` requires the target to exist already. Path targets
+    are written as ``fmt``; catalog tables keep their own format."""
     if write not in WRITE_DISPOSITIONS or create not in CREATE_DISPOSITIONS:
         raise ValueError(f"write must be one of {WRITE_DISPOSITIONS}, create one of {CREATE_DISPOSITIONS}")
     spark = df.sparkSession
-    exists = target_exists(spark, target)
+    exists = target_exists(spark, target, fmt)
     if create == "never" and not exists:
         raise ValueError(f"target {target} does not exist and create disposition is 'never'")
-    if write == "empty" and exists and not read_target(spark, target).isEmpty():
+    if write == "empty" and exists and not read_target(spark, target, fmt).isEmpty():
         raise ValueError(f"target {target} is not empty (write disposition 'empty')")
     mode = "overwrite" if write == "truncate" else "append"
     if _is_path(target):
         writer = df.write.mode(mode)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(target)
+        writer.format(fmt).save(target)
     elif exists:
         cols = spark.read.table(target).columns
         df.select(*cols).write.insertInto(target, overwrite=(mode == "overwrite"))
@@ -80,7 +81,7 @@ def with_ingestion_day(df: DataFrame) -> DataFrame:
 
 
 def write_day_partitions(df: DataFrame, target: str, partition_col: str | None = NO_PARTITION_COLUMN,
-                         on_null: str = "fail", reject_target: str | None = None) -> str:
+                         on_null: str = "fail", reject_target: str | None = None, fmt: str = "parquet") -> str:
     """K5/K6: replace exactly the day partitions present in ``df``; untouched days stay.
 
     * ``partition_col`` must be a DATE column; ``None``/``"N/A"`` routes rows to today's date
@@ -105,7 +106,7 @@ def write_day_partitions(df: DataFrame, target: str, partition_col: str | None =
     if on_null == "divert":
         if not reject_target:
             raise ValueError("on_null='divert' needs a reject_target")
-        df.where(F.col(partition_col).isNull()).write.mode("append").parquet(reject_target)
+        df.where(F.col(partition_col).isNull()).write.mode("append").format(fmt).save(reject_target)
         df = df.where(F.col(partition_col).isNotNull())
     elif on_null == "fail":
         part = F.col(partition_col)
@@ -116,7 +117,7 @@ def write_day_partitions(df: DataFrame, target: str, partition_col: str | None =
     df = df.hint("rebalance", partition_col)
     if _is_path(target):
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition_col).parquet(target))
+         .partitionBy(partition_col).format(fmt).save(target))
         return target
     if not spark.catalog.tableExists(target):
         raise ValueError(f"table {target} must exist (partitioned writes use create disposition 'never')")

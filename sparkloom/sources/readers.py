@@ -22,25 +22,26 @@ def from_rows(spark: SparkSession, rows: Iterable, schema) -> DataFrame:
 
 
 def _is_path(name: str) -> bool:
-    return "/" in name or name.endswith(".parquet")
+    return "/" in name or name.endswith((".parquet", ".orc", ".json"))
 
 
-def read_table(spark: SparkSession, table: str | None = None, query: str | None = None) -> DataFrame:
+def read_table(spark: SparkSession, table: str | None = None, query: str | None = None,
+               fmt: str = "parquet") -> DataFrame:
     """The table if given, else the SQL query, else an error (the documented input rule).
 
-    ``table`` is a catalog name or a parquet path; ``query`` runs through ``spark.sql`` against
-    the session's catalog/temp views, so all of Spark SQL is available."""
+    ``table`` is a catalog name or a path (read as ``fmt``: parquet, orc, json, ...); ``query`` runs
+    through ``spark.sql`` against the session's catalog/temp views, so all of Spark SQL is available."""
     if table:
-        return spark.read.parquet(table) if _is_path(table) else spark.read.table(table)
+        return spark.read.format(fmt).load(table) if _is_path(table) else spark.read.table(table)
     if query:
         return spark.sql(query)
     raise ValueError("either a table or a SQL query must be given")
 
 
-def read_pruned(spark: SparkSession, table: str, fields: list[Field]) -> DataFrame:
+def read_pruned(spark: SparkSession, table: str, fields: list[Field], fmt: str = "parquet") -> DataFrame:
     """Only the schema's columns (minus the load-time column) are read; Catalyst turns the
-    projection into the parquet ``ReadSchema`` so other columns are never decoded."""
-    return read_table(spark, table=table).select(*raw_projection(fields))
+    projection into the columnar ``ReadSchema`` so other columns are never decoded."""
+    return read_table(spark, table=table, fmt=fmt).select(*raw_projection(fields))
 
 
 def spread(df: DataFrame, min_partitions: int | None = None, by: list[str] | None = None) -> DataFrame:

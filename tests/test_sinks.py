@@ -139,3 +139,16 @@ def test_partition_column_must_be_date(spark, out_dir):
     df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 10, 0))], "id bigint, ts timestamp")
     with pytest.raises(TypeError):
         tables.write_day_partitions(df, out_dir("bad-part"), "ts")
+
+
+def test_orc_path_tables(spark, out_dir):
+    path = out_dir("orc-days")
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    tables.write_day_partitions(_days(spark, [(1, "a", d1), (2, "b", d2)]), path, "day", fmt="orc")
+    tables.write_day_partitions(_days(spark, [(3, "c", d2)]), path, "day", fmt="orc")
+    got = sorted(tuple(r) for r in readers.read_table(spark, table=path, fmt="orc").select("id", "v", "day").collect())
+    assert got == [(1, "a", d1), (3, "c", d2)]
+    tpath = out_dir("orc-tbl")
+    tables.write_table(spark.range(2), tpath, write="empty", fmt="orc")
+    tables.write_table(spark.range(2), tpath, write="append", create="never", fmt="orc")
+    assert readers.read_table(spark, table=tpath, fmt="orc").count() == 4
