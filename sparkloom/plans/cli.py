@@ -50,6 +50,8 @@ def build_parser() -> argparse.ArgumentParser:
     st.add_argument("--on-error", default="reset", choices=["reset", "null_field", "strict", "reject"])
     st.add_argument("--on-null", default="fail", choices=["fail", "divert"])
     st.add_argument("--reject-output")
+    st.add_argument("--input-format", default="parquet")
+    st.add_argument("--output-format", default="parquet")
 
     tt = sub.add_parser("stage-table", help="raw table or SQL query -> typed table with dispositions")
     tt.add_argument("--table")
@@ -58,6 +60,8 @@ def build_parser() -> argparse.ArgumentParser:
     tt.add_argument("--output", required=True)
     tt.add_argument("--write", default="append", choices=["append", "truncate", "empty"])
     tt.add_argument("--create", default="if_needed", choices=["if_needed", "never"])
+    tt.add_argument("--input-format", default="parquet")
+    tt.add_argument("--output-format", default="parquet")
 
     text_job("group-words", "'word, n' lines -> 'word:[n1, n2]'")
     text_job("sum-words", "'word, n' lines -> 'word:sum'")
@@ -87,10 +91,12 @@ def run(spark: SparkSession, argv: Sequence[str]) -> str:
         return jobs.raw_to_staging(spark, output=a.output, table=a.table, query=a.query,
                                    schema_json_path=a.schema_json, schema_string=a.schema_string,
                                    partition_col=a.partition_col, on_error=a.on_error, on_null=a.on_null,
-                                   reject_output=a.reject_output)
+                                   reject_output=a.reject_output, input_format=a.input_format,
+                                   output_format=a.output_format)
     if a.job == "stage-table":
         return jobs.raw_to_table(spark, output=a.output, table=a.table, query=a.query,
-                                 schema_string=a.schema_string, write=a.write, create=a.create)
+                                 schema_string=a.schema_string, write=a.write, create=a.create,
+                                 input_format=a.input_format, output_format=a.output_format)
     if a.job == "cogroup":
         inputs = {"left": _kv_text(spark, a.left), "right": _kv_text(spark, a.right)}
         return jobs.cogroup_pairs(inputs, output=a.output, blank_empty=a.blank_empty)

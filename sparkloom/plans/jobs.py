@@ -32,9 +32,9 @@ def load_fields(spark: SparkSession, schema_json_path: str | None = None, schema
 
 
 def staged(spark: SparkSession, fields: list[sch.Field], table: str | None = None, query: str | None = None,
-           on_error: str = "reset", prune: bool = True) -> DataFrame:
+           on_error: str = "reset", prune: bool = True, input_format: str = "parquet") -> DataFrame:
     """Raw -> typed rows (the lazy part of the staging job)."""
-    raw = readers.read_table(spark, table=table, query=query)
+    raw = readers.read_table(spark, table=table, query=query, fmt=input_format)
     if prune:
         present = set(raw.columns)
         raw = raw.select(*[c for c in sch.raw_projection(fields) if c in present])
@@ -44,21 +44,24 @@ def staged(spark: SparkSession, fields: list[sch.Field], table: str | None = Non
 def raw_to_staging(spark: SparkSession, *, output: str, table: str | None = None, query: str | None = None,
                    schema_json_path: str | None = None, schema_json: str | None = None,
                    schema_string: str | None = None, partition_col: str | None = tables.NO_PARTITION_COLUMN,
-                   on_error: str = "reset", on_null: str = "fail", reject_output: str | None = None) -> str:
+                   on_error: str = "reset", on_null: str = "fail", reject_output: str | None = None,
+                   input_format: str = "parquet", output_format: str = "parquet") -> str:
     """The staging load: read the raw table or query, cast by the schema, stamp the load time and
     replace the day partitions present in the batch."""
     fields = load_fields(spark, schema_json_path, schema_json, schema_string)
-    out = staged(spark, fields, table=table, query=query, on_error=on_error)
-    return tables.write_day_partitions(out, output, partition_col, on_null=on_null, reject_target=reject_output)
+    out = staged(spark, fields, table=table, query=query, on_error=on_error, input_format=input_format)
+    return tables.write_day_partitions(out, output, partition_col, on_null=on_null, reject_target=reject_output,
+                                       fmt=output_format)
 
 
 def raw_to_table(spark: SparkSession, *, output: str, table: str | None = None, query: str | None = None,
                  schema_string: str | None = None, schema_json: str | None = None,
-                 write: str = "append", create: str = "if_needed", on_error: str = "reset") -> str:
+                 write: str = "append", create: str = "if_needed", on_error: str = "reset",
+                 input_format: str = "parquet", output_format: str = "parquet") -> str:
     """Staging into an unpartitioned table with write/create dispositions."""
     fields = load_fields(spark, None, schema_json, schema_string)
-    return tables.write_table(staged(spark, fields, table=table, query=query, on_error=on_error),
-                              output, write=write, create=create)
+    rows = staged(spark, fields, table=table, query=query, on_error=on_error, input_format=input_format)
+    return tables.write_table(rows, output, write=write, create=create, fmt=output_format)
 
 
 # ---- keyed text jobs -----------------------------------------------------------------------

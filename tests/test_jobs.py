@@ -99,3 +99,6 @@ def test_cli(spark, out_dir):
     out = cli.run(spark, ["stage", "--query", "SELECT * FROM cli_raw", "--schema-string", "id:INTEGER|d:DATE",
                           "--output", out_dir("cli-s"), "--partition-col", "d"])
     assert [(r.id, str(r.d)) for r in spark.read.parquet(out).collect()] == [(1, "2024-01-01")]
+    out = cli.run(spark, ["stage-table", "--query", "SELECT * FROM cli_raw", "--schema-string", "id:INTEGER|d:DATE",
+                          "--output", out_dir("cli-t"), "--output-format", "json"])
+    assert [(r.id, r.d) for r in spark.read.json(out).collect()] == [(1, "2024-01-01")]
