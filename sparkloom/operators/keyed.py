@@ -1,12 +1,14 @@
 """Keyed operators: group by key, co-group, sum per key, global max, scalar filter, multi-output.
 
-Skew policy: any key may hold a large share of all rows. Grouped outputs are therefore built from
-*sorted runs*: ``repartitionByRange(key, value)`` samples the data and cuts a hot key's value range
-over many partitions, each partition sorts/aggregates its contiguous slice (bounded by partition
-size, spread over all executors), and only the already-sorted, already-formatted runs meet per key
-at the end. No task ever sorts a whole group; the one place a whole group meets is the final
-output row itself, which *is* the requested result (one line / one list per key). Callers that
-want bounded rows use ``group_runs`` / ``cogroup_runs`` directly.
+Skew policy: any key - or any single (key, value) pair - may hold a large share of all rows.
+Grouped outputs are built from *sorted runs*: copies of a pair first collapse to a count (partial
+aggregation, map-side), then ``repartitionByRange(key, value)`` samples those counts and cuts a
+hot key's value range over many partitions; each partition sorts/aggregates its contiguous slice
+(bounded by partition size, spread over all executors), and only the already-sorted,
+already-formatted runs meet per key at the end. No task ever sorts a whole group; the one place a
+whole group meets is the final output row itself, which *is* the requested result (one line / one
+list per key). ``group_chunks`` returns the same lists in fixed-size chunks, so no row, group or
+task holds more than the chunk size; ``group_runs`` / ``cogroup_runs`` expose the runs.
 
 Numeric reductions (sum, max) use Spark's partial + final aggregation, so a hot key is reduced to
 one row per map task before the shuffle.
