@@ -24,7 +24,6 @@ from sparkloom.functions.formatting import (
     format_cogroup_text,
     format_group_text,
     format_kv,
-    join_values,
 )
 from sparkloom.functions.strings import get_field, java_split, strip, utf16_length
 
