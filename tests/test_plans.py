@@ -62,3 +62,13 @@ def test_max_filter_uses_scalar_subquery(spark):
     p = plan(QUERIES["max_length_filter"](spark, SF))
     assert "Subquery" in p
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_spread_is_noop_on_split_inputs(spark):
+    from sparkloom.sources.readers import spread
+
+    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism)
+    assert spread(many) is many
+    one = spark.range(0, 1000, numPartitions=1)
+    spread_one = spread(one, by=["id"])
+    assert spread_one is not one and "REPARTITION_BY_NUM" in plan(spread_one)
