@@ -165,3 +165,23 @@ def test_wide_schema_reset_is_linear(spark):
     assert plan.count("greatest(") == 1
     out = staged.collect()[0]
     assert all(out[i] is None for i in range(151)) and all(out[i] == i for i in range(151, n))
+
+
+def test_schema_json_errors():
+    with pytest.raises(ValueError):
+        sch.from_json_text('{"name": "id", "type": "INTEGER"}')
+    with pytest.raises(ValueError):
+        sch.from_json_text('[{"name": "id"}]')
+    with pytest.raises(ValueError):
+        sch.from_json_text("not json")
+
+
+def test_explicit_load_time_is_erased_by_a_later_failure(spark):
+    import datetime as dt
+
+    fields = [sch.Field("record_load_ts", "TIMESTAMP"), sch.Field("id", "INTEGER"), sch.Field("n", "INTEGER")]
+    df = spark.createDataFrame([("1", "2"), ("1", "x")], "id string, n string")
+    when = F.lit("2024-01-02 03:04:05").cast("timestamp")
+    rows = sorted(staging.stage(df, fields, load_time=when).collect(), key=lambda r: r.n is None)
+    assert rows[0].record_load_ts == dt.datetime(2024, 1, 2, 3, 4, 5) and (rows[0].id, rows[0].n) == (1, 2)
+    assert tuple(rows[1]) == (None, None, None)  # 'x' fails at the last position: the whole row resets
