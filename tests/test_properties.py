@@ -279,3 +279,41 @@ def test_cogroup_matches_model(spark, left, right):
         return "[" + ", ".join(sorted(str(v) for kk, v in rows if kk == k)) + "]"
 
     assert got == {k: f"{k} : {side(left, k)};{side(right, k)}" for k in keys}
+
+
+def _java_whitespace(ch):
+    import unicodedata
+
+    if ch in "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f":
+        return True
+    return unicodedata.category(ch) in ("Zs", "Zl", "Zp") and ch not in "\u00a0\u2007\u202f"
+
+
+def model_kv(line):
+    fields = model_java_split(line, ",")
+    raw = fields[1]
+    i, j = 0, len(raw)
+    while i < j and _java_whitespace(raw[i]):
+        i += 1
+    while j > i and _java_whitespace(raw[j - 1]):
+        j -= 1
+    return fields[0], int(raw[i:j])
+
+
+# space, tab, ideographic space, line separator, ogham space mark (all stripped by String.strip)
+SPACES = st.text(alphabet=" \t\u3000\u2028\u1680", max_size=3)
+KV_LINES = st.builds(
+    lambda k, pre, n, post, extra: f"{k},{pre}{n}{post}{extra}",
+    st.text(alphabet="ab c", max_size=4), SPACES, st.integers(-10**12, 10**12), SPACES,
+    st.sampled_from(["", ",", ",x", ",x,,", ",,"]),
+)
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(KV_LINES, min_size=1, max_size=30))
+def test_parse_kv_lines_matches_model(spark, lines):
+    from sparkloom.operators import keyed
+
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "i int, value string")
+    got = keyed.parse_kv_lines(df.select("value", "i")).collect()
+    assert sorted((r.k, r.v) for r in got) == sorted(model_kv(line) for line in lines)
