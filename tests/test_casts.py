@@ -110,10 +110,10 @@ def test_java_split(spark):
 
 
 def test_strip_trim_length(spark):
-    df = spark.createDataFrame([(" \t12 \n",), (" 12 ",), ("\x0112\x01",)], "v string")
+    df = spark.createDataFrame([(" \t12\u2003\n",), ("\u00a012\u00a0",), ("\x0112\x01",)], "v string")
     rows = df.select(strip("v").alias("s"), jtrim("v").alias("t")).collect()
-    assert [r.s for r in rows] == ["12", " 12 ", "\x0112\x01"]
-    assert [r.t for r in rows] == ["12 ", " 12 ", "12"]
+    assert [r.s for r in rows] == ["12", "\u00a012\u00a0", "\x0112\x01"]
+    assert [r.t for r in rows] == ["12\u2003", "\u00a012\u00a0", "12"]
     uni = spark.createDataFrame([("\u3000 12\u2028",), ("\u00a012\u2007",), ("\u1680x\u205f",)], "v string")
     assert [r.s for r in uni.select(strip("v").alias("s")).collect()] == ["12", "\u00a012\u2007", "x"]
     emoji = spark.createDataFrame([("a\U0001F600",)], "v string")
