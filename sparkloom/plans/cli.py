@@ -69,8 +69,8 @@ def build_parser() -> argparse.ArgumentParser:
     sw = sub.add_parser("split-words", help="grouped words routed to below/above/marker outputs")
     sw.add_argument("--input", required=True)
     sw.add_argument("--output", required=True)
-    sw.add_argument("--cutoff", type=int, default=5)
-    sw.add_argument("--marker", default="s")
+    sw.add_argument("--cutoff", type=int, default=jobs.DEFAULT_CUTOFF)
+    sw.add_argument("--marker", default=jobs.DEFAULT_MARKER)
     cg = sub.add_parser("cogroup", help="two 'key,value' inputs -> 'key : [..];[..]'")
     cg.add_argument("--left", required=True)
     cg.add_argument("--right", required=True)
@@ -79,7 +79,7 @@ def build_parser() -> argparse.ArgumentParser:
     text_job("recode-sessions", "session CSV: drop headers, recode field 6, header on every shard")
     text_job("upper-usernames", "session CSV: field 2 upper-cased")
     cc = text_job("city-customers", "customer CSV: keep one city")
-    cc.add_argument("--city", default="Los Angeles")
+    cc.add_argument("--city", default=jobs.DEFAULT_CITY)
     cr = text_job("customer-records", "lines starting with a customer id (comments skipped)")
     cr.add_argument("--customer-id", required=True)
     return p

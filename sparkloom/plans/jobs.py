@@ -13,11 +13,15 @@ from sparkloom.operators import keyed, lines, staging
 from sparkloom.sinks import tables, text
 from sparkloom.sources import readers
 
-# CSV headers of the line jobs.
+# CSV headers of the line jobs, the default city of the city filter, and the default
+# length cutoff and marker of the word-routing job.
 SESSION_HEADER = "sessionid,userid,username,videoid,duration,starttime,sex"
 SESSION_HEADER_PREFIX = "sessionid"
 CUSTOMER_HEADER = "id,name,last name,city"
 USERNAME_HEADER = "username"
+DEFAULT_CITY = "Los Angeles"
+DEFAULT_CUTOFF = 5
+DEFAULT_MARKER = "s"
 
 
 def load_fields(spark: SparkSession, schema_json_path: str | None = None, schema_json: str | None = None,
@@ -88,7 +92,8 @@ def cogroup_pairs(inputs: dict[str, DataFrame], *, output: str, blank_empty: boo
                             num_shards=num_shards)
 
 
-def split_words(spark: SparkSession, *, input: str, output: str, cutoff: int = 5, marker: str = "s") -> str:
+def split_words(spark: SparkSession, *, input: str, output: str, cutoff: int = DEFAULT_CUTOFF,
+                marker: str = DEFAULT_MARKER) -> str:
     kv = keyed.parse_kv_lines(readers.read_lines(spark, input))
     routed = keyed.route_outputs(keyed.group_lines(kv), "k", cutoff, marker)
     return text.write_tagged(routed.select("line", "tag"), output, tag="tag", col="line")
@@ -105,7 +110,7 @@ def upper_usernames(spark: SparkSession, *, input: str, output: str, num_shards:
     return text.write_lines(lines.field_upper(data, 2), output, header=USERNAME_HEADER, num_shards=num_shards)
 
 
-def city_customers(spark: SparkSession, *, input: str, output: str, city: str = "Los Angeles",
+def city_customers(spark: SparkSession, *, input: str, output: str, city: str = DEFAULT_CITY,
                    num_shards: int | None = None) -> str:
     data = lines.field_equals(readers.read_lines(spark, input), CUSTOMER_HEADER, 3, city)
     return text.write_lines(data, output, header=CUSTOMER_HEADER, num_shards=num_shards)
