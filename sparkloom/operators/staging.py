@@ -24,7 +24,7 @@ from sparkloom.functions.casts import is_supported, parse_as, parse_failed
 from sparkloom.schema import RECORD_LOAD_TS, Field
 
 MODES = ("reset", "null_field", "strict", "reject")
-# Types the strict (legacy) mode parses; anything else is copied through as it is.
+# The types the strict (legacy) mode parses; anything else is copied through as is.
 _STRICT_TYPES = frozenset({"INTEGER", "LONG", "NUMERIC", "DATE", "DATETIME", "TIMESTAMP", "BOOLEAN", "FLOAT"})
 
 
