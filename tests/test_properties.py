@@ -317,3 +317,31 @@ def test_parse_kv_lines_matches_model(spark, lines):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "i int, value string")
     got = keyed.parse_kv_lines(df.select("value", "i")).collect()
     assert sorted((r.k, r.v) for r in got) == sorted(model_kv(line) for line in lines)
+
+
+FIELD = st.text(alphabet="abS12 #", min_size=1, max_size=4)
+CSV_LINES = st.builds(lambda fs, tail: ",".join(fs) + tail, st.lists(FIELD, min_size=7, max_size=9),
+                      st.sampled_from(["", ",", ",,"]))
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(CSV_LINES, min_size=1, max_size=30))
+def test_line_operators_match_models(spark, lines):
+    from sparkloom.operators import lines as L
+
+    df = spark.createDataFrame([(v,) for v in lines], "value string")
+    recoded = sorted(r.value for r in L.recode_field(df).collect())
+    codes = {"1": "M", "2": "F"}
+
+    def recode(line):
+        f = model_java_split(line, ",")[:7]
+        f[6] = codes.get(f[6], f[6])
+        return ",".join(f)
+
+    assert recoded == sorted(recode(v) for v in lines)
+    kept = sorted(r.value for r in L.skip_prefix(df, "sa").collect())
+    assert kept == sorted(v for v in lines if not v.lower().startswith("sa"))
+    ids = sorted(r.value for r in L.id_prefix(df, "a").collect())
+    assert ids == sorted(v for v in lines if not v.startswith("#") and v.startswith("a"))
+    upper = sorted(r.value for r in L.field_upper(df, 2).collect())
+    assert upper == sorted(model_java_split(v, ",")[2].upper() for v in lines)
