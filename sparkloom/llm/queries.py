@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.session import shared_dir
 
-from . import chat, langid, token_count, token_store, topk
+from . import chat, langid, suffix_dedup, token_count, token_store, topk
 from .common import fold, reach_workers
 
 
@@ -53,6 +53,12 @@ FROM s GROUP BY conv_id
 """
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), length=50)
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "token-shards")
     token_store.write_shards(_table(spark, sf_dir, "documents"), path, _vocabulary("byte_bpe_50k.json"))
@@ -90,6 +96,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op4_token_store": op4_token_store,
     "op6_language_id": op6_language_id,
     "op9_token_counts": op9_token_counts,
