@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.session import shared_dir
 
-from . import chat, langid, suffix_dedup, token_count, token_store, topk
+from . import chat, langid, lm, suffix_dedup, token_count, token_store, topk
 from .common import fold, reach_workers
 
 
@@ -65,6 +65,10 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_tokens(spark.read.schema(token_store.SHARDS).parquet(path))
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(_table(spark, sf_dir, "documents"), train=fold(F.col("doc_id"), 7) != 2)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     part = fold(F.col("doc_id"), 3)
@@ -98,6 +102,7 @@ QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op4_token_store": op4_token_store,
+    "op5_lm_score": op5_lm_score,
     "op6_language_id": op6_language_id,
     "op9_token_counts": op9_token_counts,
     "op10_exact_topk": op10_exact_topk,
