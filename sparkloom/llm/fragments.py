@@ -36,6 +36,12 @@ def seen(*key) -> dict:
     return _SEEN.setdefault(key, {})
 
 
+def _plain(text: str, at: int) -> bool:
+    """Whether two characters other than white space (and the marker ``\u2581`` for it) stand around a place."""
+    around = text[at - 1:at] + text[at + 1:at + 2]
+    return len(around) == 2 and not any(c.isspace() or c == "\u2581" for c in around)
+
+
 def balanced(arr: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[np.ndarray, pa.Array, np.ndarray]]:
     """Slices of about ``limit`` bytes: (text number of each piece, pieces, piece continues its text).
 
@@ -50,7 +56,7 @@ def balanced(arr: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[np.ndarr
             text, a = arr[at].as_py(), 0
             while a < len(text):
                 b = a + limit // 4
-                while (b := text.find(" ", b)) >= 0 and (text[b - 1:b].isspace() or text[b + 1:b + 2].isspace() or b + 1 == len(text)):
+                while (b := text.find(" ", b)) >= 0 and not _plain(text, b):
                     b += 1
                 b = len(text) if b < 0 else b
                 yield np.array([at]), pa.array([text[a:b]], pa.string()), np.array([a > 0])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.session import shared_dir
 
-from . import chat, langid, lm, suffix_dedup, token_count, token_store, topk
+from . import chat, langid, lm, piece_fst, suffix_dedup, token_count, token_store, topk
 from .common import fold, reach_workers
 
 
@@ -77,6 +77,17 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(rows, model).drop("text")
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _vocabulary("piece_bpe_32k.model")
+    coded = piece_fst.encode(_table(spark, sf_dir, "documents"), path)
+    # What decoding must give back travels as a digest, not as a second copy of the text.
+    coded = coded.withColumns({"n_bytes": F.octet_length("text").cast("long"),
+                               "want": F.sha2(F.replace("text", F.lit("\u2581"), F.lit(" ")).cast("binary"), 256)}).drop("text")
+    back = piece_fst.decode(coded, path)
+    return back.select("doc_id", "n_bytes", "n_tokens", "n_byte_tokens", "ids_crc32",
+                       (F.sha2(F.col("decoded").cast("binary"), 256) == F.col("want")).alias("round_trip"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_count.token_counts(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
@@ -104,6 +115,7 @@ QUERIES = {
     "op4_token_store": op4_token_store,
     "op5_lm_score": op5_lm_score,
     "op6_language_id": op6_language_id,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_token_counts": op9_token_counts,
     "op10_exact_topk": op10_exact_topk,
 }
