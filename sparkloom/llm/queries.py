@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.session import shared_dir
 
-from . import chat, langid, lm, piece_fst, suffix_dedup, token_count, token_store, topk
+from . import chat, decontam, langid, lm, piece_fst, suffix_dedup, token_count, token_store, topk
 from .common import fold, reach_workers
 
 
@@ -59,6 +59,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "token-shards")
     token_store.write_shards(_table(spark, sf_dir, "documents"), path, _vocabulary("byte_bpe_50k.json"))
@@ -112,6 +116,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_decontaminate": op3_decontaminate,
     "op4_token_store": op4_token_store,
     "op5_lm_score": op5_lm_score,
     "op6_language_id": op6_language_id,
