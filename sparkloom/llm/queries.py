@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.session import shared_dir
 
-from . import chat, decontam, langid, lm, piece_fst, suffix_dedup, token_count, token_store, topk
+from . import chat, decontam, langid, lm, minhash, piece_fst, suffix_dedup, token_count, token_store, topk
 from .common import fold, reach_workers
 
 
@@ -81,6 +81,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(rows, model).drop("text")
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.classes(_table(spark, sf_dir, "documents"), threshold=0.8, words=5, bands=24, rows=5)
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _vocabulary("piece_bpe_32k.model")
     coded = piece_fst.encode(_table(spark, sf_dir, "documents"), path)
@@ -120,6 +124,7 @@ QUERIES = {
     "op4_token_store": op4_token_store,
     "op5_lm_score": op5_lm_score,
     "op6_language_id": op6_language_id,
+    "op7_near_dedup": op7_near_dedup,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_token_counts": op9_token_counts,
     "op10_exact_topk": op10_exact_topk,
