@@ -1,0 +1,102 @@
+"""The corpus pipeline against a brute-force version of every stage, and its behaviour on odd rows."""
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+
+import corpus_pipeline as cp
+from sparkloom.llm import decontam, langid
+
+from .cases import ODD_TEXTS, SF
+from .test_decontam import brute as brute_leaks
+from .test_minhash import brute_classes
+
+
+def brute_cut(docs, length=50):
+    """Texts after the suffix stage: whole characters that an earlier document's windows do not cover."""
+    raw = [(d, t.encode()) for d, t in docs]
+    first = {}
+    for d, t in raw:
+        for i in range(len(t) - length + 1):
+            w = t[i:i + length]
+            first[w] = min(first.get(w, d), d)
+    out = {}
+    for (d, t), (_, text) in zip(raw, docs, strict=True):
+        gone = np.zeros(len(t), bool)
+        for i in range(len(t) - length + 1):
+            if first[t[i:i + length]] < d:
+                gone[i:i + length] = True
+        kept, at = [], 0
+        for c in text:
+            n = len(c.encode())
+            if not gone[at:at + n].all():
+                kept.append(c)
+            at += n
+        if not gone.any() or "".join(kept).strip():
+            out[d] = "".join(kept)
+    return out
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    out, docs = {}, spark.read.parquet(f"{SF}/documents.parquet")
+    out["input"] = docs.collect()
+    for name, f in cp.STAGES:
+        from sparkloom.session import shared_dir
+
+        path = shared_dir(spark, name)
+        f(spark, docs, SF).write.parquet(path)
+        docs = spark.read.parquet(path)
+        out[name] = docs.collect()
+        if name != cp.STAGES[-1][0]:
+            assert docs.columns == list(cp.COLUMNS)
+    return out
+
+
+def test_language_stage(spark, stages):
+    model = langid.fit(spark.read.parquet(f"{SF}/documents.parquet"))
+    rows = stages["input"]
+    lang, score = langid.score_texts(model, [r.text for r in rows])
+    want = {r.doc_id for r, x, s in zip(rows, lang, score, strict=True) if x != "und" and s >= cp.MIN_LANGUAGE_SCORE}
+    assert {r.doc_id for r in stages["language_id"]} == want and len(want) >= 0.97 * len(rows)
+
+
+def test_near_stage(stages):
+    rows = [(r.doc_id, r.text) for r in stages["language_id"]]
+    assert {r.doc_id for r in stages["near_dedup"]} == {min(rows[i][0] for i in m) for m in brute_classes(rows)}
+
+
+def test_suffix_stage(stages):
+    want = brute_cut([(r.doc_id, r.text) for r in stages["near_dedup"]])
+    assert {r.doc_id: r.text for r in stages["suffix_array_dedup"]} == want
+    assert all(r.n_chars == len(r.text) for r in stages["suffix_array_dedup"])
+
+
+def test_decontamination_stage(stages):
+    items = [t for (t,) in duckdb.sql(f"SELECT text FROM '{SF}/benchmark.parquet'").fetchall()]
+    rows = stages["suffix_array_dedup"]
+    p = decontam.compile_patterns(items)
+    left = {r.doc_id for r in stages["decontaminate"]}
+    gone = [r for r in rows if r.doc_id not in left]
+    assert all(brute_leaks(p, [r.text]) for r in gone)
+    whole = {r.doc_id for r in rows if any(decontam.normalise(x) in decontam.normalise(r.text) for x in items)}
+    assert whole and not whole & left
+
+
+def test_encoding_stage_and_run(spark, stages):
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    want = {r.doc_id: sp.encode(r.text) for r in stages["decontaminate"]}
+    assert {r.doc_id: r.ids for r in stages["sentencepiece"]} == want and all(r.round_trip for r in stages["sentencepiece"])
+    assert {r.doc_id: r.ids for r in cp.run(spark, SF).collect()} == want
+
+
+def test_odd_rows_pass_every_stage(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, extra int"
+    rows = [(i, t, None if i % 2 else "en", None, None, 1) for i, t in enumerate(ODD_TEXTS)] + [(None, "a null id here", "en", "s", 3, 1)] * 2
+    for data in (rows, []):
+        docs = spark.createDataFrame(data, schema)
+        for _, f in cp.STAGES:
+            docs = f(spark, docs, SF)
+        assert docs.count() <= len(data)
