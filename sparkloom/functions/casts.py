@@ -48,7 +48,7 @@ FLOAT_DEC_RE = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?\z"
 FLOAT_HEX_RE = r"^[+-]?0[xX]([0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?[0-9]+[fFdD]?\z"
 FLOAT_NAN_RE = r"^[+-]?NaN\z"
 FLOAT_INF_RE = r"^([+-]?)Infinity\z"
-TIME_RE = r"^([+-]?[0-9]{1,10}):([+-]?[0-9]{1,10}):([+-]?[0-9]{1,10})\z"
+TIME_RE = r"^([+-]?[0-9]+):([+-]?[0-9]+):([+-]?[0-9]+)\z"
 
 
 def parse_integer(c) -> Column:

@@ -37,11 +37,10 @@ def format_kv(key, value) -> Column:
     return F.concat(as_col(key), F.lit(KEY_SEP), as_col(value).cast("string"))
 
 
-def format_cogroup_text(key, sides: list, blank_empty: bool = False) -> Column:
-    """``key : [a, b];[c]``; with ``blank_empty`` an empty side renders as nothing instead of ``[]``."""
+def format_cogroup_text(key, sides: list, empty: list | None = None) -> Column:
+    """``key : [a, b];[c]``; a side whose ``empty`` condition holds renders as nothing instead of ``[]``."""
     rendered = []
-    for s in sides:
-        s = as_col(s)
-        body = F.concat(F.lit(LIST_OPEN), s, F.lit(LIST_CLOSE))
-        rendered.append(F.when(s == F.lit(""), F.lit("")).otherwise(body) if blank_empty else body)
+    for i, s in enumerate(sides):
+        body = F.concat(F.lit(LIST_OPEN), as_col(s), F.lit(LIST_CLOSE))
+        rendered.append(F.when(empty[i], F.lit("")).otherwise(body) if empty else body)
     return F.concat(as_col(key), F.lit(COGROUP_KEY_SEP), F.concat_ws(COGROUP_SIDE_SEP, *rendered))

@@ -1,14 +1,19 @@
 """Keyed operators: group by key, co-group, sum per key, global max, scalar filter, multi-output.
 
 Skew policy: any key - or any single (key, value) pair - may hold a large share of all rows.
-Grouped outputs are built from *sorted runs*: copies of a pair first collapse to a count (partial
-aggregation, map-side), then ``repartitionByRange(key, value)`` samples those counts and cuts a
-hot key's value range over many partitions; each partition sorts/aggregates its contiguous slice
-(bounded by partition size, spread over all executors), and only the already-sorted,
-already-formatted runs meet per key at the end. No task ever sorts a whole group; the one place a
-whole group meets is the final output row itself, which *is* the requested result (one line / one
-list per key). ``group_chunks`` returns the same lists in fixed-size chunks, so no row, group or
-task holds more than the chunk size; ``group_runs`` / ``cogroup_runs`` expose the runs.
+
+A grouped list per key is one output row, so it fits small groups only: a key with a third of 100 TB
+cannot be a row. The list forms (``group_by_key``, ``group_lines``, ``cogroup``, ``cogroup_lines``) are for
+inputs whose groups fit in a row. Keys of up to ``LARGE_KEY`` rows are grouped in one shuffle; larger
+ones go through *sorted runs* so that no task sorts a whole group: copies of a pair collapse to a
+count (partial aggregation, map-side), ``repartitionByRange(key, value)`` cuts a large key's value
+range over many partitions, each partition sorts and formats its slice, and the formatted runs meet
+in the output row. The size only picks the route; both give the same lists.
+
+The bounded forms (``group_chunks``, ``cogroup_chunks``) return the same lists in chunks of a fixed
+number of values: no row, group or task holds more, whatever the key. ``route_outputs`` and the tagged
+sink work on chunk rows as on whole lines. A run (``group_runs`` / ``cogroup_runs``) is bounded by its
+range partition's distinct pairs, not by their copies: use chunks where one pair repeats very often.
 
 Numeric reductions (sum, max) use Spark's partial + final aggregation, so a hot key is reduced to
 one row per map task before the shuffle.
@@ -24,10 +29,12 @@ from sparkloom.functions.formatting import (
     format_cogroup_text,
     format_group_text,
     format_kv,
+    join_values,
 )
 from sparkloom.functions.strings import get_field, java_split, strip, utf16_length
 
 RUN = "_run"
+LARGE_KEY = 1_000_000
 
 
 # --------------------------------------------------------------------------------------------
@@ -42,9 +49,10 @@ def parse_kv_lines(lines: DataFrame, line_col: str = "value", sep: str = ",",
     fields = split.select(get_field("_parts", 0, "_line").alias(key),
                           strip(get_field("_parts", 1, "_line")).alias("_raw"))
     parsed = F.when(F.col("_raw").rlike(r"^[+-]?[0-9]+\z"), F.col("_raw").try_cast("bigint"))
-    v = F.when(parsed.isNotNull(), parsed).otherwise(
-        F.raise_error(F.concat(F.lit("For input string: "), F.coalesce(F.col("_raw"), F.lit("NULL")))))
-    return fields.select(key, v.alias(value))
+    # The check is a filter: a consumer that reads only the key (or counts) must fail as well.
+    bad = F.raise_error(F.concat(F.lit("For input string: "), F.coalesce(F.col("_raw"), F.lit("NULL"))))
+    checked = fields.select(key, "_raw", parsed.alias(value)).where(F.when(F.col(value).isNull(), bad.cast("boolean")).otherwise(F.lit(True)))
+    return checked.select(key, value)
 
 
 # --------------------------------------------------------------------------------------------
@@ -61,7 +69,7 @@ def group_runs(df: DataFrame, key: str, value: str, tag: str | None = None, as_t
     2. The distinct pairs are range-partitioned on (key, value). The sampling for the range bounds
        reads the materialised output of step 1, so the upstream scan is not computed twice, and a
        hot key's value range is cut over as many partitions as its size needs.
-    3. Each partition sorts its (bounded) slice per key; the slice is expanded back to all copies.
+    3. Each partition sorts its slice per key; the slice is expanded back to all copies.
     """
     keys = [key] + ([tag] if tag else [])
     pairs = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
@@ -88,22 +96,36 @@ def _ordered(parts: Column, field_name: str) -> Column:
     return F.transform(F.array_sort(parts), lambda s: s[field_name])
 
 
-def group_by_key(df: DataFrame, key: str = "k", value: str = "v", out: str = "vs") -> DataFrame:
-    """A1: (key, sorted array of all values; duplicates kept)."""
-    runs = group_runs(df, key, value)
+def _by_size(df: DataFrame, key: str, large_key: int) -> tuple[DataFrame, DataFrame]:
+    """(rows of keys with at most ``large_key`` rows, rows of the others). The list of large keys has at most
+    rows / ``large_key`` entries; it is joined by size (AQE), null-safe, and never hinted."""
+    large = df.groupBy(F.col(key).alias("_large")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(large_key))
+    same = df[key].eqNullSafe(large["_large"])
+    return df.join(large, same, "left_anti"), df.join(large, same, "left_semi")
+
+
+def _sorted_values(value: str) -> Column:
+    """All values of a group, ascending, NULLs first and kept."""
+    return F.transform(F.array_sort(F.collect_list(F.struct(F.col(value).alias("x")))), lambda s: s["x"])
+
+
+def group_by_key(df: DataFrame, key: str = "k", value: str = "v", out: str = "vs", large_key: int = LARGE_KEY) -> DataFrame:
+    """A1: (key, sorted array of all values; duplicates kept). Small groups only (one row per key)."""
+    small, large = _by_size(df.select(key, value), key, large_key)
+    whole = small.groupBy(key).agg(_sorted_values(value).alias(out))
+    runs = group_runs(large, key, value)
     grouped = runs.groupBy(key).agg(F.collect_list(F.struct(RUN, "vs")).alias("_p"))
-    merged = F.when(F.size("_p") == F.lit(1), F.col("_p")[0]["vs"]).otherwise(F.flatten(_ordered(F.col("_p"), "vs")))
-    return grouped.select(F.col(key), merged.alias(out))
+    return whole.unionByName(grouped.select(F.col(key), F.flatten(_ordered(F.col("_p"), "vs")).alias(out)))
 
 
-def group_lines(df: DataFrame, key: str = "k", value: str = "v", out: str = "line") -> DataFrame:
-    """A1 + P6: one ``key:[v1, v2, ...]`` line per key (values ascending). Most keys have a single
-    run, whose text is used as is; only keys spread over several runs are ordered and joined."""
-    runs = group_runs(df, key, value, as_text=True)
+def group_lines(df: DataFrame, key: str = "k", value: str = "v", out: str = "line", large_key: int = LARGE_KEY) -> DataFrame:
+    """A1 + P6: one ``key:[v1, v2, ...]`` line per key (values ascending). Small groups only."""
+    small, large = _by_size(df.select(key, value), key, large_key)
+    whole = small.groupBy(key).agg(join_values(_sorted_values(value)).alias("_txt"))
+    runs = group_runs(large, key, value, as_text=True)
     grouped = runs.groupBy(key).agg(F.collect_list(F.struct(RUN, "txt")).alias("_p"))
-    joined = F.when(F.size("_p") == F.lit(1), F.col("_p")[0]["txt"]).otherwise(
-        F.array_join(_ordered(F.col("_p"), "txt"), LIST_SEP))
-    return grouped.select(F.col(key), format_group_text(F.col(key), joined).alias(out))
+    joined = grouped.select(F.col(key), F.array_join(_ordered(F.col("_p"), "txt"), LIST_SEP).alias("_txt"))
+    return whole.unionByName(joined).select(F.col(key), format_group_text(F.col(key), F.col("_txt")).alias(out))
 
 
 def group_chunks(df: DataFrame, key: str = "k", value: str = "v", chunk_size: int = 10_000,
@@ -118,33 +140,55 @@ def group_chunks(df: DataFrame, key: str = "k", value: str = "v", chunk_size: in
     into runs, a running count inside each run (a run is one range partition's slice), the runs'
     offsets from a running sum over the (few) runs of each key, then each pair is cut into the
     chunks its rank interval covers. Runs the pair/range stages eagerly (checkpoint) when called."""
+    return _chunks(df, [key], value, chunk_size, out)
+
+
+# Chunk numbers of one pair are generated in blocks of this many (a pair may cover very many chunks).
+_CHUNK_BLOCK = 4096
+
+
+def _chunks(df: DataFrame, keys: list[str], value: str, chunk_size: int, out: str) -> DataFrame:
     from pyspark.sql import Window
 
-    pairs = df.groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
-    ranged = pairs.repartitionByRange(key, value).withColumn(RUN, F.spark_partition_id())
-    in_run = Window.partitionBy(key, RUN).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    from sparkloom.session import checkpoint_root
+
+    pairs = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    ranged = pairs.repartitionByRange(*keys, value).withColumn(RUN, F.spark_partition_id())
+    in_run = Window.partitionBy(*keys, RUN).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.withColumn("_end", F.sum("_n").over(in_run))
     # The runs feed two branches (their sizes and the pairs themselves); both must see the same run
     # ids. A second range exchange would sample its own bounds, so the ranked pairs are written
     # once to the shared checkpoint folder (reliable checkpoint: also survives executor loss).
-    from sparkloom.session import checkpoint_root
-
     checkpoint_root(df.sparkSession)
     local = local.checkpoint(eager=True)
-    run_sizes = local.groupBy(key, RUN).agg(F.sum("_n").alias("_size"))
-    before = Window.partitionBy(key).orderBy(RUN).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = run_sizes.select(key, RUN, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_off"))
-    ranked = local.join(offsets, [key, RUN]).select(
-        key, value, "_n", (F.col("_off") + F.col("_end") - F.col("_n")).alias("_start"))
+    sizes = local.groupBy(*keys, RUN).agg(F.sum("_n").alias("_size"))
+    before = Window.partitionBy(*keys).orderBy(RUN).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*[F.col(k).alias(f"_o{i}") for i, k in enumerate(keys)], F.col(RUN).alias("_orun"),
+                           F.sum("_size").over(before).alias("_off")).where("_off is not null")
+    # Only a key's second and later runs have an offset, and a partition holds at most one of those per
+    # key it continues: no more rows than range partitions, so the broadcast is bounded.
+    same = F.col(RUN) == F.col("_orun")
+    for i, k in enumerate(keys):
+        same = same & local[k].eqNullSafe(F.col(f"_o{i}"))
+    ranked = local.join(F.broadcast(offsets), same, "left").select(
+        *keys, value, "_n", (F.coalesce("_off", F.lit(0)) + F.col("_end") - F.col("_n")).alias("_start"))
     c = F.lit(chunk_size)
-    chunks = F.sequence(F.floor(F.col("_start") / c), F.floor((F.col("_start") + F.col("_n") - 1) / c))
-    pieces = ranked.select(key, value, "_n", "_start", F.explode(chunks).alias("chunk"))
+    first, last = F.floor(F.col("_start") / c), F.floor((F.col("_start") + F.col("_n") - 1) / c)
+    blocks = ranked.select("*", first.alias("_c0"), last.alias("_c1")).select(
+        "*", F.explode(F.sequence(F.floor(F.col("_c0") / _CHUNK_BLOCK), F.floor(F.col("_c1") / _CHUNK_BLOCK))).alias("_b"))
+    chunk = F.explode(F.sequence(F.greatest("_c0", F.col("_b") * _CHUNK_BLOCK), F.least("_c1", (F.col("_b") + 1) * _CHUNK_BLOCK - 1)))
+    pieces = blocks.select(*keys, value, "_n", "_start", chunk.alias("chunk"))
     lo = F.greatest(F.col("_start"), F.col("chunk") * c)
     hi = F.least(F.col("_start") + F.col("_n"), (F.col("chunk") + 1) * c)
-    pieces = pieces.select(key, "chunk", value, (hi - lo).alias("_cnt"))
+    pieces = pieces.select(*keys, "chunk", value, (hi - lo).alias("_cnt"))
     rendered = F.transform(F.array_sort(F.collect_list(F.struct(value, "_cnt"))), lambda x: F.array_join(
         F.array_repeat(F.coalesce(x[value].cast("string"), F.lit("null")), x["_cnt"].cast("int")), LIST_SEP))
-    return pieces.groupBy(key, "chunk").agg(F.array_join(rendered, LIST_SEP).alias(out))
+    return pieces.groupBy(*keys, "chunk").agg(F.array_join(rendered, LIST_SEP).alias(out))
+
+
+def chunk_lines(chunks: DataFrame, key: str = "k", out: str = "line") -> DataFrame:
+    """Chunk rows plus their text line ``key:chunk:[v1, v2, ...]`` (for the text sinks)."""
+    return chunks.withColumn(out, F.concat(F.col(key), F.lit(":"), F.col("chunk").cast("string"), F.lit(":["), F.col("txt"), F.lit("]")))
 
 
 # --------------------------------------------------------------------------------------------
@@ -169,7 +213,8 @@ def cogroup_runs(inputs: dict[str, DataFrame], key: str = "k", value: str = "v")
 
 
 def cogroup(inputs: dict[str, DataFrame], key: str = "k", value: str = "v") -> DataFrame:
-    """(k, <tag>: sorted array<string> per input). Full-outer by key, lists per side, no cross product."""
+    """(k, <tag>: sorted array<string> per input). Full-outer by key, lists per side, no cross product.
+    Small groups only (one row per key); ``cogroup_chunks`` is the bounded form."""
     tagged = _tagged_union(inputs, key, value)
     runs = group_runs(tagged, "k", "v", tag="_tag")
     parts = F.collect_list(F.struct("_tag", RUN, "vs")).alias("_parts")
@@ -183,14 +228,24 @@ def cogroup(inputs: dict[str, DataFrame], key: str = "k", value: str = "v") -> D
 
 def cogroup_lines(inputs: dict[str, DataFrame], key: str = "k", value: str = "v",
                   blank_empty: bool = False, out: str = "line") -> DataFrame:
-    """``key : [a, b];[c]`` per key (``blank_empty``: an empty side prints nothing)."""
+    """``key : [a, b];[c]`` per key (``blank_empty``: a side without values prints nothing).
+    Small groups only; ``cogroup_chunks`` is the bounded form."""
     runs = cogroup_runs(inputs, key, value)
     grouped = runs.groupBy("k").agg(F.collect_list(F.struct("_tag", RUN, "txt")).alias("_parts"))
-    sides = []
+    sides, empty = [], []
     for t in inputs:
         mine = F.filter("_parts", _has_tag(t))
         sides.append(F.array_join(F.transform(F.array_sort(mine), lambda s: s["txt"]), LIST_SEP))
-    return grouped.select(F.col("k"), format_cogroup_text(F.col("k"), sides, blank_empty).alias(out))
+        empty.append(F.size(mine) == F.lit(0))
+    return grouped.select(F.col("k"), format_cogroup_text(F.col("k"), sides, empty if blank_empty else None).alias(out))
+
+
+def cogroup_chunks(inputs: dict[str, DataFrame], key: str = "k", value: str = "v", chunk_size: int = 10_000) -> DataFrame:
+    """J1 with bounded rows: (k, tag, chunk, txt), the ``group_chunks`` of every input by key.
+
+    A key's rows, ordered by (tag, chunk), are its lists; an input without the key has no rows."""
+    chunks = _chunks(_tagged_union(inputs, key, value), ["k", "_tag"], "v", chunk_size, "txt")
+    return chunks.withColumnRenamed("_tag", "tag")
 
 
 # --------------------------------------------------------------------------------------------

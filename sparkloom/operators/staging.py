@@ -9,10 +9,10 @@
   * ``"reject"``     - like ``null_field`` plus an ``_errors`` array naming the failed fields; use
                        ``split_rejects`` to route good and bad rows.
 
-Implementation: chained projections. The first computes each typed value once (and its failure
-flag), the next the position of the last failure, the last applies the mask. Catalyst does not
-collapse them because that would repeat the regex/cast work (or the last-failure expression) per
-column. Row-local: no shuffle, no UDF; the scan reads only the schema's columns.
+Implementation: chained projections. The first computes each typed value once; the next reads it
+twice (the value, and whether it is NULL, for the position of the last failure), so Catalyst keeps
+the two apart instead of parsing twice; the last applies the mask. The strict check is a filter, which
+no consumer can prune away. Row-local: no shuffle, no UDF; the scan reads only the schema's columns.
 """
 
 from __future__ import annotations
@@ -32,10 +32,6 @@ def _v(i: int) -> str:
     return f"__v{i}"
 
 
-def _f(i: int) -> str:
-    return f"__f{i}"
-
-
 def stage(
     raw: DataFrame,
     fields: list[Field],
@@ -55,7 +51,7 @@ def stage(
     for i, fld in enumerate(fields):
         if fld.name == RECORD_LOAD_TS:
             values.append(load_time.cast("timestamp").alias(_v(i)))
-            fails.append(F.lit(False).alias(_f(i)))
+            fails.append(F.lit(False))
             continue
         present = fld.name in raw_types
         if present and raw_types[fld.name] != "string" and not (on_error == "strict" and fld.type not in _STRICT_TYPES):
@@ -65,37 +61,35 @@ def stage(
         if on_error == "strict":
             if fld.type not in _STRICT_TYPES and fld.type != "STRING":
                 values.append(src.alias(_v(i)))
-                fails.append(F.lit(False).alias(_f(i)))
+                fails.append(F.lit(False))
                 continue
         if not is_supported(fld.type):
             if on_error == "reset":  # parity: an unknown type is a failed field
                 values.append(F.lit(None).cast("string").alias(_v(i)))
-                fails.append(F.lit(True).alias(_f(i)))
+                fails.append(F.lit(True))
                 continue
             raise ValueError(f"Data type {fld.type} of field {fld.name} is not supported")
-        val = parse_as(src, fld.type)
-        values.append(val.alias(_v(i)))
-        fails.append(parse_failed(val, fld.type).alias(_f(i)))
+        values.append(parse_as(src, fld.type).alias(_v(i)))
+        fails.append(parse_failed(F.col(_v(i)), fld.type))
 
-    parsed = raw.select(*values, *fails)
+    parsed = raw.select(*values)
     n = len(fields)
     names = [f.name for f in fields]
 
     if on_error == "reset":
         # Position of the last failed field, computed once per row in its own projection (with
         # hundreds of columns, inlining it into every output column would be quadratic).
-        last_fail = F.greatest(F.lit(-1), F.lit(-1), *[F.when(F.col(_f(i)), F.lit(i)).otherwise(F.lit(-1)) for i in range(n)])
+        last_fail = F.greatest(F.lit(-1), F.lit(-1), *[F.when(fails[i], F.lit(i)).otherwise(F.lit(-1)) for i in range(n)])
         masked = parsed.select(*[F.col(_v(i)) for i in range(n)], last_fail.alias("__last_fail"))
         return masked.select(*[F.when(F.col("__last_fail") < F.lit(i), F.col(_v(i))).alias(names[i]) for i in range(n)])
     if on_error == "strict":
-        return parsed.select(*[
-            F.when(F.col(_f(i)), F.raise_error(F.lit(f"cannot parse field {names[i]} as {fields[i].type}")))
-            .otherwise(F.col(_v(i))).alias(names[i])
-            for i in range(n)
-        ])
+        first = F.coalesce(*[F.when(fails[i], F.lit(f"{names[i]} as {fields[i].type}")) for i in range(n)])
+        checked = parsed.where(F.when(first.isNotNull(), F.raise_error(F.concat(F.lit("cannot parse field "), first)).cast("boolean"))
+                               .otherwise(F.lit(True)))
+        return checked.select(*[F.col(_v(i)).alias(names[i]) for i in range(n)])
     out = [F.col(_v(i)).alias(names[i]) for i in range(n)]
     if on_error == "reject":
-        errors = F.array_compact(F.array(*[F.when(F.col(_f(i)), F.lit(names[i])) for i in range(n)]))
+        errors = F.array_compact(F.array(*[F.when(fails[i], F.lit(names[i])) for i in range(n)]))
         out.append(errors.alias("_errors"))
     return parsed.select(*out)
 

@@ -1,6 +1,6 @@
 """Command-line entry point for the jobs (``spark-submit -m``-style or ``python -m``).
 
-    python -m sparkloom.plans.cli stage --table raw.orders --schema-json gs://.../ORDERS.json \
+    python -m sparkloom.plans.cli stage --table raw.orders --schema-json /schemas/ORDERS.json \
         --output /warehouse/staging/orders --partition-col create_dt
     python -m sparkloom.plans.cli group-words --input in/*.txt --output out/
 
@@ -56,7 +56,9 @@ def build_parser() -> argparse.ArgumentParser:
     tt = sub.add_parser("stage-table", help="raw table or SQL query -> typed table with dispositions")
     tt.add_argument("--table")
     tt.add_argument("--query")
-    tt.add_argument("--schema-string", required=True)
+    tt.add_argument("--schema-json")
+    tt.add_argument("--schema-string")
+    tt.add_argument("--on-error", default="reset", choices=["reset", "null_field", "strict", "reject"])
     tt.add_argument("--output", required=True)
     tt.add_argument("--write", default="append", choices=["append", "truncate", "empty"])
     tt.add_argument("--create", default="if_needed", choices=["if_needed", "never"])
@@ -95,7 +97,8 @@ def run(spark: SparkSession, argv: Sequence[str]) -> str:
                                    output_format=a.output_format)
     if a.job == "stage-table":
         return jobs.raw_to_table(spark, output=a.output, table=a.table, query=a.query,
-                                 schema_string=a.schema_string, write=a.write, create=a.create,
+                                 schema_json_path=a.schema_json, schema_string=a.schema_string, on_error=a.on_error,
+                                 write=a.write, create=a.create,
                                  input_format=a.input_format, output_format=a.output_format)
     if a.job == "cogroup":
         inputs = {"left": _kv_text(spark, a.left), "right": _kv_text(spark, a.right)}

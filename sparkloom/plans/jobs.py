@@ -42,7 +42,7 @@ def staged(spark: SparkSession, fields: list[sch.Field], table: str | None = Non
     if prune:
         present = set(raw.columns)
         raw = raw.select(*[c for c in sch.raw_projection(fields) if c in present])
-    return staging.stage(readers.spread(raw), fields, on_error=on_error)
+    return staging.stage(raw, fields, on_error=on_error)
 
 
 def raw_to_staging(spark: SparkSession, *, output: str, table: str | None = None, query: str | None = None,
@@ -60,10 +60,10 @@ def raw_to_staging(spark: SparkSession, *, output: str, table: str | None = None
 
 def raw_to_table(spark: SparkSession, *, output: str, table: str | None = None, query: str | None = None,
                  schema_string: str | None = None, schema_json: str | None = None,
-                 write: str = "append", create: str = "if_needed", on_error: str = "reset",
+                 schema_json_path: str | None = None, write: str = "append", create: str = "if_needed", on_error: str = "reset",
                  input_format: str = "parquet", output_format: str = "parquet") -> str:
     """Staging into an unpartitioned table with write/create dispositions."""
-    fields = load_fields(spark, None, schema_json, schema_string)
+    fields = load_fields(spark, schema_json_path, schema_json, schema_string)
     rows = staged(spark, fields, table=table, query=query, on_error=on_error, input_format=input_format)
     return tables.write_table(rows, output, write=write, create=create, fmt=output_format)
 

@@ -1,13 +1,22 @@
 """DuckDB SQL twins of the registered queries (the correctness oracle).
 
 The raw-string derivations mirror ``testdata.py`` (``strftime`` where Spark uses ``date_format``);
-the typed parses are written independently with the same acceptance patterns.
+the typed parses, the reset rule and the schemas are modelled here on their own.
 """
 
 from __future__ import annotations
 
-from sparkloom import schema as sch
-from sparkloom.functions import casts
+# ---- schemas of the staged tables ------------------------------------------------------------------
+ORDER_FIELDS = [
+    ("o_orderkey", "INTEGER"), ("o_custkey", "LONG"), ("o_orderstatus", "STRING"), ("o_totalprice", "NUMERIC"),
+    ("o_orderdate", "DATE"), ("record_load_ts", "TIMESTAMP"), ("o_orderpriority", "STRING"), ("is_urgent", "BOOLEAN"),
+    ("order_ts", "TIMESTAMP"), ("order_dt", "DATETIME"), ("price_f", "FLOAT"), ("order_clock", "TIME"),
+]
+
+LINEITEM_FIELDS = [
+    ("l_orderkey", "INTEGER"), ("l_linenumber", "INTEGER"), ("l_quantity", "NUMERIC"), ("l_extendedprice", "FLOAT"),
+    ("l_returnflag", "STRING"), ("l_shipdate", "DATE"), ("record_load_ts", "TIMESTAMP"), ("l_shipday", "DATETIME"),
+]
 
 # ---- raw-string derivations (DuckDB dialect) -------------------------------------------------
 RAW_INTEGER = """CASE o_orderpriority
@@ -58,7 +67,7 @@ RAW_FLOAT = f"""CASE l_returnflag
   ELSE CASE l_linenumber
     WHEN 1 THEN 'NaN' WHEN 2 THEN '-Infinity' WHEN 3 THEN 'nan' WHEN 4 THEN '1e400'
     WHEN 5 THEN '.' || CAST(l_partkey AS VARCHAR) WHEN 6 THEN {PRICE} || 'F'
-    ELSE {PRICE} || 'x' END
+    ELSE CASE l_linestatus WHEN 'F' THEN ' -0x' || CAST(l_partkey AS VARCHAR) || '.8cP-3d' ELSE {PRICE} || 'x' END END
 END"""
 
 RAW_NUMERIC = f"""CASE l_returnflag
@@ -67,7 +76,7 @@ RAW_NUMERIC = f"""CASE l_returnflag
   ELSE CASE l_linenumber
     WHEN 1 THEN '.' || CAST(l_partkey AS VARCHAR) WHEN 2 THEN CAST(l_partkey AS VARCHAR) || '.'
     WHEN 3 THEN '1' || repeat('0', 40) WHEN 4 THEN '-' || {PRICE} || '12345678'
-    WHEN 5 THEN '+' || {PRICE} || 'e+2'
+    WHEN 5 THEN '+' || {PRICE} || 'e+2' WHEN 6 THEN '-0.00E' || CAST(l_partkey AS VARCHAR)
     ELSE 'abc' END
 END"""
 
@@ -129,30 +138,39 @@ RAW_LINEITEM = {
 
 
 # ---- typed parses (DuckDB) ---------------------------------------------------------------------
-def _full(pattern: str) -> str:
-    """Spark guard ``^...\\z`` -> the body for ``regexp_full_match``."""
-    body = pattern
-    if body.startswith("^"):
-        body = body[1:]
-    if body.endswith(r"\z"):
-        body = body[:-2]
-    return body
+# The acceptance rules are written out here for DuckDB, from the parsers' documentation; nothing is
+# taken from the parsers under test.
+_DAY = "[0-9]{4}-[0-9]{2}-[0-9]{2}"
+_CLOCK_RULE = "[0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{0,9})?)?"
+_DECIMAL = "[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)(e[+-]?[0-9]+)?"
+_HEX = "[+-]?0x([0-9a-f]+[.]?[0-9a-f]*|[.][0-9a-f]+)p[+-]?[0-9]+[fd]?"
+
+
+def _hex_value(t: str) -> str:
+    """Value of a lower-case hex float literal: digits by position, then the binary exponent."""
+    digits = f"regexp_extract({t}, '^[+-]?0x([0-9a-f.]*)p', 1)"
+    whole = f"string_split({digits} || '.', '.')[1]"
+    part = f"string_split({digits} || '.', '.')[2]"
+    ranks = "list_transform(string_split({0}, ''), lambda c: strpos('0123456789abcdef', c) - 1)"
+    total = (f"list_sum(list_transform(range(1, length({whole} || {part}) + 1), lambda i: "
+             f"({ranks.format(f'({whole} || {part})')})[i] * pow(16.0, length({whole}) - i)))")
+    power = f"CAST(regexp_extract({t}, 'p([+-]?[0-9]+)', 1) AS INTEGER)"
+    return f"(CASE WHEN starts_with({t}, '-') THEN -1.0 ELSE 1.0 END * {total} * pow(2.0, {power}))"
 
 
 def parse_sql(type_name: str, r: str) -> str:
     """DuckDB expression parsing raw string ``r`` as ``type_name`` (NULL on failure). TIMESTAMP is
     rendered as epoch microseconds (time-zone free)."""
+    u = f"upper({r})"
     if type_name in ("INTEGER", "LONG"):
-        return f"(CASE WHEN regexp_full_match({r}, '{_full(casts.INT_RE)}') THEN TRY_CAST({r} AS BIGINT) END)"
+        return f"(CASE WHEN regexp_full_match({r}, '[-+]?[0-9]+') THEN TRY_CAST({r} AS BIGINT) END)"
     if type_name == "DATE":
-        return f"(CASE WHEN regexp_full_match({r}, '{_full(casts.DATE_RE)}') THEN TRY_CAST({r} AS DATE) END)"
+        return f"(CASE WHEN regexp_full_match({r}, '{_DAY}') THEN TRY_CAST({r} AS DATE) END)"
     if type_name == "DATETIME":
-        u = f"upper({r})"
-        return f"(CASE WHEN regexp_full_match({u}, '{_full(casts.NTZ_RE)}') THEN TRY_CAST({u} AS TIMESTAMP) END)"
+        return f"(CASE WHEN regexp_full_match({u}, '{_DAY}T{_CLOCK_RULE}') THEN TRY_CAST({u} AS TIMESTAMP) END)"
     if type_name == "TIMESTAMP":
-        u = f"upper({r})"
         fixed = f"regexp_replace({u}, 'T([0-9]{{2}}:[0-9]{{2}})(Z|[+-].*)$', 'T\\1:00\\2')"
-        return (f"(CASE WHEN regexp_full_match({u}, '{_full(casts.TS_RE)}') "
+        return (f"(CASE WHEN regexp_full_match({u}, '{_DAY}T{_CLOCK_RULE}(Z|[+-][0-9]{{2}}:[0-9]{{2}}(:[0-9]{{2}})?)') "
                 f"THEN epoch_us(TRY_CAST({fixed} AS TIMESTAMPTZ)) END)")
     if type_name == "STRING":
         return r
@@ -160,53 +178,62 @@ def parse_sql(type_name: str, r: str) -> str:
         return f"coalesce(lower({r}) = 'true', false)"
     if type_name == "FLOAT":
         t = f"trim({r})"
-        return (f"(CASE WHEN regexp_full_match({t}, '[+-]?NaN') THEN CAST('NaN' AS DOUBLE) "
-                f"WHEN regexp_full_match({t}, '[+-]?Infinity') THEN CASE WHEN starts_with({t}, '-') "
-                f"THEN CAST('-Infinity' AS DOUBLE) ELSE CAST('Infinity' AS DOUBLE) END "
-                f"WHEN regexp_full_match({t}, '{_full(casts.FLOAT_DEC_RE)}') "
-                f"THEN TRY_CAST(regexp_replace({t}, '[fFdD]$', '') AS DOUBLE) END)")
+        low = f"lower({t})"
+        return (f"(CASE WHEN {t} IN ('NaN', '+NaN', '-NaN') THEN CAST('NaN' AS DOUBLE) "
+                f"WHEN {t} IN ('Infinity', '+Infinity') THEN CAST('Infinity' AS DOUBLE) "
+                f"WHEN {t} = '-Infinity' THEN CAST('-Infinity' AS DOUBLE) "
+                f"WHEN regexp_full_match({low}, '{_DECIMAL}[fd]?') THEN TRY_CAST(rtrim({low}, 'fd') AS DOUBLE) "
+                f"WHEN regexp_full_match({low}, '{_HEX}') THEN {_hex_value(low)} END)")
     if type_name == "NUMERIC":
-        return f"(CASE WHEN regexp_full_match({r}, '{_full(casts.NUM_RE)}') THEN TRY_CAST({r} AS DECIMAL(38,9)) END)"
+        low = f"lower({r})"
+        zero = f"length(replace(replace(regexp_replace({low}, 'e.*', ''), '0', ''), '.', '')) = 0"
+        unsigned = f"ltrim({low}, '+-')"
+        return (f"(CASE WHEN regexp_full_match({low}, '{_DECIMAL}') THEN CASE WHEN {zero.replace(low, unsigned)} "
+                f"THEN CAST(0 AS DECIMAL(38,9)) ELSE TRY_CAST({r} AS DECIMAL(38,9)) END END)")
     if type_name == "TIME":
-        pat = _full(casts.TIME_RE)
-        parts = [f"TRY_CAST(regexp_extract({r}, '^{pat}$', {i}) AS INTEGER)" for i in (1, 2, 3)]
-        secs = (f"(((CAST({parts[0]} AS BIGINT) * 3600 + CAST({parts[1]} AS BIGINT) * 60 "
-                f"+ CAST({parts[2]} AS BIGINT)) % 86400 + 86400) % 86400)")
-        ok = f"regexp_full_match({r}, '{pat}') AND " + " AND ".join(f"{p} IS NOT NULL" for p in parts)
+        part = [f"TRY_CAST(string_split({r}, ':')[{i}] AS INTEGER)" for i in (1, 2, 3)]
+        secs = (f"(((CAST({part[0]} AS BIGINT) * 3600 + CAST({part[1]} AS BIGINT) * 60 "
+                f"+ CAST({part[2]} AS BIGINT)) % 86400 + 86400) % 86400)")
+        ok = (f"regexp_full_match({r}, '[+-]?[0-9]+:[+-]?[0-9]+:[+-]?[0-9]+') AND "
+              + " AND ".join(f"{p} IS NOT NULL" for p in part))
         return (f"(CASE WHEN {ok} THEN printf('%02d:%02d:%02d', {secs} // 3600, ({secs} % 3600) // 60, "
                 f"{secs} % 60) END)")
     raise ValueError(type_name)
 
 
-def staging_sql(fields: list[sch.Field], raw_exprs: dict[str, str], source: str, on_error: str = "reset") -> str:
-    """Oracle for ``stage`` + ``comparable``: typed values, then the reset mask (or none)."""
+_CANNOT_FAIL = ("STRING", "BOOLEAN")
+
+
+def staging_sql(fields: list[tuple[str, str]], raw_exprs: dict[str, str], source: str, on_error: str = "reset") -> str:
+    """Oracle for ``stage`` + ``comparable``: typed values, and the reset rule played step by step.
+
+    Step i sets column i; if its value failed, the step clears columns 0..i instead. Each step is a query of
+    its own over the one before it."""
     raw_cols = ", ".join(f"{e} AS {n}" for n, e in raw_exprs.items())
-    vals, fails = [], []
-    for i, f in enumerate(fields):
-        if f.name == sch.RECORD_LOAD_TS:
+    names = ["record_loaded" if n == "record_load_ts" else n for n, _ in fields]
+    vals, bad = [], []
+    for i, (name, kind) in enumerate(fields):
+        if name == "record_load_ts":
             vals.append(f"TRUE AS v{i}")
-            fails.append(f"FALSE AS f{i}")
+            bad.append("FALSE")
             continue
-        src = f.name if f.name in raw_exprs else "CAST(NULL AS VARCHAR)"
-        vals.append(f"{parse_sql(f.type, src)} AS v{i}")
-        fails.append("FALSE" if f.type in casts.NEVER_FAIL else f"({parse_sql(f.type, src)}) IS NULL")
-        fails[-1] += f" AS f{i}"
-    out_names = [("record_loaded" if f.name == sch.RECORD_LOAD_TS else f.name) for f in fields]
+        src = name if name in raw_exprs else "CAST(NULL AS VARCHAR)"
+        vals.append(f"{parse_sql(kind, src)} AS v{i}")
+        bad.append("FALSE" if kind in _CANNOT_FAIL else f"v{i} IS NULL")
+    ctes = [f"raw AS (SELECT {raw_cols} FROM {source})", f"s AS (SELECT {', '.join(vals)} FROM raw)"]
     if on_error == "reset":
-        last = "greatest(-1, -1, " + ", ".join(f"CASE WHEN f{i} THEN {i} ELSE -1 END" for i in range(len(fields))) + ")"
-        outs = []
-        for i, f in enumerate(fields):
-            if f.name == sch.RECORD_LOAD_TS:
-                outs.append(f"(lf < {i}) AS {out_names[i]}")
-            else:
-                outs.append(f"CASE WHEN lf < {i} THEN v{i} END AS {out_names[i]}")
-        return (f"WITH raw AS (SELECT {raw_cols} FROM {source}), "
-                f"p AS (SELECT {', '.join(vals)}, {', '.join(fails)} FROM raw), "
-                f"m AS (SELECT *, {last} AS lf FROM p) "
-                f"SELECT {', '.join(outs)} FROM m")
-    outs = [f"v{i} AS {out_names[i]}" for i in range(len(fields))]
-    return (f"WITH raw AS (SELECT {raw_cols} FROM {source}), "
-            f"p AS (SELECT {', '.join(vals)} FROM raw) SELECT {', '.join(outs)} FROM p")
+        last = "s"
+        for i, (name, _) in enumerate(fields):
+            if bad[i] == "FALSE":
+                continue
+            cleared = ", ".join(f"CASE WHEN failed THEN NULL ELSE v{j} END AS v{j}" for j in range(i + 1))
+            rest = "".join(f", v{j}" for j in range(i + 1, len(fields)))
+            ctes.append(f"t{i} AS (SELECT {cleared}{rest} FROM (SELECT *, {bad[i]} AS failed FROM {last}))")
+            last = f"t{i}"
+    else:
+        last = "s"
+    outs = [f"coalesce(v{i}, FALSE) AS {n}" if n == "record_loaded" else f"v{i} AS {n}" for i, n in enumerate(names)]
+    return f"WITH {', '.join(ctes)} SELECT {', '.join(outs)} FROM {last}"
 
 
 def cast_sql(type_name: str, raw: str, source: str, key: str) -> str:
@@ -230,3 +257,9 @@ def cogroup_sql(left: tuple[str, str, str], right: tuple[str, str, str], blank_e
     return (f"WITH u AS (SELECT CAST({lk} AS VARCHAR) AS k, 0 AS tag, CAST({lv} AS VARCHAR) AS v FROM {lt} "
             f"UNION ALL SELECT CAST({rk} AS VARCHAR), 1, CAST({rv} AS VARCHAR) FROM {rt}) "
             f"SELECT k, k || ' : ' || {side(0)} || ';' || {side(1)} AS line FROM u GROUP BY k")
+
+
+def chunk_sql(key: str, value: str, source: str, size: int) -> str:
+    return (f"SELECT k, CAST(r // {size} AS BIGINT) AS chunk, string_agg(CAST(v AS VARCHAR), ', ' ORDER BY v) AS txt "
+            f"FROM (SELECT k, v, row_number() OVER (PARTITION BY k ORDER BY v) - 1 AS r "
+            f"FROM (SELECT {key} AS k, {value} AS v FROM {source})) GROUP BY k, r // {size}")

@@ -6,6 +6,7 @@ to a fresh folder under the session's shared checkpoint folder and return the re
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -99,6 +100,52 @@ def q_multi_output(spark, d):
     return routed.select("tag", "k", "line")
 
 
+# ---- bounded rows: the same groups in chunks -------------------------------------------------------
+def q_null_key_chunks(spark, d):
+    """A1 bounded, with a NULL key that holds a fifth of the rows."""
+    key = F.when(F.col("o_orderpriority") != F.lit("5-LOW"), F.col("o_orderpriority"))
+    return keyed.group_chunks(D.table(spark, d, "orders").select(key.alias("k"), F.col("o_custkey").alias("v")), chunk_size=CHUNK_SIZE)
+
+
+def q_hot_key_chunks(spark, d):
+    """A1 bounded, with a key that holds over a third of the rows."""
+    rows = D.table(spark, d, "lineitem").select(F.col("l_returnflag").alias("k"), F.col("l_partkey").alias("v"))
+    return keyed.group_chunks(rows, chunk_size=CHUNK_SIZE)
+
+
+COGROUP_CHUNK = 7
+
+
+def q_cogroup_chunks(spark, d):
+    """J1 bounded."""
+    return keyed.cogroup_chunks(_nation_inputs(spark, d), chunk_size=COGROUP_CHUNK)
+
+
+def _routed_chunks(spark, d):
+    chunks = keyed.chunk_lines(keyed.group_chunks(_part_kv(spark, d), chunk_size=COGROUP_CHUNK))
+    return keyed.route_outputs(chunks, "k", MULTI_CUTOFF, MULTI_MARKER)
+
+
+def q_multi_output_chunks(spark, d):
+    """F5 over chunks."""
+    return _routed_chunks(spark, d).select("tag", "k", "chunk", "line")
+
+
+def q_tagged_sink_chunks(spark, d):
+    """K3 over chunks."""
+    target = shared_dir(spark, "text-tagged-chunks")
+    text.write_tagged(_routed_chunks(spark, d).select("line", "tag"), target, tag="tag", col="line")
+    return spark.read.text(target).select("value", F.col("tag").cast("string"))
+
+
+def q_cogroup_empty_string(spark, d):
+    """P9 with a side whose only value is the empty string: it is not an empty side."""
+    left = D.table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("k"), F.lit("").alias("v"))
+    right = D.table(spark, d, "customer").where(F.col("c_nationkey") > F.lit(9)).select(
+        F.col("c_nationkey").cast("string").alias("k"), F.col("c_name").alias("v"))
+    return keyed.cogroup_lines({"nations": left, "customers": right}, blank_empty=True)
+
+
 # ---- whole document texts --------------------------------------------------------------------------
 def _doc_words(spark, d):
     """(word, doc_id) for every word of every whole text (split on spaces and line breaks)."""
@@ -240,14 +287,31 @@ def q_table_source(spark, d):
     return readers.read_table(spark, table=f"{d.rstrip('/')}/orders.parquet")
 
 
+def _unique(name: str) -> str:
+    return f"{name}_{uuid.uuid4().hex[:12]}"
+
+
+def _catalog_table(spark, df, name: str, partition_by: tuple = ()) -> str:
+    """A new catalog table with ``df``'s rows, its files in the shared folder."""
+    table = _unique(name)
+    df.write.option("path", shared_dir(spark, table)).partitionBy(*partition_by).saveAsTable(table)
+    return table
+
+
+def q_catalog_source(spark, d):
+    """S3, catalog branch: the orders as a catalog table, read by name."""
+    return readers.read_table(spark, table=_catalog_table(spark, D.table(spark, d, "orders"), "orders"))
+
+
 SOURCE_QUERY = ("SELECT o_orderpriority, count(*) AS n, "
                 "CAST(sum(CAST(o_totalprice AS DECIMAL(15,2))) AS DECIMAL(18,2)) AS total "
                 "FROM orders GROUP BY o_orderpriority")
 
 
 def q_sql_query_source(spark, d):
-    D.table(spark, d, "orders").createOrReplaceTempView("orders")
-    return readers.read_table(spark, query=SOURCE_QUERY)
+    view = _unique("orders")  # never a name that the caller may use
+    D.table(spark, d, "orders").createOrReplaceTempView(view)
+    return readers.read_table(spark, query=SOURCE_QUERY.replace("FROM orders", f"FROM {view}"))
 
 
 def q_pruned_source(spark, d):
@@ -298,6 +362,61 @@ def q_table_sink_truncate(spark, d):
     return spark.read.parquet(target)
 
 
+def q_table_sink_truncate_partitioned(spark, d):
+    """K4 truncate of a partitioned table, in a session that overwrites partitions dynamically."""
+    target = shared_dir(spark, "part-truncate-days")
+    sizes = D.table(spark, d, "part").select("p_partkey", "p_name", "p_size")
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key, "static")
+    spark.conf.set(key, "dynamic")
+    try:
+        tables.write_table(sizes, target, write="append", partition_by=["p_size"])
+        tables.write_table(sizes.where(F.col("p_size") > F.lit(25)), target, write="truncate", partition_by=["p_size"])
+    finally:
+        spark.conf.set(key, before)
+    return spark.read.parquet(target).select("p_partkey", "p_name", F.col("p_size").cast("long"))
+
+
+def q_catalog_sink(spark, d):
+    """K4 on a catalog table: append, then truncate."""
+    table = _catalog_table(spark, _parts(spark, d), "parts")
+    tables.write_table(_parts(spark, d), table, write="append", create="never")
+    tables.write_table(_parts(spark, d).where(F.col("p_size") > F.lit(25)), table, write="truncate", create="never")
+    tables.write_table(_parts(spark, d), table, write="append", create="never")
+    return spark.read.table(table)
+
+
+def _months(spark, d, label: str):
+    day = F.trunc("o_orderdate", "month").alias("month")
+    return D.table(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.lit(label).alias("load"), day)
+
+
+def q_catalog_partition_overwrite(spark, d):
+    """K5 on a catalog table: only the partitions of the second load are replaced."""
+    table = _catalog_table(spark, _months(spark, d, "first"), "months", ("month",))
+    second = _months(spark, d, "second").where(F.col("month") < F.lit("1995-01-01").cast("date"))
+    tables.write_day_partitions(second.where(F.col("o_orderstatus") == F.lit("F")), table, "month")
+    return spark.read.table(table).select("o_orderkey", "o_orderstatus", "load", "month")
+
+
+def q_partition_divert(spark, d):
+    """K5 with rows that have no day: they go to the reject folder of the load; a retry doubles nothing."""
+    target, reject = shared_dir(spark, "months"), shared_dir(spark, "rejects")
+    rows = _months(spark, d, "x").withColumn("month", F.when(F.col("o_orderstatus") != F.lit("P"), F.col("month")))
+    for _ in range(2):
+        tables.write_day_partitions(rows, target, "month", on_null="divert", reject_target=reject, load_id="a")
+    kept = spark.read.parquet(target).select("o_orderkey", F.col("month").cast("date"), F.lit(False).alias("rejected"))
+    return kept.unionByName(spark.read.parquet(reject).select("o_orderkey", F.col("month").cast("date"), F.lit(True).alias("rejected")))
+
+
+def q_header_null_lines(spark, d):
+    """K2 over lines of which some are NULL: every shard starts with the header."""
+    target = shared_dir(spark, "text-header-null")
+    line = F.when(F.col("c_mktsegment") == F.lit(D.CITY), F.col("c_name")).alias("value")
+    text.write_lines(D.table(spark, d, "customer").select(line), target, header="name", num_shards=HEADER_SHARDS)
+    return readers.read_lines(spark, target)
+
+
 def q_text_roundtrip(spark, d):
     target = shared_dir(spark, "text-lines")
     src = D.lines_of(D.table(spark, d, "customer"), "concat_ws(',', CAST(c_custkey AS STRING), c_name)")
@@ -337,6 +456,17 @@ def q_incremental_staging(spark, d):
     return comparable(spark.read.parquet(out).drop(tables.INGESTION_DAY), D.ORDER_FIELDS)
 
 
+def q_incremental_staging_no_day(spark, d):
+    """The stream form with rows that have no partition date: the date stays NULL in the table."""
+    from sparkloom.streaming.staging_stream import start_staging_stream
+
+    src, out = shared_dir(spark, "raw-orders"), shared_dir(spark, "staged-orders")
+    D.raw_frame(D.table(spark, d, "orders"), D.RAW_ORDERS_DIRTY).write.parquet(f"{src}/b1")
+    start_staging_stream(spark, source_dir=f"{src}/*", fields=D.ORDER_FIELDS, output=out, partition_col="o_orderdate",
+                         checkpoint=shared_dir(spark, "ckpt")).awaitTermination()
+    return comparable(spark.read.parquet(out).drop(tables.INGESTION_DAY), D.ORDER_FIELDS)
+
+
 QUERIES: dict[str, Query] = {
     "split_lines": q_split_lines,
     "word_doc_groups": q_word_doc_groups,
@@ -383,6 +513,19 @@ QUERIES: dict[str, Query] = {
     "header_roundtrip": q_header_roundtrip,
     "tagged_sink": q_tagged_sink,
     "incremental_staging": q_incremental_staging,
+    "incremental_staging_no_day": q_incremental_staging_no_day,
+    "null_key_chunks": q_null_key_chunks,
+    "hot_key_chunks": q_hot_key_chunks,
+    "cogroup_chunks": q_cogroup_chunks,
+    "multi_output_chunks": q_multi_output_chunks,
+    "tagged_sink_chunks": q_tagged_sink_chunks,
+    "cogroup_empty_string": q_cogroup_empty_string,
+    "header_null_lines": q_header_null_lines,
+    "table_sink_truncate_partitioned": q_table_sink_truncate_partitioned,
+    "catalog_source": q_catalog_source,
+    "catalog_sink": q_catalog_sink,
+    "catalog_partition_overwrite": q_catalog_partition_overwrite,
+    "partition_divert": q_partition_divert,
 }
 
 
@@ -392,10 +535,18 @@ _MULTI = (f"WITH g AS ({_PART_GROUPS}) "
           f"SELECT 'below' AS tag, k, line FROM g WHERE length(k) < {MULTI_CUTOFF} "
           f"UNION ALL SELECT 'above' AS tag, k, line FROM g WHERE length(k) >= {MULTI_CUTOFF} "
           f"UNION ALL SELECT 'marker' AS tag, k, line FROM g WHERE starts_with(lower(k), '{MULTI_MARKER}')")
+_MULTI_CHUNKS = (f"WITH g AS (SELECT *, k || ':' || CAST(chunk AS VARCHAR) || ':[' || txt || ']' AS line "
+                 f"FROM ({O.chunk_sql('p_name', 'p_partkey', 'part', COGROUP_CHUNK)})) "
+                 f"SELECT 'below' AS tag, k, chunk, line FROM g WHERE length(k) < {MULTI_CUTOFF} "
+                 f"UNION ALL SELECT 'above', k, chunk, line FROM g WHERE length(k) >= {MULTI_CUTOFF} "
+                 f"UNION ALL SELECT 'marker', k, chunk, line FROM g WHERE starts_with(lower(k), '{MULTI_MARKER}')")
+_COGROUP_CHUNKS = " UNION ALL ".join(
+    f"SELECT k, '{tag}' AS tag, chunk, txt FROM ({O.chunk_sql(f'CAST({k} AS VARCHAR)', v, t, COGROUP_CHUNK)})"
+    for tag, k, v, t in (("suppliers", "s_nationkey", "s_name", "supplier"), ("customers", "c_nationkey", "c_name", "customer")))
 _NATIONS = (("s_nationkey", "s_name", "supplier"), ("c_nationkey", "c_name", "customer"))
 _CITY_LINE = "concat_ws(',', CAST(c_custkey AS VARCHAR), c_name, CAST(c_nationkey AS VARCHAR), c_mktsegment)"
 _ID_LINE = "'CT' || CAST(c_custkey AS VARCHAR) || ',' || c_name || ',' || c_mktsegment"
-_STRICT_FIELDS = [f for f in D.ORDER_FIELDS if f.type != "TIME"]
+_STRICT_FIELDS = [f for f in O.ORDER_FIELDS if f[1] != "TIME"]
 _SINK_FIRST = "SELECT o_orderkey, o_orderstatus, o_orderpriority, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders"
 _SINK_SECOND = ("SELECT o_orderkey, o_orderstatus, 'R-' || o_orderpriority AS o_orderpriority, "
                 "CAST(o_orderdate AS DATE) AS o_orderdate FROM orders WHERE o_orderstatus = 'F'")
@@ -441,10 +592,10 @@ ORACLE: dict[str, str] = {
                    f"FROM ({O.cast_sql('FLOAT', O.RAW_FLOAT, 'lineitem', 'l_orderkey')})"),
     "cast_numeric": O.cast_sql("NUMERIC", O.RAW_NUMERIC, "lineitem", "l_orderkey"),
     "cast_time": O.cast_sql("TIME", O.RAW_TIME, "events", "event_id"),
-    "staging_reset_on_error": O.staging_sql(D.ORDER_FIELDS, O.RAW_ORDERS_DIRTY, "orders"),
-    "staging_typed": O.staging_sql(D.ORDER_FIELDS, O.RAW_ORDERS_CLEAN, "orders"),
+    "staging_reset_on_error": O.staging_sql(O.ORDER_FIELDS, O.RAW_ORDERS_DIRTY, "orders"),
+    "staging_typed": O.staging_sql(O.ORDER_FIELDS, O.RAW_ORDERS_CLEAN, "orders"),
     "staging_strict": O.staging_sql(_STRICT_FIELDS, O.RAW_ORDERS_CLEAN, "orders", on_error="strict"),
-    "staging_schema_string": O.staging_sql(sch.from_pipe_string(D.LINEITEM_SCHEMA_STRING), O.RAW_LINEITEM, "lineitem"),
+    "staging_schema_string": O.staging_sql(O.LINEITEM_FIELDS, O.RAW_LINEITEM, "lineitem"),
     "load_timestamp": "SELECT o_orderkey, TRUE AS record_loaded FROM orders",
     "partition_id": (f"SELECT '{STAGING_TABLE}$' || strftime(o_orderdate, '%Y%m%d') AS partition_id, "
                      "CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY 1"),
@@ -462,5 +613,27 @@ ORACLE: dict[str, str] = {
     "header_roundtrip": (f"{_SESSION_DATA} UNION ALL SELECT '{jobs.SESSION_HEADER}' AS value "
                          f"FROM range({HEADER_SHARDS})"),
     "tagged_sink": f"SELECT line AS value, tag FROM ({_MULTI})",
-    "incremental_staging": O.staging_sql(D.ORDER_FIELDS, O.RAW_ORDERS_CLEAN, "orders"),
+    "incremental_staging": O.staging_sql(O.ORDER_FIELDS, O.RAW_ORDERS_CLEAN, "orders"),
+    "incremental_staging_no_day": O.staging_sql(O.ORDER_FIELDS, O.RAW_ORDERS_DIRTY, "orders"),
+    "null_key_chunks": O.chunk_sql("CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END", "o_custkey", "orders", CHUNK_SIZE),
+    "hot_key_chunks": O.chunk_sql("l_returnflag", "l_partkey", "lineitem", CHUNK_SIZE),
+    "cogroup_chunks": _COGROUP_CHUNKS,
+    "multi_output_chunks": _MULTI_CHUNKS,
+    "tagged_sink_chunks": f"SELECT line AS value, tag FROM ({_MULTI_CHUNKS})",
+    "cogroup_empty_string": ("SELECT CAST(n_nationkey AS VARCHAR) AS k, CAST(n_nationkey AS VARCHAR) || ' : [];' || coalesce('[' || "
+                             "(SELECT string_agg(c_name, ', ' ORDER BY c_name) FROM customer WHERE c_nationkey = n_nationkey "
+                             "AND c_nationkey > 9) || ']', '') AS line FROM nation"),
+    "header_null_lines": (f"SELECT CASE WHEN c_mktsegment = '{D.CITY}' THEN c_name ELSE '' END AS value FROM customer "
+                          f"UNION ALL SELECT 'name' FROM range({HEADER_SHARDS})"),
+    "table_sink_truncate_partitioned": "SELECT p_partkey, p_name, CAST(p_size AS BIGINT) AS p_size FROM part WHERE p_size > 25",
+    "catalog_source": "SELECT * FROM orders",
+    "catalog_sink": ("SELECT p_partkey, p_name, p_size FROM part WHERE p_size > 25 UNION ALL "
+                     "SELECT p_partkey, p_name, p_size FROM part"),
+    "catalog_partition_overwrite": (
+        "WITH o AS (SELECT o_orderkey, o_orderstatus, CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders), "
+        "b AS (SELECT * FROM o WHERE month < DATE '1995-01-01' AND o_orderstatus = 'F') "
+        "SELECT o_orderkey, o_orderstatus, 'first' AS load, month FROM o WHERE month NOT IN (SELECT month FROM b) "
+        "UNION ALL SELECT o_orderkey, o_orderstatus, 'second', month FROM b"),
+    "partition_divert": ("SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN CAST(date_trunc('month', o_orderdate) AS DATE) END AS month, "
+                         "o_orderstatus = 'P' AS rejected FROM orders"),
 }

@@ -12,25 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom import schema as sch
-from sparkloom.sources import readers
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-# Unique keys of the driver tables (used to spread single-split scans evenly; see readers.spread).
-TABLE_KEYS = {
-    "customer": ["c_custkey"], "supplier": ["s_suppkey"], "part": ["p_partkey"], "orders": ["o_orderkey"],
-    "lineitem": ["l_orderkey", "l_linenumber"], "events": ["event_id"], "documents": ["doc_id"],
-}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. A scan that would leave most cores idle (a single small file) is spread on the
-    table's unique key right after the scan, so the per-row work that follows uses every core; the
-    repartition only carries the columns the query reads. On large inputs this is a no-op."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return readers.spread(df, by=TABLE_KEYS[name]) if name in TABLE_KEYS else df
+    """A driver table, as any input is read."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def lines_of(df: DataFrame, expr: str) -> DataFrame:
@@ -113,7 +102,7 @@ RAW_FLOAT = f"""CASE l_returnflag
   ELSE CASE l_linenumber
     WHEN 1 THEN 'NaN' WHEN 2 THEN '-Infinity' WHEN 3 THEN 'nan' WHEN 4 THEN '1e400'
     WHEN 5 THEN concat('.', CAST(l_partkey AS STRING)) WHEN 6 THEN concat({PRICE}, 'F')
-    ELSE concat({PRICE}, 'x') END
+    ELSE CASE l_linestatus WHEN 'F' THEN concat(' -0x', CAST(l_partkey AS STRING), '.8cP-3d') ELSE concat({PRICE}, 'x') END END
 END"""
 
 RAW_NUMERIC = f"""CASE l_returnflag
@@ -122,7 +111,7 @@ RAW_NUMERIC = f"""CASE l_returnflag
   ELSE CASE l_linenumber
     WHEN 1 THEN concat('.', CAST(l_partkey AS STRING)) WHEN 2 THEN concat(CAST(l_partkey AS STRING), '.')
     WHEN 3 THEN concat('1', repeat('0', 40)) WHEN 4 THEN concat('-', {PRICE}, '12345678')
-    WHEN 5 THEN concat('+', {PRICE}, 'e+2')
+    WHEN 5 THEN concat('+', {PRICE}, 'e+2') WHEN 6 THEN concat('-0.00E', CAST(l_partkey AS STRING))
     ELSE 'abc' END
 END"""
 

@@ -40,8 +40,8 @@ def from_json_text(text: str) -> list[Field]:
 def from_json_file(spark: SparkSession, path: str) -> list[Field]:
     """Read a JSON schema from any Hadoop-visible path (local, HDFS, object store)."""
     rows = spark.read.text(path, wholetext=True).collect()  # one small file -> one row
-    if not rows:
-        raise ValueError(f"schema file {path} is empty or missing")
+    if len(rows) != 1:
+        raise ValueError(f"{path} must be one schema file, found {len(rows)}")
     return from_json_text(rows[0][0])
 
 

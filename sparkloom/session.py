@@ -52,7 +52,7 @@ def checkpoint_root(spark: SparkSession) -> str:
             return sc.getCheckpointDir().rstrip("/")
     if configured:
         return configured.rstrip("/")
-    if sc is None or not sc.master.startswith("local"):
+    if sc is None or not (sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError(
             f"{_CHECKPOINT_KEY} is not set; configure a shared folder (HDFS/S3/...) for this cluster"
         )
@@ -62,5 +62,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder (never reused, never cleared)."""
+    """A fresh sub-folder of the shared checkpoint folder, never reused. Nothing here deletes it: on a
+    cluster give the folder a lifetime rule, and set ``spark.cleaner.referenceTracking.cleanCheckpoints``
+    for the folders of ``checkpoint()``."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -5,10 +5,15 @@ A target is a catalog table name or a parquet path (anything with a ``/``).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkloom.session import checkpoint_root
+from sparkloom.sources.readers import is_path as _is_path
+
 WRITE_DISPOSITIONS = ("append", "truncate", "empty")
 CREATE_DISPOSITIONS = ("if_needed", "never")
 # Fixed value: the column used when rows are routed to the ingestion day (partition option "N/A").
@@ -16,8 +21,24 @@ INGESTION_DAY = "_PARTITIONDATE"
 NO_PARTITION_COLUMN = "N/A"
 
 
-def _is_path(target: str) -> bool:
-    return "/" in target
+_MODE = "partitionOverwriteMode"
+
+
+def _insert(df: DataFrame, table: str, overwrite: bool, partitions: str) -> None:
+    """``insertInto`` under a partition overwrite mode. The mode is a session setting (the writer option
+    is ignored for catalog tables): it is set for this write only, in the writer's own session, so two
+    threads that share one session must not write to catalog tables at the same time."""
+    spark = df.sparkSession
+    key = f"spark.sql.sources.{_MODE}"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, partitions)
+    try:
+        df.select(*spark.read.table(table).columns).write.insertInto(table, overwrite=overwrite)
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def target_exists(spark: SparkSession, target: str, fmt: str = "parquet") -> bool:
@@ -38,7 +59,8 @@ def write_table(df: DataFrame, target: str, write: str = "append", create: str =
                 partition_by: list[str] | None = None, fmt: str = "parquet") -> str:
     """K4: ``append`` adds rows; ``truncate`` replaces the table's content; ``empty`` writes only if
     the target has no rows. ``create="never"`` requires the target to exist already. Path targets
-    are written as ``fmt``; catalog tables keep their own format."""
+    are written as ``fmt``; catalog tables keep their own format. A truncate replaces everything,
+    whatever partition overwrite mode the session has."""
     if write not in WRITE_DISPOSITIONS or create not in CREATE_DISPOSITIONS:
         raise ValueError(f"write must be one of {WRITE_DISPOSITIONS}, create one of {CREATE_DISPOSITIONS}")
     spark = df.sparkSession
@@ -49,13 +71,12 @@ def write_table(df: DataFrame, target: str, write: str = "append", create: str =
         raise ValueError(f"target {target} is not empty (write disposition 'empty')")
     mode = "overwrite" if write == "truncate" else "append"
     if _is_path(target):
-        writer = df.write.mode(mode)
+        writer = df.write.mode(mode).option(_MODE, "static")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.format(fmt).save(target)
     elif exists:
-        cols = spark.read.table(target).columns
-        df.select(*cols).write.insertInto(target, overwrite=(mode == "overwrite"))
+        _insert(df, target, overwrite=(mode == "overwrite"), partitions="static")
     else:
         writer = df.write.mode(mode)
         if partition_by:
@@ -81,22 +102,27 @@ def with_ingestion_day(df: DataFrame) -> DataFrame:
 
 
 def write_day_partitions(df: DataFrame, target: str, partition_col: str | None = NO_PARTITION_COLUMN,
-                         on_null: str = "fail", reject_target: str | None = None, fmt: str = "parquet") -> str:
+                         on_null: str = "fail", reject_target: str | None = None, fmt: str = "parquet",
+                         load_id: str | None = None) -> str:
     """K5/K6: replace exactly the day partitions present in ``df``; untouched days stay.
 
     * ``partition_col`` must be a DATE column; ``None``/``"N/A"`` routes rows to today's date
       (ingestion-time partitioning).
     * A NULL partition value fails the job (``on_null="fail"``: checked inside the write itself, so
-      nothing is committed and no extra pass is needed) or, with ``on_null="divert"``, those rows are
-      appended to ``reject_target`` and only the rest is written.
+      nothing is committed and no extra pass is needed) or, with ``on_null="divert"``, those rows go
+      to the folder ``load=<load_id>`` of ``reject_target``. The input is computed once (reliable
+      checkpoint), the table is written first, and the reject folder is overwritten: a load that is
+      retried under its ``load_id`` replaces both, it doubles nothing.
     * Rows are rebalanced on the partition column before writing (AQE splits a hot day over several
       tasks and merges small ones), so one task never writes a whole large day and small days do
-      not turn into many tiny files.
+      not turn into many tiny files. The ingestion day is one value: its rows are rebalanced by size
+      only.
     * Path targets use dynamic overwrite on the writer; catalog targets must exist (create never)
       and use the session setting around ``insertInto`` (the writer option is ignored there).
     """
     spark = df.sparkSession
-    if partition_col in (None, NO_PARTITION_COLUMN):
+    one_day = partition_col in (None, NO_PARTITION_COLUMN)
+    if one_day:
         df, partition_col = with_ingestion_day(df), INGESTION_DAY
     part_type = dict(df.dtypes).get(partition_col)
     if part_type != "date":
@@ -106,7 +132,9 @@ def write_day_partitions(df: DataFrame, target: str, partition_col: str | None =
     if on_null == "divert":
         if not reject_target:
             raise ValueError("on_null='divert' needs a reject_target")
-        df.where(F.col(partition_col).isNull()).write.mode("append").format(fmt).save(reject_target)
+        checkpoint_root(spark)
+        df = df.checkpoint(eager=True)
+        rejects = df.where(F.col(partition_col).isNull())
         df = df.where(F.col(partition_col).isNotNull())
     elif on_null == "fail":
         part = F.col(partition_col)
@@ -114,19 +142,14 @@ def write_day_partitions(df: DataFrame, target: str, partition_col: str | None =
         df = df.withColumn(partition_col, checked)
     else:
         raise ValueError("on_null must be 'fail' or 'divert'")
-    df = df.hint("rebalance", partition_col)
+    if not _is_path(target) and not spark.catalog.tableExists(target):
+        raise ValueError(f"table {target} must exist (partitioned writes use create disposition 'never')")
+    df = df.hint("rebalance") if one_day else df.hint("rebalance", partition_col)
     if _is_path(target):
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (df.write.mode("overwrite").option(_MODE, "dynamic")
          .partitionBy(partition_col).format(fmt).save(target))
-        return target
-    if not spark.catalog.tableExists(target):
-        raise ValueError(f"table {target} must exist (partitioned writes use create disposition 'never')")
-    key = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(key, "static")
-    spark.conf.set(key, "dynamic")
-    try:
-        cols = spark.read.table(target).columns
-        df.select(*cols).write.insertInto(target, overwrite=True)
-    finally:
-        spark.conf.set(key, previous)
+    else:
+        _insert(df, target, overwrite=True, partitions="dynamic")
+    if on_null == "divert":
+        rejects.write.mode("overwrite").format(fmt).save(f"{reject_target.rstrip('/')}/load={load_id or uuid.uuid4().hex}")
     return target

@@ -31,7 +31,7 @@ def write_lines(df: DataFrame, path: str, col: str | None = None, num_shards: in
         lines = lines.repartition(num_shards)
     if header is not None:
         first = (F.monotonically_increasing_id().bitwiseAND(F.lit(_RECORD_BITS)) == F.lit(0))
-        lines = lines.select(F.when(first, F.concat(F.lit(header + "\n"), F.col("value")))
+        lines = lines.select(F.when(first, F.concat(F.lit(header + "\n"), F.coalesce("value", F.lit(""))))
                              .otherwise(F.col("value")).alias("value"))
     writer = lines.write.mode(mode)
     if compression:

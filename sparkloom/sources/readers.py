@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sparkloom.schema import Field, raw_projection
 
 
+def is_path(name: str) -> bool:
+    """A table name with a ``/`` is a path, any other one (``raw.json`` too) a catalog name."""
+    return "/" in name
+
+
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``DataFrame[value: string]``, one row per line (globs, directories and compressed files
     work; the reader splits large files, so a single input file still scans in parallel)."""
@@ -21,10 +25,6 @@ def from_rows(spark: SparkSession, rows: Iterable, schema) -> DataFrame:
     return spark.createDataFrame(list(rows), schema)
 
 
-def _is_path(name: str) -> bool:
-    return "/" in name or name.endswith((".parquet", ".orc", ".json"))
-
-
 def read_table(spark: SparkSession, table: str | None = None, query: str | None = None,
                fmt: str = "parquet") -> DataFrame:
     """The table if given, else the SQL query, else an error (the documented input rule).
@@ -32,7 +32,7 @@ def read_table(spark: SparkSession, table: str | None = None, query: str | None
     ``table`` is a catalog name or a path (read as ``fmt``: parquet, orc, json, ...); ``query`` runs
     through ``spark.sql`` against the session's catalog/temp views, so all of Spark SQL is available."""
     if table:
-        return spark.read.format(fmt).load(table) if _is_path(table) else spark.read.table(table)
+        return spark.read.format(fmt).load(table) if is_path(table) else spark.read.table(table)
     if query:
         return spark.sql(query)
     raise ValueError("either a table or a SQL query must be given")
@@ -42,24 +42,3 @@ def read_pruned(spark: SparkSession, table: str, fields: list[Field], fmt: str =
     """Only the schema's columns (minus the load-time column) are read; Catalyst turns the
     projection into the columnar ``ReadSchema`` so other columns are never decoded."""
     return read_table(spark, table=table, fmt=fmt).select(*raw_projection(fields))
-
-
-def spread(df: DataFrame, min_partitions: int | None = None, by: list[str] | None = None) -> DataFrame:
-    """Spread a scan that yields at most half as many splits as the cluster has cores (for example
-    one small, single-row-group file) before CPU-heavy row-local work. At scale the input has far
-    more splits than cores and this returns ``df`` unchanged - no shuffle is added.
-
-    Rows are hash-partitioned on their own content: deterministic, so a map task recomputed after
-    an executor loss routes every row to the same partition again, and - unlike a round-robin
-    repartition - no per-task sort is needed to make it so."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view of the plan (e.g. a remote session): leave as is
-        return df
-    # Only when the input would leave most cores idle: re-shuffling an input that already uses
-    # more than half of the cluster costs more than the extra parallelism returns.
-    if splits * 2 > target:
-        return df
-    cols = by or df.columns  # a unique key spreads evenly and lets Catalyst keep the scan pruned
-    return df.repartition(target, F.xxhash64(*[F.col(c) for c in cols]))

@@ -43,19 +43,19 @@ def start_staging_stream(
 ) -> StreamingQuery:
     """Start the incremental staging query (``available_now``: process what is there, then stop).
 
-    NULL partition values are routed to the ingestion day instead of failing a long-running query;
-    rows whose partition column is NULL keep their typed values."""
+    The table is partitioned by a column of its own (``_PARTITIONDATE``): the day of ``partition_col``, or
+    the ingestion day for rows without one (a long-running query must not fail for them) and when no
+    column is named. The schema's columns are written as staged; a NULL date stays NULL."""
     reader = spark.readStream.schema(raw_schema(fields)).format(source_format)
     if source_format == "csv":
         reader = reader.option("header", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     staged = stage(reader.load(source_dir), fields, on_error=on_error)
-    if partition_col in (None, NO_PARTITION_COLUMN):
-        staged, partition_col = staged.withColumn(INGESTION_DAY, F.current_date()), INGESTION_DAY
-    else:
-        staged = staged.withColumn(partition_col, F.coalesce(F.col(partition_col).cast("date"), F.current_date()))
-    writer = (staged.writeStream.format("parquet").partitionBy(partition_col)
+    day = F.current_date()
+    if partition_col not in (None, NO_PARTITION_COLUMN):
+        day = F.coalesce(F.col(partition_col).cast("date"), day)
+    writer = (staged.withColumn(INGESTION_DAY, day).writeStream.format("parquet").partitionBy(INGESTION_DAY)
               .option("checkpointLocation", checkpoint or shared_dir(spark, "staging-stream-ckpt"))
               .outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -48,8 +48,8 @@ def test_line_jobs(spark, out_dir):
     cards = _text_input(spark, out_dir, ["#id,card", "CT42260,visa", "CT4226,amex", "CT1,x"], "cards")
     assert _read(spark, jobs.customer_records(spark, input=cards, output=out_dir("ct"), customer_id="CT4226")) == [
         "CT4226,amex", "CT42260,visa"]
-    people = readers.from_rows(spark, [("1001", "Sagar"), ("1002", "John")], "id string, name string")
-    assert _read(spark, jobs.customer_names(people, output=out_dir("names"))) == ["John", "Sagar"]
+    people = readers.from_rows(spark, [("1001", "Quill"), ("1002", "Bramble")], "id string, name string")
+    assert _read(spark, jobs.customer_names(people, output=out_dir("names"))) == ["Bramble", "Quill"]
 
 
 def test_raw_to_staging_job(spark, out_dir, tmp_path):

@@ -39,5 +39,5 @@ def test_id_prefix(spark):
 
 
 def test_project(spark):
-    df = spark.createDataFrame([("1001", "Sagar"), ("1002", "John")], "id string, name string")
-    assert [r.name for r in lines.project(df, "name").collect()] == ["Sagar", "John"]
+    df = spark.createDataFrame([("1001", "Quill"), ("1002", "Bramble")], "id string, name string")
+    assert [r.name for r in lines.project(df, "name").collect()] == ["Quill", "Bramble"]

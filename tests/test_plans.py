@@ -10,7 +10,10 @@ SF = "/root/testdata/sf0.001"
 PYTHON_NODES = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
                 "PythonMapInArrow")
 SINK_QUERIES = {"partition_overwrite", "ingestion_partition", "table_sink_append", "table_sink_truncate",
-                "text_roundtrip", "header_roundtrip", "tagged_sink", "incremental_staging"}
+                "text_roundtrip", "header_roundtrip", "tagged_sink", "incremental_staging",
+                "incremental_staging_no_day", "tagged_sink_chunks", "header_null_lines",
+                "table_sink_truncate_partitioned", "catalog_source", "catalog_sink", "catalog_partition_overwrite",
+                "partition_divert"}
 
 
 def plan(df):
@@ -64,11 +67,52 @@ def test_max_filter_uses_scalar_subquery(spark):
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
-def test_spread_is_noop_on_split_inputs(spark):
-    from sparkloom.sources.readers import spread
+def _jobs_of(spark, build):
+    """Number of Spark jobs that building a plan starts."""
+    group = f"build-{id(build)}"
+    spark.sparkContext.setJobGroup(group, "build")
+    try:
+        build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
-    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism)
-    assert spread(many) is many
-    one = spark.range(0, 1000, numPartitions=1)
-    spread_one = spread(one, by=["id"])
-    assert spread_one is not one and "REPARTITION_BY_NUM" in plan(spread_one)
+
+@pytest.mark.parametrize("query", ["SELECT o_orderpriority AS id, '1' AS n FROM job_orders GROUP BY o_orderpriority",
+                                   "SELECT a.o_orderpriority AS id, '1' AS n FROM job_orders a JOIN job_orders b USING (o_orderkey)"])
+def test_building_a_job_runs_nothing(spark, query):
+    from sparkloom import schema as sch
+    from sparkloom.plans import jobs
+
+    spark.read.parquet(f"{SF}/orders.parquet").createOrReplaceTempView("job_orders")
+    fields = sch.from_pipe_string("id:STRING|n:INTEGER")
+    assert _jobs_of(spark, lambda: jobs.staged(spark, fields, query=query)) == 0
+    assert _jobs_of(spark, lambda: QUERIES["word_doc_groups"](spark, SF)) <= 1  # file listing at most
+
+
+def test_every_value_is_parsed_once(spark):
+    from sparkloom import schema as sch
+    from sparkloom.operators.staging import stage
+
+    fields = [sch.Field(f"c{i}", "DATE") for i in range(4)]
+    raw = spark.range(3).selectExpr(*[f"cast(id as string) as c{i}" for i in range(4)])
+    p = stage(raw, fields)._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("RLIKE") == 4
+
+
+def test_ingestion_day_is_not_dealt_by_a_literal(spark, out_dir):
+    from sparkloom.sinks import tables
+
+    df = tables.with_ingestion_day(spark.range(10)).hint("rebalance")
+    assert "hashpartitioning" not in plan(df)
+
+
+def test_small_groups_take_one_shuffle(spark):
+    from pyspark.sql import functions as F
+    from sparkloom.operators import keyed
+
+    df = spark.range(100).select((F.col("id") % 7).cast("string").alias("k"), F.col("id").alias("v"))
+    out = keyed.group_lines(df)
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "rangepartitioning" not in final  # the route of large keys is empty and gone

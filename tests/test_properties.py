@@ -47,7 +47,7 @@ def model_float(s):
 
 
 def model_time(s):
-    m = re.fullmatch(r"([+-]?[0-9]{1,10}):([+-]?[0-9]{1,10}):([+-]?[0-9]{1,10})", s or "")
+    m = re.fullmatch(r"([+-]?[0-9]+):([+-]?[0-9]+):([+-]?[0-9]+)", s or "")
     if not m:
         return None
     h, mi, se = (int(x) for x in m.groups())
