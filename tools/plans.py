@@ -2,9 +2,8 @@
 
     python tools/plans.py [sf_dir]
 
-Columns: shuffles by kind (hash on a key / range / single partition / small-input spread), scanned
-columns per table, subqueries, broadcasts and Python nodes. Sink queries are planned on their
-re-read and are left out.
+Columns: shuffles by kind (hash on a key / range / single partition), scanned columns per table,
+subqueries, broadcasts and Python nodes. Sink queries are planned on their re-read and are left out.
 """
 
 from __future__ import annotations
@@ -19,16 +18,16 @@ from sparkloom.plans.registry import QUERIES  # noqa: E402
 from sparkloom.session import local_session  # noqa: E402
 
 SINKS = {"partition_overwrite", "ingestion_partition", "table_sink_append", "table_sink_truncate",
-         "text_roundtrip", "header_roundtrip", "tagged_sink", "text_source_lines", "incremental_staging"}
+         "text_roundtrip", "header_roundtrip", "tagged_sink", "text_source_lines", "incremental_staging",
+         "incremental_staging_no_day", "tagged_sink_chunks", "header_null_lines", "table_sink_truncate_partitioned",
+         "catalog_source", "catalog_sink", "catalog_partition_overwrite", "partition_divert"}
 
 
 def summarise(plan: str) -> dict:
     ex = re.findall(r"Exchange (\w+)\(?([^\n]*)", plan)
-    kinds = {"hash": 0, "range": 0, "single": 0, "spread": 0}
-    for kind, rest in ex:
-        if kind == "hashpartitioning" and "REPARTITION_BY_NUM" in rest:
-            kinds["spread"] += 1
-        elif kind == "hashpartitioning":
+    kinds = {"hash": 0, "range": 0, "single": 0}
+    for kind, _ in ex:
+        if kind == "hashpartitioning":
             kinds["hash"] += 1
         elif kind == "rangepartitioning":
             kinds["range"] += 1
@@ -50,13 +49,13 @@ def main(argv):
     spark = local_session(8)
     spark.sparkContext.setLogLevel("ERROR")
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
-    print("| query | key shuffles | range | single | spread | scanned cols | subquery | broadcast | python |")
-    print("|---|---|---|---|---|---|---|---|---|")
+    print("| query | key shuffles | range | single | scanned cols | subquery | broadcast | python |")
+    print("|---|---|---|---|---|---|---|---|")
     for name in QUERIES:
         if name in SINKS:
             continue
         s = summarise(QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString())
-        print(f"| {name} | {s['hash']} | {s['range']} | {s['single']} | {s['spread']} | {s['scan_cols']} | "
+        print(f"| {name} | {s['hash']} | {s['range']} | {s['single']} | {s['scan_cols']} | "
               f"{s['subquery']} | {s['broadcast']} | {'yes' if s['python'] else 'no'} |")
 
 
