@@ -38,6 +38,8 @@ from .common import ragged_take
 SPACE = "▁"
 _NEVER = np.iinfo(np.int32).max
 _CACHE_BITS = 21
+CACHE = 250_000
+SLICE = 4 << 20
 
 
 @dataclass
@@ -261,14 +263,14 @@ def encode_pieces(m: PieceTransducer, pieces: pa.Array, continued: np.ndarray, c
         empty = np.asarray(pc.binary_length(pieces)) == 0
     new = [u for u in units if u not in cache]
     fresh = {}
-    for a in range(0, len(new), 50_000):
-        part = new[a:a + 50_000]
+    for a in range(0, len(new), 10_000):
+        part = new[a:a + 10_000]
         ids, n = shortest_paths(m, [u.replace(" ", SPACE) for u in part])
         data, end = ids.astype("<u2" if len(m.pieces) <= 1 << 16 else "<u4").tobytes(), np.cumsum(n)
         w = 2 if len(m.pieces) <= 1 << 16 else 4
         fresh.update((u, data[(y - k) * w:y * w]) for u, y, k in zip(part, end.tolist(), n.tolist(), strict=True))
     cells = [fresh[u] if u in fresh else cache[u] for u in units]
-    if len(cache) < 400_000:
+    if len(cache) < CACHE:
         cache.update(fresh)
     kind = "<u2" if len(m.pieces) <= 1 << 16 else "<u4"
     flat = np.frombuffer(b"".join(cells), kind)
@@ -282,33 +284,77 @@ def encode_pieces(m: PieceTransducer, pieces: pa.Array, continued: np.ndarray, c
     return ragged_take(flat, start[code], lens), total[bounds[1:]] - total[bounds[:-1]]
 
 
-def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, text, ids, n_tokens, n_byte_tokens, ids_crc32) of every row."""
+class Decoder:
+    """Ids back to text: pieces with U+2581 as a space, byte pieces as bytes, the dummy prefix left out."""
+
+    def __init__(self, m: PieceTransducer):
+        words = [p.replace(SPACE, " ").encode() for p in m.pieces]
+        for b, i in enumerate(m.bytes_of):
+            if i != m.unk:
+                words[i] = bytes([b])
+        self.flat = np.frombuffer(b"".join(words), np.uint8)
+        self.size = np.array([len(w) for w in words], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.skip = 1 if m.dummy_prefix else 0
+
+    def __call__(self, ids: np.ndarray, bounds: np.ndarray) -> list:
+        """The bytes of every text (``bounds``: limits of its ids)."""
+        size = self.size[ids]
+        data = ragged_take(self.flat, self.start[ids], size).tobytes()
+        place = np.r_[0, np.cumsum(size)][bounds].tolist()
+        return [data[x + self.skip:y] for x, y in zip(place[:-1], place[1:], strict=True)]
+
+
+def _rows(m: PieceTransducer, texts: pa.Array, cache: dict) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, ids, ids per row) in slices of whole rows; the pieces of a long text come together."""
+    held: list = []
+    for who, pieces, continued in fr.balanced(texts, SLICE):
+        if held and held[0][0] != who[0]:
+            yield held[0][0], held[0][0] + 1, np.concatenate([h[1] for h in held]), np.array([sum(len(h[1]) for h in held)])
+            held = []
+        ids, n = encode_pieces(m, pieces, continued, cache)
+        if len(who) == 1:
+            held.append((int(who[0]), ids))
+        else:
+            yield int(who[0]), int(who[-1]) + 1, ids, n
+    if held:
+        yield held[0][0], held[0][0] + 1, np.concatenate([h[1] for h in held]), np.array([sum(len(h[1]) for h in held)])
+
+
+def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text: str = "text", keep_text: bool = False,
+           keep_ids: bool = True) -> DataFrame:
+    """(id, [text], [ids], n_bytes, n_tokens, n_byte_tokens, ids_crc32, round_trip) of every row.
+
+    ``round_trip``: decoding the ids gives the text back (U+2581 read as a space).
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     shared = df.sparkSession.sparkContext.broadcast(compile_model(model_path))
     rows = df.select(F.col(id_col).alias(id_col), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    schema = rows.selectExpr(f"`{id_col}`", "text", "array(0) as ids", "0L as n_tokens", "0L as n_byte_tokens", "0L as ids_crc32").schema
+    schema = rows.selectExpr(f"`{id_col}`", *["text"] * keep_text, *["array(0) as ids"] * keep_ids, "0L as n_bytes", "0L as n_tokens",
+                             "0L as n_byte_tokens", "0L as ids_crc32", "true as round_trip").schema
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        cache = fr.seen("pieces", id(m))
+        cache, decode_ids = fr.seen("pieces", id(m)), Decoder(m)
         is_byte = np.zeros(len(m.pieces), bool)
         is_byte[m.bytes_of] = True
         for b in batches:
-            n, parts = np.zeros(b.num_rows, np.int64), []
-            for who, pieces, continued in fr.balanced(b["text"], 4 << 20):
-                ids, k = encode_pieces(m, pieces, continued, cache)
-                np.add.at(n, who, k)
-                parts.append(ids.astype("<i4"))
-            ids = np.concatenate(parts) if parts else np.zeros(0, "<i4")
-            offs = np.r_[0, np.cumsum(n)]
-            total = np.r_[0, np.cumsum(is_byte[ids])]
-            crc = [zlib.crc32(ids[x:y].tobytes()) for x, y in zip(offs[:-1], offs[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([
-                b.column(0), b["text"], pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(ids)).cast(arrow.field("ids").type),
-                pa.array(n), pa.array(total[offs[1:]] - total[offs[:-1]]), pa.array(crc, pa.int64())], schema=arrow)
+            for x, y, ids, n in _rows(m, b["text"], cache):
+                own, texts = b.column(0).slice(x, y - x), b["text"].slice(x, y - x)
+                ids = ids.astype("<u4")
+                offs = np.r_[0, np.cumsum(n)]
+                cut = list(zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True))
+                plain = pc.replace_substring(texts, SPACE, " ").cast(pa.binary())
+                same = [got == want.as_py() for got, want in zip(decode_ids(ids, offs), plain, strict=True)]
+                cols = [own, *[texts] * keep_text]
+                if keep_ids:
+                    cols.append(pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(ids.view("<i4"))).cast(arrow.field("ids").type))
+                cols += [pc.binary_length(texts).cast(pa.int64()), pa.array(n.astype(np.int64)),
+                         pa.array([int(is_byte[ids[i:j]].sum()) for i, j in cut], pa.int64()),
+                         pa.array([zlib.crc32(ids[i:j].tobytes()) for i, j in cut], pa.int64()), pa.array(same, pa.bool_())]
+                yield pa.RecordBatch.from_arrays(cols, schema=arrow)
 
     return rows.mapInArrow(run, schema)
 
@@ -324,24 +370,14 @@ def decode(df: DataFrame, model_path: str, ids: str = "ids", out: str = "decoded
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        words = [p.replace(SPACE, " ").encode() for p in m.pieces]
-        for b, i in enumerate(m.bytes_of):
-            if i != m.unk:
-                words[i] = bytes([b])
-        flat = np.frombuffer(b"".join(words), np.uint8)
-        size = np.array([len(w) for w in words], np.int64)
-        start = np.cumsum(size) - size
-        for b in batches:
-            col = b.column(len(rest))
-            offs = np.asarray(col.offsets).astype(np.int64)
-            at = np.asarray(col.values)[offs[0]:offs[-1]].astype(np.int64)
-            offs = offs - offs[0]
-            texts = ragged_take(flat, start[at], size[at])
-            place = np.r_[0, np.cumsum(size[at])][offs]
-            data = texts.tobytes()
-            skip = 1 if m.dummy_prefix else 0
-            got = [data[x:y].decode("utf-8", "replace")[skip:] for x, y in zip(place[:-1], place[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(got, pa.string(), mask=np.asarray(col.is_null()))], schema=arrow)
+        decode_ids = Decoder(shared.value)
+        for whole in batches:
+            for x in range(0, whole.num_rows, 1000):
+                b = whole.slice(x, 1000)
+                col = b.column(len(rest))
+                offs = np.asarray(col.offsets).astype(np.int64)
+                at = np.asarray(col.values)[offs[0]:offs[-1]].astype(np.int64)
+                got = [t.decode("utf-8", "replace") for t in decode_ids(at, offs - offs[0])]
+                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(got, pa.string(), mask=np.asarray(col.is_null()))], schema=arrow)
 
     return rows.mapInArrow(run, schema)

@@ -85,7 +85,7 @@ def test_encode_decode_rows(spark, library):
     got = {r.doc_id: r for r in coded.collect()}
     for i, t in enumerate(ODD_TEXTS):
         want = library.encode(t or "")
-        assert got[i].ids == want and got[i].n_tokens == len(want)
+        assert got[i].ids == want and got[i].n_tokens == len(want) and got[i].round_trip
         assert got[i].ids_crc32 == zlib.crc32(np.array(want, "<u4").tobytes())
     back = {r.doc_id: r.decoded for r in piece_fst.decode(coded, PATH).collect()}
     assert back == {i: (t or "").replace("▁", " ") for i, t in enumerate(ODD_TEXTS)}
