@@ -20,7 +20,9 @@ follow each other by text; an empty table gives no shards and no rows.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +35,7 @@ from . import fragments as fr
 from .common import ragged_take, shuffle_partitions
 
 MAGIC, VERSION, BLOCK = b"WMTX", 1, 512
-CACHE = 400_000
+CACHE = 600_000
 SHARDS = "part int, shard int, n_docs long, n_tokens long, data binary"
 _HEAD = np.dtype([("magic", "S4"), ("version", "<u4"), ("docs", "<u8"), ("tokens", "<u8"), ("planes", "<u4")])
 
@@ -151,17 +153,48 @@ class WaveletMatrix:
         return x
 
 
+# The byte-level pattern for characters below U+0250, whose classes no Unicode version changes.
+_SPACE, _LETTER, _NUMBER = "\\t-\\r \\x85\\xa0", "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc\xbd\xbe"
+_PART = re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_SPACE}{_LETTER}{_NUMBER}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+_KNOWN = re.compile("[\x00-\u024f]*")
+_WORD = re.compile(f" ?[{_LETTER}]+")
+
+
+def parts(unit: str) -> list:
+    """A fragment cut further, where the library's own pattern cuts: a word and its punctuation repeat more
+    often than both together. Fragments with other characters or a possible special string stay whole."""
+    return [unit] if "<|" in unit or not _KNOWN.fullmatch(unit) else _PART.findall(unit)
+
+
+# Characters that stand for the bytes in a byte-level vocabulary: printable ones for themselves, the others from U+0100 on.
+_PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_CHARS = {b: b if b in _PLAIN else 256 + sum(x not in _PLAIN for x in range(b)) for b in range(256)}
+
+
+def _ids_of(new: list, spec: str) -> dict:
+    """{part: its ids as bytes}. Single words go straight to the library's BPE model (they are what its own
+    pattern cuts); anything else through its whole pipeline."""
+    t = fr.tokenizer(spec)
+    words, rest, out = [p for p in new if _WORD.fullmatch(p)], [p for p in new if not _WORD.fullmatch(p)], {}
+    for a in range(0, len(rest), 20_000):
+        some = rest[a:a + 20_000]
+        out.update((u, array("I", e.ids).tobytes()) for u, e in zip(some, t.encode_batch_fast(some, add_special_tokens=False), strict=True))
+    cut = t.model.tokenize
+    for w in words:
+        out[w] = array("I", [x.id for x in cut(w.encode().decode("latin-1").translate(_BYTE_CHARS))]).tobytes()
+    return out
+
+
 def encode_pieces(pieces: pa.Array, continued: np.ndarray, spec: str, cache: dict) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all pieces, tokens per piece) by the tokenizers library, a distinct fragment at a time."""
     units, code, bounds = fr.fragments(pieces, continued, fr.ends_space, fr.opens_space)
-    new = [u for u in units if u not in cache]
-    encode, fresh = fr.tokenizer(spec).encode_batch_fast, {}
-    for a in range(0, len(new), 20_000):
-        part = new[a:a + 20_000]
-        fresh.update((u, np.array(e.ids, np.uint32).tobytes()) for u, e in zip(part, encode(part, add_special_tokens=False), strict=True))
-    cells = [fresh[u] if u in fresh else cache[u] for u in units]
-    if len(cache) < CACHE:
+    cut = [parts(u) for u in units]
+    fresh = _ids_of(list({p for c in cut for p in c if p not in cache}), spec)
+    if len(cache) + len(fresh) <= CACHE:
         cache.update(fresh)
+        fresh = {}
+    cells = [cache[c[0]] if len(c) == 1 and c[0] in cache else b"".join([cache[p] if p in cache else fresh[p] for p in c]) for c in cut]
+    del cut, units
     size = np.array([len(c) >> 2 for c in cells], np.int64)
     flat = np.frombuffer(b"".join(cells), np.uint32)
     start = np.cumsum(size) - size
@@ -171,7 +204,7 @@ def encode_pieces(pieces: pa.Array, continued: np.ndarray, spec: str, cache: dic
 
 
 def write_shards(df: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id", text: str = "text",
-                 end_id: int = 0, shard_tokens: int = 2_000_000, slice_bytes: int = 4 << 20) -> None:
+                 end_id: int = 0, shard_tokens: int = 500_000, slice_bytes: int = 6 << 20) -> None:
     """Encode every text, append ``end_id`` and write the shard files in ascending id order."""
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = f.read()
@@ -197,19 +230,25 @@ def write_shards(df: DataFrame, path: str, tokenizer_path: str, id_col: str = "d
             arr, at = b["text"], 0
             for who, pieces, continued in fr.balanced(arr, slice_bytes):
                 got, n = encode_pieces(pieces, continued, spec, cache)
-                last = np.r_[who[1:] != who[:-1], True]
                 if len(who) == 1 and who[0] == at - 1:  # a further piece of the text before: put it ahead of its end id
                     ids[-1] = np.concatenate([ids[-1][:-1], got, [np.uint32(end_id)]])
                     docs[-1][2][-1] += n[0]
-                else:
+                    held += int(n[0])
+                    continue
+                flat, lens = np.insert(got, np.cumsum(n), end_id), n + 1
+                cum = np.r_[0, np.cumsum(lens)]
+                x = 0
+                while x < len(who):  # the documents that still fit in this shard, one at least
                     if held >= shard_tokens:
                         yield close()
                         docs, ids, held, seq = [], [], 0, seq + 1
-                    assert last.all()
-                    ids.append(np.insert(got, np.cumsum(n), end_id))
-                    docs.append((number[who], null[who], n + 1))
-                    at = int(who[-1]) + 1
-                held += int(n.sum()) + len(who)
+                    y = max(x + 1, int(np.searchsorted(cum, cum[x] + shard_tokens - held, "right")) - 1)
+                    ids.append(flat[cum[x]:cum[y]])
+                    docs.append((number[who[x:y]], null[who[x:y]], lens[x:y]))
+                    held += int(cum[y] - cum[x])
+                    held = max(held, shard_tokens) if y < len(who) else held
+                    x = y
+                at = int(who[-1]) + 1
         if docs:
             yield close()
 
