@@ -6,9 +6,11 @@ import os
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkloom.session import shared_dir
+
 
 def reach_workers(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it (a checkout that is not installed)."""
@@ -19,6 +21,27 @@ def reach_workers(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
+class Scratch:
+    """Intermediate tables of one operator run in the shared folder, removed once its result is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = shared_dir(self.spark, name)
+        self.paths.append(path)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self, keep: int = 0) -> None:
+        """Remove all tables but the last ``keep`` written."""
+        context = self.spark.sparkContext
+        for path in self.paths[:len(self.paths) - keep]:
+            where = context._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+        self.paths = []
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -9,25 +9,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.session import shared_dir
+from .common import Scratch
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = shared_dir(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """(node, label) for every end of an edge (a, b); label is the least node of its component.
 
-
-def components(edges: DataFrame) -> DataFrame:
-    """(node, label) for every end of an edge (a, b); label is the least node of its component."""
-    both = _written(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
+    The caller may pass the ``Scratch`` that holds the rounds' tables and removes them later.
+    """
+    write = (scratch or Scratch(edges.sparkSession)).write
+    both = write(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
         edges.select(F.col("b").alias("u"), F.col("a").alias("v"))).distinct(), "cc-edges")
-    labels = _written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("label")).select(F.col("u").alias("node"), "label"), "cc")
+    labels = write(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("label")).select(F.col("u").alias("node"), "label"), "cc")
     while True:
         near = both.join(labels.select(F.col("node").alias("v"), "label"), "v").groupBy("u").agg(F.min("label").alias("near"))
         step = labels.join(near, labels["node"] == near["u"]).select("node", F.least("label", "near").alias("low"), (F.col("near") < F.col("label")).alias("moved"))
-        step = _written(step, "cc")
+        step = write(step, "cc")
         if step.filter("moved").isEmpty():
             return step.select("node", F.col("low").alias("label"))
         jump = step.select(F.col("node").alias("low"), F.col("low").alias("lower"))
-        labels = _written(step.join(jump, "low").select("node", F.col("lower").alias("label")), "cc")
+        labels = write(step.join(jump, "low").select("node", F.col("lower").alias("label")), "cc")

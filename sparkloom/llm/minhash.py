@@ -12,9 +12,14 @@ are drawn only up to a time by which all components are usually filled, and up t
 
 Classes. Exact copies collapse first (128-bit digest), so all that follows runs on different texts.
 Texts that share a band of the signature meet; in a band every text is compared with the band's heads
-(least of one, two, four, ... slices, round by round) until it is linked to one or is a head itself,
-never all with all. Each comparison counts the multisets' overlap exactly. Links make components;
-all steps are joins and partial aggregations, written round by round in the shared folder.
+(least of 1, 4, 16, ... slices, round by round) until it is linked to one or is a head itself, and
+only while the band holds different components; never all with all. Pairs whose whole signatures agree
+in less than the threshold minus ``SLACK`` are let go (a pair at the threshold does with probability
+2e-8, five and a half standard deviations at 120 components); each other comparison counts the
+multisets' overlap exactly. Links make components; all steps are joins and partial aggregations,
+written round by round in the shared folder. So two near texts share a class unless no band of theirs
+is equal (about 7e-5 at similarity 0.8 with 24 bands of 5, far less above) or different heads took
+them in every band they share and nothing else links those heads.
 
 Defined cases: texts of one to four words have one shingle, all of them; texts without words are near
 their exact copies only; a null text is a copy of the empty one; null ids come last and a class of null
@@ -33,14 +38,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import fragments as fr
-from .common import mix64, ragged_take
-from .components import _written, components
+from .common import Scratch, mix64, ragged_take, text_bytes
+from .components import components
 
 U = np.uint64
 _MASK = (1 << 64) - 1
 _LAST = np.iinfo(np.int64).max
-_SIGNED = "node binary, first_id long, bands array<long>, packed binary"
+SLICE_BYTES = 3 << 20  # text signed at a time
+SLACK = 0.2
+_SIGNED = "node binary, first_id long, bands array<long>, sketch binary, packed binary"
 
 
 def bags(texts: pa.Array, words: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -137,7 +143,7 @@ def _sign(bands: int, rows: int, words: int):
         press = zstandard.ZstdCompressor(level=1)
         for b in batches:
             size = np.asarray(pc.binary_length(b["text"])).astype(np.int64)
-            cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(size) // fr.SLICE_BYTES)) + 1).tolist(), b.num_rows]
+            cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(size) // SLICE_BYTES)) + 1).tolist(), b.num_rows]
             for x, y in zip(cuts[:-1], cuts[1:], strict=True):
                 part = b.slice(x, y - x)
                 h, count, bounds = bags(part["text"], words)
@@ -148,12 +154,27 @@ def _sign(bands: int, rows: int, words: int):
                 some = np.diff(bounds) > 0
                 lens = np.where(some, bands, 0)
                 keys = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lens)].astype(np.int32)), pa.array(key[some].reshape(-1).view(np.int64)))
+                low = np.ascontiguousarray(sig.reshape(len(some), -1).astype(np.uint8))
+                sketch = pa.array([x.tobytes() for x in low], pa.binary())
                 packed = pa.array([press.compress(t.as_buffer()) for t in part["text"].cast(pa.binary())], pa.binary())
-                yield pa.RecordBatch.from_arrays([part["node"], part["first_id"], keys, packed], names=["node", "first_id", "bands", "packed"])
+                yield pa.RecordBatch.from_arrays([part["node"], part["first_id"], keys, sketch, packed],
+                                                 names=["node", "first_id", "bands", "sketch", "packed"])
 
     return sign
 
 
+def _alike(least: float):
+    """Pairs whose sketches (a byte per component) agree in a share of at least ``least``."""
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                one, two = (np.frombuffer(text_bytes(b[f"sketch_{s}"])[0], np.uint8).reshape(b.num_rows, -1) for s in ("a", "b"))
+                ok = pa.array((one == two).mean(axis=1) >= least)
+                yield pa.RecordBatch.from_arrays([b["a"].filter(ok), b["b"].filter(ok)], names=["a", "b"])
+
+    return alike
+
+
 def _compare(words: int):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_ = zstandard.ZstdDecompressor()
@@ -180,48 +201,80 @@ def _compare(words: int):
     return compare
 
 
+def _beside(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    """Pairs (a, b) with a column of both nodes."""
+    a, b = (table.select(F.col("node").alias(s), F.col(column).alias(f"{column}_{s}")) for s in ("a", "b"))
+    return pairs.join(a, "a").join(b, "b")
+
+
 def near_duplicates(df: DataFrame, threshold: float = 0.8, words: int = 5, bands: int = 24, rows: int = 5,
                     id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(node, class_node, class_id) for every distinct text; ``node`` is ``node_of(text)``, class id the least id."""
+    """(digest, class, class_id) of every distinct text; ``digest`` is ``digest_of(text)``, class id the least id.
+
+    Inside, a text is named by its least id and its digest, so that the least name of a component is its class.
+    Both sides of every join on a name or band that may be hot are read from a table, where the join can
+    split a hot key over tasks.
+    """
+    scratch = Scratch(df.sparkSession)
     docs = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     # One row per different text (map-side first: copies cost one row per task).
-    texts = docs.groupBy(node_of(F.col("text")).alias("node")).agg(F.min("id").alias("first_id"), F.first("text").alias("text"))
-    signed = _written(texts.mapInArrow(_sign(bands, rows, words), _SIGNED), "bagminhash")
+    texts = docs.groupBy(digest_of(F.col("text")).alias("digest")).agg(F.min("id").alias("first_id"), F.first("text").alias("text"))
+    texts = texts.select(F.concat(_ordered_bytes(F.col("first_id")), "digest").alias("node"), "first_id", "text")
+    signed = scratch.write(texts.mapInArrow(_sign(bands, rows, words), _SIGNED), "bagminhash")
     keys = signed.select(F.explode("bands").alias("key"), "node")
-    shared = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("key")
-    left = _written(keys.join(shared, "key"), "bands")
-    packed = _written(signed.select("node", "packed").join(left.select("node").distinct(), "node", "left_semi"), "packed")
-    links, done, slices = None, None, 1
+    shared = scratch.write(keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("key"), "shared")
+    left = scratch.write(keys.join(shared, "key").withColumn("label", F.col("node")), "bands")
+    near_nodes = scratch.write(left.select("node").distinct(), "near")
+    packed = scratch.write(signed.select("node", "packed").join(near_nodes, "node", "left_semi"), "packed")
+    done, slices = None, 1
     while not left.isEmpty():
-        heads = left.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(slices)).alias("slice")).agg(F.min("node").alias("head"))
-        met = left.join(heads.select("key", "head"), "key")
-        met = _written(met.filter("head < node"), "met")
+        slice_of = F.pmod(F.xxhash64("node"), F.lit(slices)).alias("slice")
+        heads = left.groupBy("key", slice_of).agg(F.min(F.struct("node", "label")).alias("h"))
+        heads = scratch.write(heads.select("key", F.col("h.node").alias("head"), F.col("h.label").alias("head_label")), "heads")
+        met = left.join(heads, "key").filter("head < node and label != head_label").select("key", "node", "head")
+        met = scratch.write(met, "met")
         pairs = met.select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
         if done is not None:
             pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
-        sides = [packed.select(F.col("node").alias(s), F.col("packed").alias(f"packed_{s}")) for s in ("a", "b")]
-        told = pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(_compare(words), "a binary, b binary, least long, most long")
-        told = _written(told.withColumn("near", F.col("least") >= F.lit(threshold) * F.col("most")), "compared")
+        pairs = scratch.write(pairs, "pairs")
+        pairs = _beside(pairs, signed, "sketch").mapInArrow(_alike(threshold - SLACK), "a binary, b binary")
+        pairs = scratch.write(pairs, "alike")
+        told = _beside(pairs, packed, "packed").mapInArrow(_compare(words), "a binary, b binary, least long, most long")
+        told = scratch.write(told.withColumn("near", F.col("least") >= F.lit(threshold) * F.col("most")), "compared")
         done = told if done is None else done.unionByName(told)
-        # Linked texts and heads leave the band; the rest meet again under more heads.
+        # Linked texts and heads leave the band; the rest meet again under more heads, but only in bands that
+        # still hold texts of different components (links inside a component add nothing).
         near = done.filter("near").select(F.col("a").alias("node"), F.col("b").alias("head"))
         linked = met.join(near, ["node", "head"]).select("key", "node")
         gone = linked.unionByName(heads.select("key", F.col("head").alias("node"))).distinct()
-        rest = _written(left.join(gone, ["key", "node"], "left_anti"), "bands")
-        links = done.filter("near").select("a", "b")
-        left, slices = rest, slices * 2
-    names = signed.select("node", "first_id")
-    if links is None:
-        labelled = names.withColumn("class_node", F.col("node"))
+        rest = left.select("key", "node").join(gone, ["key", "node"], "left_anti")
+        labels = components(done.filter("near").select("a", "b"), scratch)
+        rest = scratch.write(rest.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label")), "rest")
+        open_keys = scratch.write(rest.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+                                  .filter("low < high").select("key"), "open")
+        left, slices = scratch.write(rest.join(open_keys, "key"), "bands"), slices * 4
+    names = signed.select("node")
+    if done is not None:
+        names = names.join(labels, "node", "left")
+        names = names.select("node", F.coalesce("label", "node").alias("class"))
     else:
-        label = components(links)
-        labelled = names.join(label, "node", "left").select("node", "first_id", F.coalesce("label", "node").alias("class_node"))
-    least = labelled.groupBy("class_node").agg(F.min("first_id").alias("class_id"))
-    return labelled.join(least, "class_node").select(
-        "node", "class_node", F.when(F.col("class_id") != _LAST, F.col("class_id")).alias("class_id"))
+        names = names.select("node", F.col("node").alias("class"))
+    first = F.conv(F.hex(F.substring("class", 1, 8)), 16, -10).cast("long").bitwiseXOR(F.lit(_SIGN))
+    out = scratch.write(names.select(F.expr("substring(node, 9)").alias("digest"), "class",
+                                     F.when(first != _LAST, first).alias("class_id")), "classes")
+    scratch.close(keep=1)
+    return out
+
+
+_SIGN = -(1 << 63)
+
+
+def _ordered_bytes(x):
+    """Eight bytes that sort as the (signed) integer does."""
+    return F.unhex(F.lpad(F.hex(x.bitwiseXOR(F.lit(_SIGN))), 16, "0"))
 
 
-def node_of(text):
+def digest_of(text):
     """Digest that stands for a text."""
     return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
 
@@ -229,12 +282,12 @@ def node_of(text):
 def classes(df: DataFrame, id_col: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """(id, class_id) of every row."""
     found = near_duplicates(df, id_col=id_col, text=text, **how)
-    return df.select(F.col(id_col).alias(id_col), node_of(F.col(text)).alias("node")).join(found, "node").select(id_col, "class_id")
+    return df.select(F.col(id_col).alias(id_col), digest_of(F.col(text)).alias("digest")).join(found, "digest").select(id_col, "class_id")
 
 
 def keep_first(df: DataFrame, id_col: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """One row of each class, the one with the least id, all columns as they are."""
     found = near_duplicates(df, id_col=id_col, text=text, **how)
-    rows = df.withColumn("__node", node_of(F.col(text)))
-    kept = rows.join(found.select(F.col("node").alias("__node"), F.col("class_node").alias("__class"), F.col("class_id").alias("__id")), "__node")
+    found = found.select(F.col("digest").alias("__digest"), F.col("class").alias("__class"), F.col("class_id").alias("__id"))
+    kept = df.withColumn("__digest", digest_of(F.col(text))).join(found, "__digest")
     return kept.filter(F.col(id_col).eqNullSafe(F.col("__id"))).dropDuplicates(["__class"]).select(*df.columns)
