@@ -12,14 +12,14 @@ are drawn only up to a time by which all components are usually filled, and up t
 
 Classes. Exact copies collapse first (128-bit digest), so all that follows runs on different texts.
 Texts that share a band of the signature meet; in a band every text is compared with the band's heads
-(least of 1, 4, 16, ... slices, round by round) until it is linked to one or is a head itself, and
-only while the band holds different components; never all with all. Pairs whose whole signatures agree
+(least of 1, 4, 16, ... slices, round by round) until it is a head itself, unless both are of one component
+already, and only while the band holds different components. Pairs whose whole signatures agree
 in less than the threshold minus ``SLACK`` are let go (a pair at the threshold does with probability
 2e-8, five and a half standard deviations at 120 components); each other comparison counts the
 multisets' overlap exactly. Links make components; all steps are joins and partial aggregations,
 written round by round in the shared folder. So two near texts share a class unless no band of theirs
-is equal (about 7e-5 at similarity 0.8 with 24 bands of 5, far less above) or different heads took
-them in every band they share and nothing else links those heads.
+is equal (about 7e-5 at similarity 0.8 with 24 bands of 5, far less above). The price: in a band of texts that are all
+unlike, every pair is compared.
 
 Defined cases: texts of one to four words have one shingle, all of them; texts without words are near
 their exact copies only; a null text is a copy of the empty one; null ids come last and a class of null
@@ -232,7 +232,6 @@ def near_duplicates(df: DataFrame, threshold: float = 0.8, words: int = 5, bands
         heads = left.groupBy("key", slice_of).agg(F.min(F.struct("node", "label")).alias("h"))
         heads = scratch.write(heads.select("key", F.col("h.node").alias("head"), F.col("h.label").alias("head_label")), "heads")
         met = left.join(heads, "key").filter("head < node and label != head_label").select("key", "node", "head")
-        met = scratch.write(met, "met")
         pairs = met.select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
         if done is not None:
             pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
@@ -242,12 +241,9 @@ def near_duplicates(df: DataFrame, threshold: float = 0.8, words: int = 5, bands
         told = _beside(pairs, packed, "packed").mapInArrow(_compare(words), "a binary, b binary, least long, most long")
         told = scratch.write(told.withColumn("near", F.col("least") >= F.lit(threshold) * F.col("most")), "compared")
         done = told if done is None else done.unionByName(told)
-        # Linked texts and heads leave the band; the rest meet again under more heads, but only in bands that
-        # still hold texts of different components (links inside a component add nothing).
-        near = done.filter("near").select(F.col("a").alias("node"), F.col("b").alias("head"))
-        linked = met.join(near, ["node", "head"]).select("key", "node")
-        gone = linked.unionByName(heads.select("key", F.col("head").alias("node"))).distinct()
-        rest = left.select("key", "node").join(gone, ["key", "node"], "left_anti")
+        # Only heads leave the band: they have met all of it. The rest, linked or not, meet again under more heads, but only
+        # in bands that still hold texts of different components (links inside a component add nothing).
+        rest = left.select("key", "node").join(heads.select("key", F.col("head").alias("node")), ["key", "node"], "left_anti")
         labels = components(done.filter("near").select("a", "b"), scratch)
         rest = scratch.write(rest.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label")), "rest")
         open_keys = scratch.write(rest.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))

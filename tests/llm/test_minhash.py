@@ -130,3 +130,52 @@ def test_query_links_all_near_texts_of_the_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     got = {r.doc_id: r.class_id for r in queries.op7_near_dedup(spark, SF).collect()}
     assert got == {rows[i][0]: min(rows[j][0] for j in m) for m in brute_classes(rows) for i in m}
+
+
+def band_classes(rows, bands, per_band, threshold=0.8):
+    """{frozenset of ids} of the classes that all near pairs sharing a band make, each pair compared."""
+    batch = pa.RecordBatch.from_pydict({"node": [b""] * len(rows), "first_id": [i for i, _ in rows], "text": [t for _, t in rows]})
+    keys = [k for b in minhash._sign(bands, per_band, 5)([batch]) for k in b["bands"].to_pylist()]
+    bags = [bag(t) for _, t in rows]
+    place, members, parent = {}, {}, list(range(len(rows)))
+    for i, ks in enumerate(keys):
+        for k in ks:
+            place.setdefault(k, []).append(i)
+    for i, j in {(i, j) for same in place.values() for i in same for j in same if i < j}:
+        if jaccard(bags[i], bags[j]) >= threshold:
+            while parent[i] != i:
+                i = parent[i]
+            while parent[j] != j:
+                j = parent[j]
+            parent[j] = i
+    for i, (n, _) in enumerate(rows):
+        while parent[i] != i:
+            i = parent[i]
+        members.setdefault(i, set()).add(n)
+    return {frozenset(m) for m in members.values()}, max(map(len, place.values()))
+
+
+def found_classes(spark, texts, **how):
+    out = {}
+    for r in minhash.classes(spark.createDataFrame(texts, "doc_id long, text string"), **how).collect():
+        out.setdefault(r.class_id, set()).add(r.doc_id)
+    return {frozenset(m) for m in out.values()}
+
+
+def chains(seed, n, length):
+    """Texts in chains: 0.82 to the next, 0.67 to the one after."""
+    rng, texts = random.Random(seed), []
+    for _ in range(n):
+        t = [f"w{rng.randrange(10**6)}" for _ in range(155)]
+        for _ in range(length):
+            texts.append(" ".join(t))
+            for at in rng.sample(range(5, 150, 5), 3):
+                t[at] = f"w{rng.randrange(10**6)}"
+    return list(zip(rng.sample(range(len(texts)), len(texts)), texts, strict=True))
+
+
+def test_linked_texts_still_meet_the_rest_of_their_band(spark):
+    """In a band of h, x, y, where x is near both and y is not near h, x and y must meet after x is linked to h."""
+    texts = chains(1, 60, 3)
+    want, _ = band_classes(texts, 1, 2)
+    assert found_classes(spark, texts, bands=1, rows=2) == want
