@@ -12,8 +12,8 @@ are drawn only up to a time by which all components are usually filled, and up t
 
 Classes. Exact copies collapse first (128-bit digest), so all that follows runs on different texts.
 Texts that share a band of the signature meet; in a band every text is compared with the band's heads
-(least of 1, 4, 16, ... slices, round by round) until it is a head itself, unless both are of one component
-already, and only while the band holds different components. Pairs whose whole signatures agree
+(least of 1, 4, 16, ... slices of all but its largest component, round by round) until it is a head itself, unless
+both are of one component already, and only while the band holds different components. Pairs whose whole signatures agree
 in less than the threshold minus ``SLACK`` are let go (a pair at the threshold does with probability
 2e-8, five and a half standard deviations at 120 components); each other comparison counts the
 multisets' overlap exactly. Links make components; all steps are joins and partial aggregations,
@@ -226,13 +226,16 @@ def near_duplicates(df: DataFrame, threshold: float = 0.8, words: int = 5, bands
     left = scratch.write(keys.join(shared, "key").withColumn("label", F.col("node")), "bands")
     near_nodes = scratch.write(left.select("node").distinct(), "near")
     packed = scratch.write(signed.select("node", "packed").join(near_nodes, "node", "left_semi"), "packed")
-    done, slices = None, 1
+    done, labels, slices = None, None, 1
     while not left.isEmpty():
+        # Heads come from all but the band's largest component: once those have met all of the band, one component is left.
+        sizes = left.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "label")).alias("m"))
+        others = left.join(sizes.select("key", F.col("m.label").alias("most")), "key").filter("label != most")
         slice_of = F.pmod(F.xxhash64("node"), F.lit(slices)).alias("slice")
-        heads = left.groupBy("key", slice_of).agg(F.min(F.struct("node", "label")).alias("h"))
+        heads = others.groupBy("key", slice_of).agg(F.min(F.struct("node", "label")).alias("h"))
         heads = scratch.write(heads.select("key", F.col("h.node").alias("head"), F.col("h.label").alias("head_label")), "heads")
-        met = left.join(heads, "key").filter("head < node and label != head_label").select("key", "node", "head")
-        pairs = met.select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
+        met = left.join(heads, "key").filter("label != head_label")  # other heads too, and smaller texts
+        pairs = met.select(F.greatest("node", "head").alias("a"), F.least("node", "head").alias("b")).distinct()
         if done is not None:
             pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
         pairs = scratch.write(pairs, "pairs")
@@ -244,7 +247,8 @@ def near_duplicates(df: DataFrame, threshold: float = 0.8, words: int = 5, bands
         # Only heads leave the band: they have met all of it. The rest, linked or not, meet again under more heads, but only
         # in bands that still hold texts of different components (links inside a component add nothing).
         rest = left.select("key", "node").join(heads.select("key", F.col("head").alias("node")), ["key", "node"], "left_anti")
-        labels = components(done.filter("near").select("a", "b"), scratch)
+        if labels is None or not told.filter("near").isEmpty():
+            labels = components(done.filter("near").select("a", "b"), scratch)
         rest = scratch.write(rest.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label")), "rest")
         open_keys = scratch.write(rest.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
                                   .filter("low < high").select("key"), "open")

@@ -179,3 +179,24 @@ def test_linked_texts_still_meet_the_rest_of_their_band(spark):
     texts = chains(1, 60, 3)
     want, _ = band_classes(texts, 1, 2)
     assert found_classes(spark, texts, bands=1, rows=2) == want
+
+
+def test_long_chains_stay_whole(spark):
+    texts = chains(2, 8, 30)
+    want, _ = band_classes(texts, 1, 2)
+    assert found_classes(spark, texts, bands=1, rows=2) == want
+
+
+def test_unlike_texts_of_one_band_all_meet(spark):
+    """Near pairs (0.83) over a template that makes all others 0.78 alike: a band of hundreds of unlike texts, several rounds."""
+    rng, texts = random.Random(2), []
+    base = [f"w{rng.randrange(10**6)}" for _ in range(166)]
+    for p in range(200):
+        for _ in range(2):
+            t = list(base)
+            t[10], t[40], t[80], t[120] = f"pair{p}", *(f"w{rng.randrange(10**6)}" for _ in range(3))
+            texts.append(" ".join(t))
+    texts = list(zip(rng.sample(range(len(texts)), len(texts)), texts, strict=True))
+    want, largest = band_classes(texts, 1, 2)
+    assert largest > 150
+    assert found_classes(spark, texts, bands=1, rows=2) == want
