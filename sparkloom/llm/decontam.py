@@ -1,20 +1,22 @@
 """Benchmark decontamination by the q-gram lemma.
 
 Texts and benchmark items are compared in lower case with white space collapsed. An item is cut into
-passages (``passage`` characters, half overlapping; a short item is one passage); a document leaks an item if
-a region of it lies within ``k = max_error * length`` edits of one of its passages.
+passages (``passage`` characters, one every ``step``; a short item is one passage); a document leaks an item if
+a region of it lies within ``k = max_error * length`` edits of one of its passages. ``step=1`` (the registered query
+and the pipeline) searches every passage; without ``step`` they overlap by half.
 
 A region within k edits of a passage of m characters shares at least ``m - q + 1 - k q`` of its q-grams
 with it, on diagonals (place in the text minus place in the passage) at most k apart. So: look up every
-q-gram of the text, count hits per passage in overlapping diagonal bands (each run of k + 1 diagonals lies in
-one), keep bands that reach the bound, and verify those by banded alignment. The lemma loses nothing.
+q-gram of the text among those of the items, count hits per item in overlapping diagonal bands (each run of k + 1
+diagonals lies in one), keep the passages of which a band holds enough hits, and verify those by banded alignment.
+The lemma loses nothing.
 
 It is a map over the documents: no shuffle. The benchmark travels with the function in parts of about
 ``part_chars`` characters; a larger one means more passes over the documents, not a larger broadcast.
 Long texts are worked off in overlapping pieces of ``PIECE`` characters.
 
 Defined cases: a null or empty text leaks nothing; null or empty items match nothing; items under q
-characters are not searched; repeated rows are judged each; equal matches go to the earliest place;
+characters are searched exactly; repeated rows are judged each; equal matches go to the earliest place;
 empty tables give no rows.
 """
 
@@ -70,39 +72,72 @@ def _grams(codes: np.ndarray, q: int) -> np.ndarray:
 @dataclass
 class Patterns:
     q: int
-    codes: list  # code points per passage
-    item: np.ndarray  # item row of each passage
-    budget: np.ndarray  # k
-    bound: np.ndarray  # q-grams to share
-    gram: np.ndarray  # distinct q-gram hashes, sorted
+    max_error: float
+    whole: np.ndarray  # code points of all items, one after the other
+    item_at: np.ndarray  # start of each searched item in ``whole``
+    at: np.ndarray  # start of each passage in ``whole``, ascending
+    size: np.ndarray  # its length
+    item: np.ndarray  # its item row
+    same: np.ndarray  # the first passage of the same characters
+    gram: np.ndarray  # distinct q-gram hashes of the items, sorted
     first: np.ndarray  # start of each one's postings
-    passage: np.ndarray  # postings: passage and place
-    place: np.ndarray
+    place: np.ndarray  # postings: place in ``whole``
     table: np.ndarray  # which leading bits occur
 
+    def allowed(self, size: np.ndarray) -> np.ndarray:
+        """k of passages of that length."""
+        return np.maximum(np.minimum((size * self.max_error).astype(np.int64), (size - self.q) // self.q), 0)
 
-def compile_patterns(texts: list, q: int = 12, max_error: float = 0.06, passage: int = 100) -> Patterns:
-    codes, item = [], []
+    @property
+    def codes(self) -> list:
+        return [self.whole[a:a + n] for a, n in zip(self.at, self.size, strict=True)]
+
+    @property
+    def budget(self) -> np.ndarray:
+        return self.allowed(self.size)
+
+
+def compile_patterns(texts: list, q: int = 12, max_error: float = 0.06, passage: int = 100, step: int | None = None) -> Patterns:
+    """Passages start every ``step`` characters of an item (None: half a passage) and at its last ``passage`` ones."""
+    codes, item_at, at, size, item, begin = [], [], [], [], [], 0
     for i, t in enumerate(texts):
         c = _codes(normalise(t))
-        if len(c) < q:
+        if not len(c):
             continue
         last = max(0, len(c) - passage)
-        for s in sorted({*range(0, last, passage // 2), last}):
-            codes.append(c[s:s + passage])
-            item.append(i)
-    size = np.array([len(c) for c in codes], np.int64)
-    budget = np.minimum((size * max_error).astype(np.int64), (size - q) // q)
+        starts = np.r_[np.arange(0, last, step or max(1, passage // 2)), last]
+        codes.append(c)
+        item_at.append(begin)
+        at.append(starts + begin)
+        size.append(np.full(len(starts), min(len(c), passage)))
+        item.append(np.full(len(starts), i))
+        begin += len(c)
+    flat = lambda parts: np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
+    at, size, item = flat(at), flat(size), flat(item)
+    whole = np.concatenate(codes) if codes else np.zeros(0, np.uint32)
     grams = [_grams(c, q) for c in codes]
-    flat = np.concatenate(grams) if grams else np.zeros(0, U)
-    order = np.argsort(flat, kind="stable")
-    gram, first = np.unique(flat[order], return_index=True)
+    place = flat([np.arange(len(g)) + a for g, a in zip(grams, item_at, strict=True)])
+    hashed = np.concatenate(grams) if grams else np.zeros(0, U)
+    order = np.argsort(hashed, kind="stable")
+    gram, first = np.unique(hashed[order], return_index=True)
     table = np.zeros(1 << _TABLE, bool)
     table[(gram >> U(64 - _TABLE)).astype(np.int64)] = True
-    number = np.repeat(np.arange(len(grams)), [len(g) for g in grams]) if grams else np.zeros(0, np.int64)
-    place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
-    return Patterns(q, codes, np.array(item, np.int64), budget, size - q + 1 - budget * q, gram, np.r_[first, len(flat)],
-                    number[order].astype(np.int64), place[order].astype(np.int64), table)
+    return Patterns(q, max_error, whole, np.array(item_at, np.int64), at, size, item, _same(whole, at, size), gram,
+                    np.r_[first, len(hashed)], place[order], table)
+
+
+def _same(whole: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """For every passage the first one that holds the same characters (found by hash, compared in full)."""
+    same = np.arange(len(at))
+    for n in np.unique(size):
+        mine = np.flatnonzero(size == n)
+        _, first, back = np.unique(_grams(whole, int(n))[at[mine]], return_index=True, return_inverse=True)
+        twin = mine[first][back]
+        ok = np.ones(len(mine), bool)
+        for i in range(int(n)):
+            ok &= whole[at[mine] + i] == whole[at[twin] + i]
+        same[mine[ok]] = twin[ok]
+    return same
 
 
 def _bands(p: Patterns, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -114,24 +149,40 @@ def _bands(p: Patterns, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at, g = at[real], g[real]
     count = p.first[g + 1] - p.first[g]
     step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-    post = np.repeat(p.first[g], count) + step
-    who = p.passage[post]
-    diagonal = np.repeat(at, count) - p.place[post] + (1 << 20)  # never negative: passages are shorter
-    stride = p.budget[who] + 1
-    band = diagonal // stride
+    place = p.place[np.repeat(p.first[g], count) + step]
+    who = np.searchsorted(p.item_at, place, "right") - 1
+    size = p.size[np.searchsorted(p.at, p.item_at)][who]  # all passages of an item have one length
+    budget = p.allowed(size)
+    diagonal = np.repeat(at, count) - place + len(p.whole)  # never negative
     # Band b holds the diagonals [b, b + 2) * stride: each hit counts in two of them.
-    key = np.concatenate([who << 40 | band, who << 40 | (band - 1)])
-    key, n = np.unique(key, return_counts=True)
-    who = key >> 40
-    ok = n >= p.bound[who]
-    who, band = who[ok], key[ok] & ((1 << 40) - 1)
-    return who, band * (p.budget[who] + 1) - (1 << 20)
+    band = diagonal // (budget + 1)
+    who, band, place, size, budget = (np.concatenate(x) for x in ((who, who), (band, band - 1), (place, place), (size, size), (budget, budget)))
+    order = np.lexsort((place, band, who))
+    who, band, place, size, budget = (x[order] for x in (who, band, place, size, budget))
+    # Hits i to i + bound - 1 of a band lie in the passages that start in [low, high].
+    bound = size - p.q + 1 - budget * p.q
+    end = np.arange(len(who)) + bound - 1
+    ok = end < len(who)
+    end = np.minimum(end, len(who) - 1)
+    ok &= (who[end] == who) & (band[end] == band)
+    low, high = place[end] - (size - p.q), place
+    who, band, budget, low, high = (x[ok] for x in (who, band, budget, low, high))
+    a = np.maximum(np.searchsorted(p.at, low), np.searchsorted(p.at, p.item_at)[who])
+    z = np.searchsorted(p.at, high, "right")  # high lies in the item
+    # Both ends ascend in a band: what the hit before has named is left out.
+    again = np.r_[False, (who[1:] == who[:-1]) & (band[1:] == band[:-1])][:len(who)]
+    a = np.where(again, np.maximum(a, np.r_[0, z[:-1]][:len(a)]), a)
+    n = np.maximum(z - a, 0)
+    passage = np.repeat(a, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    first = np.repeat(band * (budget + 1) - len(p.whole), n) + p.at[passage]
+    return passage, first
 
 
 def align(pattern: np.ndarray, codes: np.ndarray, first: np.ndarray, width: int, budget: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Banded alignment of a whole pattern inside a text: for bands of ``width`` diagonals from ``first`` on
-    (edits, start, end) of the best region, edits ``budget + 1`` if none is within the budget."""
-    m, bands = len(pattern), len(first)
+    """Banded alignment of whole patterns (one a row, or one for all) inside a text: for bands of ``width`` diagonals
+    from ``first`` on (edits, start, end) of the best region, edits ``budget + 1`` if none is within the budget."""
+    pattern = np.atleast_2d(pattern)
+    m, bands = pattern.shape[1], len(first)
     low = first - budget
     b = width + 2 * budget
     column = np.arange(b, dtype=np.int64)
@@ -143,7 +194,7 @@ def align(pattern: np.ndarray, codes: np.ndarray, first: np.ndarray, width: int,
         at = low[:, None] + column + i
         inside = (at >= 0) & (at < len(codes))
         here = padded[np.where(inside, at, len(codes))]
-        new = state + np.where(here == pattern[i], 0, _ONE)  # match or replace
+        new = state + np.where(here == pattern[:, i, None], 0, _ONE)  # match or replace
         new[~inside] = (budget + 1) * _ONE
         new[:, :-1] = np.minimum(new[:, :-1], state[:, 1:] + _ONE)  # skip a pattern character
         # skip text characters: running minimum along the row
@@ -156,24 +207,51 @@ def align(pattern: np.ndarray, codes: np.ndarray, first: np.ndarray, width: int,
     return value // _ONE, value % _ONE, np.minimum(end[np.arange(bands), best], len(codes))
 
 
-def matches(p: Patterns, codes: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """(passage, edits, start, end) of all verified regions of one array of code points."""
-    out = []
-    reach = max((len(c) + int(k) for c, k in zip(p.codes, p.budget, strict=True)), default=0)
+def matches(p: Patterns, codes: np.ndarray) -> np.ndarray:
+    """Rows (passage, edits, start, end) of all verified regions of one array of code points."""
+    out = [np.zeros((0, 4), np.int64)]
+    reach = int((p.size + p.allowed(p.size)).max(initial=0))
     for a in range(0, max(len(codes), 1), PIECE):
         piece = codes[a:a + PIECE + reach + p.q]
-        if len(piece) < p.q or not len(p.gram):
-            continue
-        who, first = _bands(p, piece)
-        for w in np.unique(who):
-            k = int(p.budget[w])
-            mine = first[who == w]
-            for x in range(0, len(mine), 2000):
-                edits, start, end = align(p.codes[w], piece, mine[x:x + 2000], 2 * (k + 1), k)
-                for e, s, t in zip(edits, start, end, strict=True):
-                    if e <= k:
-                        out.append((int(w), int(e), int(s) + a, int(t) + a))
-    return out
+        for part in (_near(p, piece), _short(p, piece)):
+            out.append(part + [0, 0, a, a])
+    return np.concatenate(out)
+
+
+def _near(p: Patterns, piece: np.ndarray) -> np.ndarray:
+    if len(piece) < p.q or not len(p.gram):
+        return np.zeros((0, 4), np.int64)
+    who, first = _bands(p, piece)
+    out = np.zeros((len(who), 4), np.int64)
+    ok = np.zeros(len(who), bool)
+    for m in np.unique(p.size[who]):
+        mine = np.flatnonzero(p.size[who] == m)
+        k = int(p.allowed(m))
+        # Passages of the same characters in the same band are aligned once.
+        (same, low), back = np.unique(np.stack([p.same[who[mine]], first[mine]]), axis=1, return_inverse=True)
+        told = [align(p.whole[p.at[same[x:x + 2000], None] + np.arange(m)], piece, low[x:x + 2000], 2 * (k + 1), k)
+                for x in range(0, len(same), 2000)]
+        told = np.concatenate([np.stack(t, axis=1) for t in told])[back.reshape(-1)]
+        out[mine] = np.column_stack([who[mine], told])
+        ok[mine] = told[:, 0] <= k
+    return out[ok]
+
+
+def _short(p: Patterns, piece: np.ndarray) -> np.ndarray:
+    """Places of the items under q characters, which allow no edits."""
+    out = [np.zeros((0, 4), np.int64)]
+    for m in np.unique(p.size[p.size < p.q]):
+        mine = np.flatnonzero(p.size == m)
+        hashed = _grams(p.whole, int(m))[p.at[mine]]
+        order = np.argsort(hashed, kind="stable")
+        mine, hashed, h = mine[order], hashed[order], _grams(piece, int(m))
+        a, z = np.searchsorted(hashed, h), np.searchsorted(hashed, h, "right")
+        place = np.repeat(np.arange(len(h)), z - a)
+        who = mine[np.arange(len(place)) - np.repeat(np.cumsum(z - a) - z, z - a)]
+        ok = (p.whole[p.at[who, None] + np.arange(m)] == piece[place[:, None] + np.arange(m)]).all(axis=1)
+        who, place = who[ok], place[ok]
+        out.append(np.column_stack([who, np.zeros(len(who), np.int64), place, place + m]))
+    return np.concatenate(out)
 
 
 def _leaks(p: Patterns, texts: list) -> dict:
@@ -184,16 +262,18 @@ def _leaks(p: Patterns, texts: list) -> dict:
         starts.append(at)
         parts += [c, np.zeros(1, np.uint32)]
         at += len(c) + 1
-    found: dict = {}
     if not parts:
-        return found
+        return {}
     starts = np.array(starts)
-    for w, edits, s, e in sorted(matches(p, np.concatenate(parts)), key=lambda m: (m[1], m[2], m[3], m[0])):
-        row = int(np.searchsorted(starts, s, "right")) - 1
-        key = (row, int(p.item[w]))
-        seen, *best = found.get(key, (set(), edits, s - int(starts[row]), e - int(starts[row])))
-        found[key] = (seen | {w}, *best)
-    return {k: (len(v[0]), *v[1:]) for k, v in found.items()}
+    who, edits, start, end = matches(p, np.concatenate(parts)).T
+    row, item = np.searchsorted(starts, start, "right") - 1, p.item[who]
+    order = np.lexsort((who, end, start, edits, item, row))
+    who, edits, start, end, row, item = (x[order] for x in (who, edits, start, end, row, item))
+    passages = np.unique(np.stack([row, item, who]), axis=1)[:2]
+    best = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (item[1:] != item[:-1])][:len(row)])
+    _, n = np.unique(passages, axis=1, return_counts=True)
+    values = np.stack([n, edits[best], start[best] - starts[row[best]], end[best] - starts[row[best]]], axis=1)
+    return {(r, i): tuple(v) for r, i, v in zip(row[best].tolist(), item[best].tolist(), values.tolist(), strict=True)}
 
 
 def _slices(texts: list, size: int = 1 << 21) -> Iterator[tuple[int, list]]:

@@ -107,3 +107,24 @@ def test_query_finds_the_planted_passages(spark):
     got = queries.op3_decontaminate(spark, SF).collect()
     assert whole and whole <= {(r.doc_id, r.item_id) for r in got}
     assert len({r.doc_id for r in got}) <= len({d for d, _ in whole}) + 2
+
+
+def test_every_passage_against_the_full_dynamic_programme():
+    items, texts = cases(7)
+    p = decontam.compile_patterns(items[:8] + items[12:], q=4, passage=30, max_error=0.1, step=1)
+    want = brute(p, texts[:20] + texts[45:])
+    got = decontam._leaks(p, texts[:20] + texts[45:])
+    assert {k: v[:2] for k, v in got.items()} == want and len(want) > 20
+
+
+def test_quotes_of_a_passage_are_found_at_every_offset():
+    rng = random.Random(9)
+    item = "".join(rng.choice("abcdefghij klmnop") for _ in range(260)).strip().replace("  ", "a ")
+    item = decontam.normalise(item)
+    p = decontam.compile_patterns(["no such words anywhere in it", item, "tiny one"], step=1)
+    for n in range(100, 141, 8):
+        quotes = [item[s:s + n] for s in range(len(item) - n + 1)]
+        noisy = [t[:20] + "#" + t[21:50] + "#" + t[51:90] + "##" + t[92:] for t in quotes]
+        got = decontam._leaks(p, [f"0123 {t.strip()} 4567" for t in quotes + noisy])
+        assert set(got) == {(r, 1) for r in range(2 * len(quotes))}
+    assert set(decontam._leaks(p, ["xtiny oney", "tin one", "a tiny\n ONE"])) == {(0, 2), (2, 2)}
