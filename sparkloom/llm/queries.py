@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators (production parameters, whole tables) and their DuckDB SQL."""
+"""Registered queries of the thirteen operators (production parameters, whole tables) and their DuckDB SQL."""
 
 from __future__ import annotations
 
@@ -7,8 +7,20 @@ from pyspark.sql import functions as F
 
 from sparkloom.session import shared_dir
 
-from . import chat, decontam, langid, lm, minhash, piece_fst, suffix_dedup, token_count, token_store, topk
-from .common import fold, reach_workers
+from . import (
+    chat,
+    decontam,
+    filter_audit,
+    langid,
+    lm,
+    minhash,
+    piece_fst,
+    suffix_dedup,
+    token_count,
+    token_store,
+    topk,
+)
+from .common import Scratch, fold, reach_workers
 
 
 def _vocabulary(name: str) -> str:
@@ -110,6 +122,48 @@ r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY sc
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
+
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark)
+    flags = filter_audit.document_flags(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), scratch)
+    return filter_audit.audit(flags, "ABCDE", weights={"good_lost": "good", "toxic_lost": "toxic"}, scratch=scratch)
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(doc_id, 9223372036854775807) AS id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+lab AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, CASE WHEN len(ws) < 200 THEN 'A' ELSE '' END
+      || CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' ELSE '' END
+      || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 'C' ELSE '' END
+      || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+      || CASE WHEN id > min(id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails,
+    coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+  FROM d LEFT JOIN lab USING (doc_id)),
+m AS (SELECT part, fails, count(*) AS n, sum(good) AS g, sum(toxic) AS x FROM f GROUP BY part, fails),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+o AS (
+  SELECT a.c || b.c || c.c || d.c || e.c AS filter_order FROM l a, l b, l c, l d, l e
+  WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5),
+r AS (
+  SELECT part, fails, n, g, x, filter_order,
+         coalesce(list_min(list_filter([1, 2, 3, 4, 5], lambda i: contains(fails, substr(filter_order, i, 1)))), 9) AS gone
+  FROM m, o),
+t AS (
+  SELECT part, filter_order, CAST(step AS INT) AS step, substr(filter_order, CAST(step AS INT), 1) AS letter,
+    sum(CASE WHEN gone > step THEN n ELSE 0 END) AS kept, sum(CASE WHEN gone = step THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN gone < step AND contains(fails, substr(filter_order, CAST(step AS INT), 1)) THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN fails = substr(filter_order, CAST(step AS INT), 1) THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN gone = step THEN g ELSE 0 END) AS good_lost, sum(CASE WHEN gone = step THEN x ELSE 0 END) AS toxic_lost
+  FROM r, range(1, 6) s(step) GROUP BY part, filter_order, step)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM t
+"""
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -121,6 +175,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_token_counts": op9_token_counts,
     "op10_exact_topk": op10_exact_topk,
+    "op11_filter_audit": op11_filter_audit,
 }
 
-ORACLE = {"op1_chat_format": OP1_SQL, "op10_exact_topk": OP10_SQL}
+ORACLE = {"op1_chat_format": OP1_SQL, "op10_exact_topk": OP10_SQL, "op11_filter_audit": OP11_SQL}
