@@ -12,6 +12,7 @@ from . import (
     decontam,
     filter_audit,
     langid,
+    lexical,
     lm,
     minhash,
     piece_fst,
@@ -19,6 +20,7 @@ from . import (
     token_count,
     token_store,
     topk,
+    toxicity,
 )
 from .common import Scratch, fold, reach_workers
 
@@ -164,6 +166,40 @@ SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS B
 FROM t
 """
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"), train=fold(F.col("id"), 3) != 1)
+    rows = docs.select("doc_id", F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(True)).alias("held_out"), "text")
+    return toxicity.predict(rows, model).select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), F.size("passages").cast("long").alias("n_passages"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ts
+  FROM documents),
+g AS (SELECT CAST(count(*) AS BIGINT) AS nn, CAST(sum(len(ts)) AS BIGINT) AS ll FROM d WHERE len(ts) > 0),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ts) AS t FROM d) GROUP BY r, t),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, g GROUP BY t, nn),
+b AS (SELECT row_number() OVER () AS i, item_id, text FROM (SELECT DISTINCT item_id, coalesce(text, '') AS text FROM benchmark)),
+q AS (
+  SELECT DISTINCT i, item_id, unnest(list_filter(string_split_regex(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+      lambda x: x <> '')) AS t FROM b),
+s AS (
+  SELECT i, item_id, r, doc_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * CAST(len(ts) AS BIGINT) * nn) // ll)))) AS BIGINT) AS score
+  FROM q JOIN w USING (t) JOIN tf USING (t) JOIN d USING (r), g GROUP BY i, item_id, r, doc_id),
+k AS (SELECT *, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INT) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10
+"""
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -176,6 +212,9 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_exact_topk": op10_exact_topk,
     "op11_filter_audit": op11_filter_audit,
+    "op12_toxicity": op12_toxicity,
+    "op13_lexical_search": op13_lexical_search,
 }
 
-ORACLE = {"op1_chat_format": OP1_SQL, "op10_exact_topk": OP10_SQL, "op11_filter_audit": OP11_SQL}
+ORACLE = {"op1_chat_format": OP1_SQL, "op10_exact_topk": OP10_SQL, "op11_filter_audit": OP11_SQL,
+          "op13_lexical_search": OP13_SQL}
