@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkloom.functions._col import as_col
-from sparkloom.functions.strings import jtrim
+from sparkloom.functions.strings import ascii_digits, jtrim
 
 # The schema type names a staging schema may use, and the Spark type each maps to.
 SPARK_TYPES: dict[str, T.DataType] = {
@@ -37,6 +37,7 @@ NEVER_FAIL = frozenset({"STRING", "BOOLEAN"})
 # Acceptance patterns (Java regex, evaluated by the JVM). `\z` rather than `$`: `$` would also
 # match before a final newline.
 INT_RE = r"^[+-]?[0-9]+\z"
+ANY_INT_RE = r"^[+-]?\p{Nd}+\z"  # a digit that ``ascii_digits`` leaves makes the cast fail
 DATE_RE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 # The fraction may be empty ("13:25:01." parses as 13:25:01), as in the ISO time parser.
 _NTZ_BODY = r"[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{0,9})?)?"
@@ -48,13 +49,15 @@ FLOAT_DEC_RE = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?\z"
 FLOAT_HEX_RE = r"^[+-]?0[xX]([0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?[0-9]+[fFdD]?\z"
 FLOAT_NAN_RE = r"^[+-]?NaN\z"
 FLOAT_INF_RE = r"^([+-]?)Infinity\z"
+OTHER_DIGIT_RE = r"[\p{Nd}&&[^0-9]]"
 TIME_RE = r"^([+-]?[0-9]+):([+-]?[0-9]+):([+-]?[0-9]+)\z"
 
 
 def parse_integer(c) -> Column:
-    """``Long.parseLong``: optional sign, ASCII digits, 64-bit range (overflow fails)."""
+    """``Long.parseLong``: optional sign, decimal digits of any script, 64-bit range (overflow fails)."""
     v = as_col(c)
-    return F.when(v.rlike(INT_RE), v.try_cast("bigint"))
+    # ASCII first; only what has other characters is translated and tested once more.
+    return F.when(v.rlike(INT_RE), v.try_cast("bigint")).when(v.rlike(ANY_INT_RE), ascii_digits(v).try_cast("bigint"))
 
 
 def parse_date(c) -> Column:
@@ -106,8 +109,9 @@ def parse_numeric(c, precision: int = 38, scale: int = 9) -> Column:
 
 
 def parse_time(c) -> Column:
-    """``java.sql.Time.valueOf``: ``h:m:s`` as three ints, rolled over leniently to ``HH:mm:ss``."""
+    """``java.sql.Time.valueOf``: ``h:m:s`` as three ints (decimal digits of any script), rolled over leniently to ``HH:mm:ss``."""
     v = as_col(c)
+    v = F.when(v.rlike(OTHER_DIGIT_RE), ascii_digits(v)).otherwise(v)
     parts = F.split(v, ":")
     h, m, s = (F.get(parts, i).try_cast("int") for i in range(3))
     secs = h.cast("bigint") * 3600 + m.cast("bigint") * 60 + s.cast("bigint")

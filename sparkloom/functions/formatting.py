@@ -15,7 +15,7 @@ COGROUP_KEY_SEP, COGROUP_SIDE_SEP = " : ", ";"
 
 def join_values(values) -> Column:
     """Array -> ``a, b, c`` (elements rendered as strings; a NULL element prints as ``null``)."""
-    return F.array_join(F.transform(as_col(values), lambda x: x.cast("string")), LIST_SEP, "null")
+    return F.array_join(as_col(values).cast("array<string>"), LIST_SEP, "null")
 
 
 def format_list(values) -> Column:

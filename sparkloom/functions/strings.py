@@ -79,3 +79,20 @@ def utf16_length(c) -> Column:
     n = F.length(v).cast("bigint")
     return F.when(F.octet_length(v) == n, n).otherwise(
         (F.octet_length(F.encode(v, "UTF-16BE")) / F.lit(2)).cast("bigint"))
+
+
+def _decimal_digits() -> tuple[str, str]:
+    """Every decimal digit beyond ASCII that fits in one UTF-16 unit, and the ASCII digit it stands for (from the Unicode
+    character classes). The JVM's integer parsers look at UTF-16 units, so digits beyond those are not digits to them."""
+    import unicodedata
+
+    digits = [chr(c) for c in range(128, 0x10000) if unicodedata.category(chr(c)) == "Nd"]
+    return "".join(digits), "".join(str(unicodedata.decimal(d)) for d in digits)
+
+
+OTHER_DIGITS, THEIR_ASCII = _decimal_digits()
+
+
+def ascii_digits(c) -> Column:
+    """Decimal digits of any script as ASCII digits, one ``translate``; everything else as it is."""
+    return F.translate(as_col(c), OTHER_DIGITS, THEIR_ASCII)

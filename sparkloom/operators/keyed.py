@@ -4,11 +4,12 @@ Skew policy: any key - or any single (key, value) pair - may hold a large share
 
 A grouped list per key is one output row, so it fits small groups only: a key with a third of 100 TB
 cannot be a row. The list forms (``group_by_key``, ``group_lines``, ``cogroup``, ``cogroup_lines``) are for
-inputs whose groups fit in a row. Keys of up to ``LARGE_KEY`` rows are grouped in one shuffle; larger
-ones go through *sorted runs* so that no task sorts a whole group: copies of a pair collapse to a
-count (partial aggregation, map-side), ``repartitionByRange(key, value)`` cuts a large key's value
-range over many partitions, each partition sorts and formats its slice, and the formatted runs meet
-in the output row. The size only picks the route; both give the same lists.
+inputs whose groups fit in a row. A light pass first sketches the keys' sizes (``operators.sketch``: never too low).
+Keys of up to ``LARGE_KEY`` rows are grouped in one shuffle. Larger ones ride the same shuffle, dealt by the task they come
+from, and then go through *sorted runs* so that no task sorts a whole group: copies of a pair collapse to a
+count (partial aggregation), ``repartitionByRange(key, value)`` cuts a large key's value range over many
+partitions, each partition sorts and formats its slice, and the formatted runs meet
+in the output row. The size only picks the route; both give the same lists, and the input is read twice in all.
 
 The bounded forms (``group_chunks``, ``cogroup_chunks``) return the same lists in chunks of a fixed
 number of values: no row, group or task holds more, whatever the key. ``route_outputs`` and the tagged
@@ -24,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkloom.functions.casts import parse_integer
 from sparkloom.functions.formatting import (
     LIST_SEP,
     format_cogroup_text,
@@ -32,6 +34,9 @@ from sparkloom.functions.formatting import (
     join_values,
 )
 from sparkloom.functions.strings import get_field, java_split, strip, utf16_length
+from sparkloom.operators.argmax import keep_greatest
+from sparkloom.operators.exchange import above_exchange
+from sparkloom.operators.sketch import bucket_of, count_sketch, heavy_buckets
 
 RUN = "_run"
 LARGE_KEY = 1_000_000
@@ -48,7 +53,7 @@ def parse_kv_lines(lines: DataFrame, line_col: str = "value", sep: str = ",",
     split = lines.select(line.alias("_line"), java_split(line, sep).alias("_parts"))
     fields = split.select(get_field("_parts", 0, "_line").alias(key),
                           strip(get_field("_parts", 1, "_line")).alias("_raw"))
-    parsed = F.when(F.col("_raw").rlike(r"^[+-]?[0-9]+\z"), F.col("_raw").try_cast("bigint"))
+    parsed = parse_integer(F.col("_raw"))
     # The check is a filter: a consumer that reads only the key (or counts) must fail as well.
     bad = F.raise_error(F.concat(F.lit("For input string: "), F.coalesce(F.col("_raw"), F.lit("NULL"))))
     checked = fields.select(key, "_raw", parsed.alias(value)).where(F.when(F.col(value).isNull(), bad.cast("boolean")).otherwise(F.lit(True)))
@@ -75,7 +80,7 @@ def group_runs(df: DataFrame, key: str, value: str, tag: str | None = None, as_t
     pairs = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     ranged = pairs.repartitionByRange(*keys, value)
     slices = ranged.groupBy(*keys, F.spark_partition_id().alias(RUN)).agg(
-        F.array_sort(F.collect_list(F.struct(value, "_n"))).alias("_vn"))
+        F.sort_array(F.collect_list(F.struct(value, "_n"))).alias("_vn"))
     if as_text:
         rendered = F.transform("_vn", lambda x: F.array_join(
             F.array_repeat(F.coalesce(x[value].cast("string"), F.lit("null")), _copies(x["_n"])), LIST_SEP))
@@ -93,26 +98,31 @@ def _copies(n: Column) -> Column:
 
 def _ordered(parts: Column, field_name: str) -> Column:
     """collect_list(struct(_run, x)) -> x's in run order."""
-    return F.transform(F.array_sort(parts), lambda s: s[field_name])
+    return F.sort_array(parts)[field_name]
 
 
-def _by_size(df: DataFrame, key: str, large_key: int) -> tuple[DataFrame, DataFrame]:
-    """(rows of keys with at most ``large_key`` rows, rows of the others). The list of large keys has at most
-    rows / ``large_key`` entries; it is joined by size (AQE), null-safe, and never hinted."""
-    large = df.groupBy(F.col(key).alias("_large")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(large_key))
-    same = df[key].eqNullSafe(large["_large"])
-    return df.join(large, same, "left_anti"), df.join(large, same, "left_semi")
+SALT = "_salt"
+
+
+def _by_size(df: DataFrame, key: str, value: str, large_key: int) -> tuple[DataFrame, DataFrame]:
+    """(rows of small keys, rows of large ones), both read from one exchange: small keys whole under ``(key, _salt)``,
+    large ones spread by the task they come from. The list of large buckets is bounded by the sketch's width."""
+    heavy = heavy_buckets(count_sketch(df, key), large_key).withColumn("_heavy", F.lit(True))
+    marked = df.select(key, value, bucket_of(F.col(key)).alias("bucket")).join(F.broadcast(heavy), "bucket", "left")
+    dealt = marked.select(key, value, F.when(F.col("_heavy"), F.spark_partition_id()).alias(SALT)).repartition(key, SALT)
+    return dealt.where(above_exchange(F.col(SALT).isNull())), dealt.where(above_exchange(F.col(SALT).isNotNull()))
 
 
 def _sorted_values(value: str) -> Column:
     """All values of a group, ascending, NULLs first and kept."""
-    return F.transform(F.array_sort(F.collect_list(F.struct(F.col(value).alias("x")))), lambda s: s["x"])
+    nulls = F.array_repeat(F.first(F.when(F.col(value).isNull(), F.col(value))), F.count_if(F.col(value).isNull()).cast("int"))
+    return F.concat(nulls, F.sort_array(F.collect_list(value)))
 
 
 def group_by_key(df: DataFrame, key: str = "k", value: str = "v", out: str = "vs", large_key: int = LARGE_KEY) -> DataFrame:
     """A1: (key, sorted array of all values; duplicates kept). Small groups only (one row per key)."""
-    small, large = _by_size(df.select(key, value), key, large_key)
-    whole = small.groupBy(key).agg(_sorted_values(value).alias(out))
+    small, large = _by_size(df, key, value, large_key)
+    whole = small.groupBy(key, SALT).agg(_sorted_values(value).alias(out)).select(key, out)
     runs = group_runs(large, key, value)
     grouped = runs.groupBy(key).agg(F.collect_list(F.struct(RUN, "vs")).alias("_p"))
     return whole.unionByName(grouped.select(F.col(key), F.flatten(_ordered(F.col("_p"), "vs")).alias(out)))
@@ -120,8 +130,8 @@ def group_by_key(df: DataFrame, key: str = "k", value: str = "v", out: str = "vs
 
 def group_lines(df: DataFrame, key: str = "k", value: str = "v", out: str = "line", large_key: int = LARGE_KEY) -> DataFrame:
     """A1 + P6: one ``key:[v1, v2, ...]`` line per key (values ascending). Small groups only."""
-    small, large = _by_size(df.select(key, value), key, large_key)
-    whole = small.groupBy(key).agg(join_values(_sorted_values(value)).alias("_txt"))
+    small, large = _by_size(df, key, value, large_key)
+    whole = small.groupBy(key, SALT).agg(join_values(_sorted_values(value)).alias("_txt")).select(key, "_txt")
     runs = group_runs(large, key, value, as_text=True)
     grouped = runs.groupBy(key).agg(F.collect_list(F.struct(RUN, "txt")).alias("_p"))
     joined = grouped.select(F.col(key), F.array_join(_ordered(F.col("_p"), "txt"), LIST_SEP).alias("_txt"))
@@ -181,7 +191,7 @@ def _chunks(df: DataFrame, keys: list[str], value: str, chunk_size: int, out: st
     lo = F.greatest(F.col("_start"), F.col("chunk") * c)
     hi = F.least(F.col("_start") + F.col("_n"), (F.col("chunk") + 1) * c)
     pieces = pieces.select(*keys, "chunk", value, (hi - lo).alias("_cnt"))
-    rendered = F.transform(F.array_sort(F.collect_list(F.struct(value, "_cnt"))), lambda x: F.array_join(
+    rendered = F.transform(F.sort_array(F.collect_list(F.struct(value, "_cnt"))), lambda x: F.array_join(
         F.array_repeat(F.coalesce(x[value].cast("string"), F.lit("null")), x["_cnt"].cast("int")), LIST_SEP))
     return pieces.groupBy(*keys, "chunk").agg(F.array_join(rendered, LIST_SEP).alias(out))
 
@@ -222,7 +232,7 @@ def cogroup(inputs: dict[str, DataFrame], key: str = "k", value: str = "v") -> D
     cols = [F.col("k")]
     for t in inputs:
         mine = F.filter("_parts", _has_tag(t))
-        cols.append(F.flatten(F.transform(F.array_sort(mine), lambda s: s["vs"])).alias(t))
+        cols.append(F.flatten(F.sort_array(mine)["vs"]).alias(t))
     return grouped.select(*cols)
 
 
@@ -235,7 +245,7 @@ def cogroup_lines(inputs: dict[str, DataFrame], key: str = "k", value: str = "v"
     sides, empty = [], []
     for t in inputs:
         mine = F.filter("_parts", _has_tag(t))
-        sides.append(F.array_join(F.transform(F.array_sort(mine), lambda s: s["txt"]), LIST_SEP))
+        sides.append(F.array_join(F.sort_array(mine)["txt"], LIST_SEP))
         empty.append(F.size(mine) == F.lit(0))
     return grouped.select(F.col("k"), format_cogroup_text(F.col("k"), sides, empty if blank_empty else None).alias(out))
 
@@ -273,20 +283,17 @@ def global_max(df: DataFrame, col: Column | str, out: str = "max_value") -> Data
 
 
 def filter_by_max_length(df: DataFrame, key: str = "k", materialize: bool = False) -> DataFrame:
-    """Keep pairs whose key length equals the global maximum key length.
+    """Keep pairs whose key length equals the global maximum key length, in one pass over the input.
 
-    The maximum is an uncorrelated scalar subquery: Spark runs it as its own small job and inlines
-    the single value into the filter (the broadcast singleton of the dataflow model). The input is
-    read twice (once for the max, once for the filter); with ``materialize`` an expensive input is
-    written once to the shared checkpoint folder (reliable checkpoint, lineage cut there) and both
-    passes read it, which also means a lost executor never forces the upstream to be recomputed."""
+    Tasks drop what is shorter than the longest key they have seen; the maximum over the few rows left (the broadcast
+    singleton of the dataflow model) is an uncorrelated scalar subquery that shares their exchange. With ``materialize`` an
+    expensive input is written once to the shared checkpoint folder first (reliable checkpoint, lineage cut there)."""
     if materialize:
         from sparkloom.session import checkpoint_root
 
         checkpoint_root(df.sparkSession)  # ensure a shared checkpoint folder is configured
         df = df.checkpoint(eager=True)
-    longest = global_max(df, utf16_length(F.col(key))).scalar()
-    return df.where(utf16_length(F.col(key)) == longest)
+    return keep_greatest(df, utf16_length(F.col(key)))
 
 
 # --------------------------------------------------------------------------------------------

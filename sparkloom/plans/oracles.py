@@ -241,6 +241,19 @@ def cast_sql(type_name: str, raw: str, source: str, key: str) -> str:
             f"FROM (SELECT {key}, {raw} AS raw FROM {source})")
 
 
+# First digits of the scripts whose digits the JVM's integer parsers take (those the queries use).
+_OTHER_DIGITS = (0x660, 0x966, 0xFF10)
+
+
+def cast_digits_sql(raw: str, type_name: str) -> str:
+    """The cast of a raw value in which digits of other scripts count as ASCII ones."""
+    plain = "raw"
+    for first in _OTHER_DIGITS:
+        plain = f"translate({plain}, '{''.join(chr(first + i) for i in range(10))}', '0123456789')"
+    return (f"SELECT key, raw, {parse_sql(type_name, 'plain')} AS value FROM (SELECT key, raw, {plain} AS plain FROM "
+            f"(SELECT o_orderkey AS key, {raw} AS raw FROM orders))")
+
+
 def group_line_sql(key: str, value: str, source: str, where: str = "") -> str:
     return (f"SELECT {key} AS k, {key} || ':[' || string_agg(CAST({value} AS VARCHAR), ', ' ORDER BY {value}) || ']' AS line "
             f"FROM {source} {where} GROUP BY {key}")

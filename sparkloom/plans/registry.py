@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from sparkloom import schema as sch
 from sparkloom.functions import casts
-from sparkloom.operators import keyed, lines, staging
+from sparkloom.operators import elements, keyed, lines, sketch, staging
 from sparkloom.plans import jobs, oracles as O, testdata as D
 from sparkloom.session import shared_dir
-from sparkloom.sinks import tables, text
+from sparkloom.sinks import publish, shards, tables, text
 from sparkloom.sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -177,6 +177,48 @@ def q_text_source_lines(spark, d):
     return readers.read_lines(spark, target)
 
 
+LARGE_WORD = 500
+
+
+def q_large_keys(spark, d):
+    """A1's size sketch over real text: the words that occur often, exactly."""
+    return sketch.large_keys(_doc_words(spark, d).select("k"), "k", LARGE_WORD, "n")
+
+
+# ---- groups of any size as one line each -------------------------------------------------------------
+def _list_items(spark, path):
+    """The items of lists written as text, one row each: read with the list separator as the line separator, so that no row
+    holds a line."""
+    items = spark.read.option("lineSep", ", ").text(path)
+    return items.select(F.explode(F.split("value", "\n")).alias("value")).where(F.col("value") != F.lit(""))
+
+
+LINE_SHARDS = 3
+
+
+def q_group_line_shards(spark, d):
+    """A1 + K1: the group_by_key lines, each streamed into a named shard; read back item by item."""
+    target = shared_dir(spark, "group-lines")
+    kv = keyed.parse_kv_lines(D.lines_of(D.table(spark, d, "orders"), D.PRIORITY_CUST_LINES))
+    shards.write_group_lines(kv, target, num_shards=LINE_SHARDS, chunk_size=CHUNK_SIZE, prefix="groups", suffix=".txt")
+    return _list_items(spark, target)
+
+
+def q_word_line_shards(spark, d):
+    """A1 + K1 over real text: every word's documents as one line; very common words are long lines."""
+    target = shared_dir(spark, "word-lines")
+    shards.write_group_lines(_doc_words(spark, d), target, num_shards=LINE_SHARDS, chunk_size=CHUNK_SIZE, prefix="words", suffix=".txt")
+    return readers.read_lines(spark, target).groupBy(F.split("value", ":\\[")[0].alias("k")).agg(
+        F.sum(F.length("value")).alias("chars"), F.count(F.lit(1)).alias("n_lines"))
+
+
+def q_cogroup_line_shards(spark, d):
+    """J1 + K1: the cogroup lines, streamed; a nation without suppliers has an empty list."""
+    target = shared_dir(spark, "cogroup-lines")
+    shards.write_cogroup_lines(_nation_inputs(spark, d), target, num_shards=LINE_SHARDS, chunk_size=COGROUP_CHUNK, prefix="nations")
+    return _list_items(spark, target)
+
+
 # ---- delimited lines -------------------------------------------------------------------------------
 def _session_lines(spark, d):
     return D.with_line(spark, D.lines_of(D.table(spark, d, "events"), D.SESSION_LINES), jobs.SESSION_HEADER)
@@ -204,6 +246,57 @@ def q_id_prefix_filter(spark, d):
     return lines.id_prefix(src, D.ID_PREFIX)
 
 
+class _RecordsOf(elements.Where):
+    """F3 as a user writes it: lines of one record id, no comments."""
+
+    def __init__(self, record_id: str, comment: str = "#"):
+        self.record_id, self.comment = record_id, comment
+
+    def keep(self, batch):
+        import pyarrow.compute as pc
+
+        line = batch.column("value")
+        return pc.and_not(pc.starts_with(line, self.record_id), pc.starts_with(line, self.comment))
+
+
+def q_user_element_filter(spark, d):
+    """The id_prefix_filter rows by a user-written element function."""
+    src = D.with_line(spark, D.lines_of(D.table(spark, d, "customer"), D.CUSTOMER_ID_LINES), D.CUSTOMER_COMMENT)
+    return elements.apply_elements(src, _RecordsOf(D.ID_PREFIX))
+
+
+class _Words(elements.EachRow):
+    """(doc_id, text) to (doc_id, n, word): none or many rows for each."""
+
+    def __init__(self, shortest: int):
+        self.shortest = shortest
+
+    def analyze(self, schema):
+        from pyspark.sql.types import LongType, StringType, StructType
+
+        return StructType([schema["doc_id"]]).add("n", LongType()).add("word", StringType())
+
+    def process(self, batch):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        words = pc.split_pattern_regex(pc.fill_null(batch.column("text"), ""), "[ \t\n\r]+")
+        row, flat = pc.list_parent_indices(words), pc.list_flatten(words)
+        first = words.offsets.take(row)
+        long = pc.greater_equal(pc.utf8_length(flat), self.shortest)
+        n = pc.subtract(pa.array(range(len(flat)), pa.int64()), pc.subtract(first, words.offsets[0]).cast(pa.int64()))
+        cells = [batch.column("doc_id").take(row), n, flat]
+        return pa.RecordBatch.from_arrays([c.filter(long) for c in cells], names=["doc_id", "n", "word"])
+
+
+LONG_WORD = 12
+
+
+def q_user_element_expand(spark, d):
+    """U2, one row to none or many: the long words of every text and their places."""
+    return elements.apply_elements(D.table(spark, d, "documents").select("doc_id", "text"), _Words(LONG_WORD))
+
+
 def q_project_field(spark, d):
     customers = D.table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"))
     return lines.project(customers, "name")
@@ -235,6 +328,38 @@ q_cast_numeric = _cast_query("NUMERIC", "lineitem", "l_orderkey", D.RAW_NUMERIC)
 q_cast_time = _cast_query("TIME", "events", "event_id", D.RAW_TIME)
 
 
+def _in_digits(source: str, first: int) -> str:
+    return f"translate({source}, '0123456789', '{''.join(chr(first + i) for i in range(10))}')"
+
+
+# Raw values in Arabic-Indic, Devanagari and full-width digits (digits to the JVM's parsers) and in mathematical ones (not).
+_SCRIPTS = {"F": 0x660, "O": 0x966}
+_FULL_WIDTH, _MATHEMATICAL = 0xFF10, 0x1D7CE
+
+
+def _digits_raw(value: str, text_type: str) -> str:
+    plain = f"CAST({value} AS {text_type})"
+    return (f"CASE WHEN o_orderpriority = '5-LOW' THEN {_in_digits(plain, _MATHEMATICAL)} "
+            + " ".join(f"WHEN o_orderstatus = '{s}' THEN concat('-', {_in_digits(plain, c)}, '7')" for s, c in _SCRIPTS.items())
+            + f" ELSE {_in_digits(plain, _FULL_WIDTH)} END")
+
+
+def q_cast_integer_digits(spark, d):
+    """Digits of other scripts."""
+    return _cast_query("INTEGER", "orders", "o_orderkey", _digits_raw("o_custkey", "STRING"))(spark, d)
+
+
+def _clock_raw(text_type: str) -> str:
+    parts = (f"CAST(o_orderkey % 30 AS {text_type})", f"CAST(o_custkey % 70 AS {text_type})", f"CAST(o_orderkey % 7 AS {text_type})")
+    clock = f"concat({parts[0]}, ':', {parts[1]}, ':', {parts[2]})"
+    return f"CASE WHEN o_orderstatus = 'F' THEN {_in_digits(clock, 0x660)} WHEN o_orderstatus = 'O' THEN {_in_digits(clock, _MATHEMATICAL)} ELSE {clock} END"
+
+
+def q_cast_time_digits(spark, d):
+    """Digits of other scripts."""
+    return _cast_query("TIME", "orders", "o_orderkey", _clock_raw("STRING"))(spark, d)
+
+
 # ---- staging ----------------------------------------------------------------------------------------
 def _staged_orders(spark, d, raw_exprs, on_error="reset"):
     raw = D.raw_frame(D.table(spark, d, "orders"), raw_exprs)
@@ -332,7 +457,7 @@ def q_partition_overwrite(spark, d):
               .select("o_orderkey", "o_orderstatus", F.concat(F.lit("R-"), "o_orderpriority").alias("o_orderpriority"),
                       "o_orderdate"))
     tables.write_day_partitions(second, target, "o_orderdate")
-    out = spark.read.parquet(target)
+    out = readers.read_partitioned(spark, target)
     return out.select("o_orderkey", "o_orderstatus", "o_orderpriority", F.col("o_orderdate").cast("date"))
 
 
@@ -417,6 +542,34 @@ def q_header_null_lines(spark, d):
     return readers.read_lines(spark, target)
 
 
+SEGMENT_SHARDS = 16
+
+
+def q_named_shards(spark, d):
+    """K1/K2: lines dealt by market segment into sixteen named shards, most of them empty; every one has the header."""
+    target = shared_dir(spark, "named")
+    src = D.table(spark, d, "customer").select("c_mktsegment", F.concat_ws(",", "c_mktsegment", "c_name").alias("value"))
+    shards.write_named_lines(src, target, prefix="customers", suffix=".csv", col="value", by="c_mktsegment", num_shards=SEGMENT_SHARDS, header="segment,name")
+    lines_ = spark.read.text(target).select(F.regexp_extract(F.input_file_name(), "([^/]+)$", 1).alias("file"), "value")
+    heads = lines_.where(F.col("value") == F.lit("segment,name"))
+    return heads.unionByName(lines_.where(F.col("value") != F.lit("segment,name")).select(F.lit("").alias("file"), "value"))
+
+
+def q_routed_tables(spark, d):
+    """K7: orders to the table (finished ones: to the month) that each names, twice; the second load replaces months and adds to the rest."""
+    root = shared_dir(spark, "routed")
+    month = F.date_format(F.trunc("o_orderdate", "month"), "yyyyMMdd")
+    to = (F.when(F.col("o_orderstatus") == F.lit("F"), F.concat(F.lit("finished$"), month))
+          .when(F.col("o_orderstatus") == F.lit("O"), F.lit("open")).otherwise(F.lit("pending")))
+    orders = D.table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    how = {"finished": "truncate", "open": "append", "pending": "append"}
+    publish.write_routed(orders.withColumn("load", F.lit("first")), to, root, write="empty", day_col="month")
+    again = orders.where((F.col("o_orderstatus") == F.lit("P")) | (F.year("o_orderdate") < F.lit(1995)))
+    publish.write_routed(again.withColumn("load", F.lit("second")), to, root, write=how, create="never", day_col="month")
+    tables_ = [spark.read.parquet(f"{root}/{t}").select("o_orderkey", "load", F.lit(t).alias("tab")) for t in ("finished", "open", "pending")]
+    return tables_[0].unionByName(tables_[1]).unionByName(tables_[2])
+
+
 def q_text_roundtrip(spark, d):
     target = shared_dir(spark, "text-lines")
     src = D.lines_of(D.table(spark, d, "customer"), "concat_ws(',', CAST(c_custkey AS STRING), c_name)")
@@ -526,6 +679,16 @@ QUERIES: dict[str, Query] = {
     "catalog_sink": q_catalog_sink,
     "catalog_partition_overwrite": q_catalog_partition_overwrite,
     "partition_divert": q_partition_divert,
+    "large_keys": q_large_keys,
+    "group_line_shards": q_group_line_shards,
+    "word_line_shards": q_word_line_shards,
+    "cogroup_line_shards": q_cogroup_line_shards,
+    "user_element_filter": q_user_element_filter,
+    "user_element_expand": q_user_element_expand,
+    "cast_integer_digits": q_cast_integer_digits,
+    "cast_time_digits": q_cast_time_digits,
+    "named_shards": q_named_shards,
+    "routed_tables": q_routed_tables,
 }
 
 
@@ -636,4 +799,21 @@ ORACLE: dict[str, str] = {
         "UNION ALL SELECT o_orderkey, o_orderstatus, 'second', month FROM b"),
     "partition_divert": ("SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN CAST(date_trunc('month', o_orderdate) AS DATE) END AS month, "
                          "o_orderstatus = 'P' AS rejected FROM orders"),
+    "large_keys": f"SELECT k, count(*) AS n FROM {_WORDS} GROUP BY k HAVING count(*) > {LARGE_WORD}",
+    "group_line_shards": f"SELECT unnest(string_split(line, ', ')) AS value FROM ({O.group_line_sql('o_orderpriority', 'o_custkey', 'orders')})",
+    "word_line_shards": f"SELECT k, CAST(sum(length(line)) AS BIGINT) AS chars, count(*) AS n_lines FROM ({O.group_line_sql('k', 'v', _WORDS)}) GROUP BY k",
+    "cogroup_line_shards": f"SELECT unnest(string_split(line, ', ')) AS value FROM ({O.cogroup_sql(*_NATIONS)})",
+    "user_element_filter": f"SELECT {_ID_LINE} AS value FROM customer WHERE starts_with({_ID_LINE}, '{D.ID_PREFIX}')",
+    "user_element_expand": (f"SELECT doc_id, CAST(i - 1 AS BIGINT) AS n, w[i] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM "
+                            f"(SELECT doc_id, regexp_split_to_array(text, '[ \\t\\n\\r]+') AS w FROM documents)) WHERE length(w[i]) >= {LONG_WORD}"),
+    "cast_integer_digits": O.cast_digits_sql(_digits_raw("o_custkey", "VARCHAR"), "INTEGER"),
+    "cast_time_digits": O.cast_digits_sql(_clock_raw("VARCHAR"), "TIME"),
+    "named_shards": (f"SELECT printf('customers-%05d-of-%05d.csv', i, {SEGMENT_SHARDS}) AS file, 'segment,name' AS value FROM range({SEGMENT_SHARDS}) r(i) "
+                     "UNION ALL SELECT '', c_mktsegment || ',' || c_name FROM customer"),
+    "routed_tables": (
+        "WITH o AS (SELECT o_orderkey, o_orderstatus AS s, o_orderdate, date_trunc('month', o_orderdate) AS m FROM orders), "
+        "again AS (SELECT * FROM o WHERE s = 'P' OR year(o_orderdate) < 1995) "
+        "SELECT o_orderkey, 'first' AS load, CASE s WHEN 'F' THEN 'finished' WHEN 'O' THEN 'open' ELSE 'pending' END AS tab FROM o "
+        "WHERE s <> 'F' OR m NOT IN (SELECT m FROM again WHERE s = 'F') UNION ALL "
+        "SELECT o_orderkey, 'second', CASE s WHEN 'F' THEN 'finished' WHEN 'O' THEN 'open' ELSE 'pending' END FROM again"),
 }

@@ -7,6 +7,7 @@ falls back to a private temporary folder when the master is local and nothing is
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -16,7 +17,8 @@ _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "sparkloom") -> SparkSession:
-    """Session for tests and the bench: AQE on, UI off, UTC, ANSI on."""
+    """Session for tests and the bench: AQE on, UI off, UTC, ANSI on. Local files are written without checksum files: without
+    Hadoop's native library each created file, and each checksum file, costs a forked ``chmod``."""
     return (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -27,11 +29,21 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.hadoop.fs.file.impl", "org.apache.hadoop.fs.RawLocalFileSystem")
         .config("spark.driver.memory", "16g")
         .getOrCreate()
     )
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it (a checkout that is not installed)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 

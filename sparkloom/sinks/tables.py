@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.session import checkpoint_root
+from sparkloom.sinks.publish import publish_partitions, write_if_empty
 from sparkloom.sources.readers import is_path as _is_path
 
 WRITE_DISPOSITIONS = ("append", "truncate", "empty")
@@ -58,7 +59,7 @@ def read_target(spark: SparkSession, target: str, fmt: str = "parquet") -> DataF
 def write_table(df: DataFrame, target: str, write: str = "append", create: str = "if_needed",
                 partition_by: list[str] | None = None, fmt: str = "parquet") -> str:
     """K4: ``append`` adds rows; ``truncate`` replaces the table's content; ``empty`` writes only if
-    the target has no rows. ``create="never"`` requires the target to exist already. Path targets
+    the target has no rows (path targets: when its rows are ready to be moved in, so of two writers one fails). ``create="never"`` requires the target to exist already. Path targets
     are written as ``fmt``; catalog tables keep their own format. A truncate replaces everything,
     whatever partition overwrite mode the session has."""
     if write not in WRITE_DISPOSITIONS or create not in CREATE_DISPOSITIONS:
@@ -69,6 +70,8 @@ def write_table(df: DataFrame, target: str, write: str = "append", create: str =
         raise ValueError(f"target {target} does not exist and create disposition is 'never'")
     if write == "empty" and exists and not read_target(spark, target, fmt).isEmpty():
         raise ValueError(f"target {target} is not empty (write disposition 'empty')")
+    if write == "empty" and _is_path(target):  # decided again when the rows are there: another writer may have come first
+        return write_if_empty(df, target, partition_by, fmt)
     mode = "overwrite" if write == "truncate" else "append"
     if _is_path(target):
         writer = df.write.mode(mode).option(_MODE, "static")
@@ -117,8 +120,9 @@ def write_day_partitions(df: DataFrame, target: str, partition_col: str | None =
       tasks and merges small ones), so one task never writes a whole large day and small days do
       not turn into many tiny files. The ingestion day is one value: its rows are rebalanced by size
       only.
-    * Path targets use dynamic overwrite on the writer; catalog targets must exist (create never)
-      and use the session setting around ``insertInto`` (the writer option is ignored there).
+    * Path targets are staged and swapped in day by day, in parallel (``sinks.publish``): a load that was killed and is
+      run again under its ``load_id`` goes on where it stopped. Catalog targets must exist (create never) and use dynamic
+      overwrite by the session setting around ``insertInto`` (the writer option is ignored there).
     """
     spark = df.sparkSession
     one_day = partition_col in (None, NO_PARTITION_COLUMN)
@@ -146,8 +150,7 @@ def write_day_partitions(df: DataFrame, target: str, partition_col: str | None =
         raise ValueError(f"table {target} must exist (partitioned writes use create disposition 'never')")
     df = df.hint("rebalance") if one_day else df.hint("rebalance", partition_col)
     if _is_path(target):
-        (df.write.mode("overwrite").option(_MODE, "dynamic")
-         .partitionBy(partition_col).format(fmt).save(target))
+        publish_partitions(df, target, partition_col, fmt, load_id)
     else:
         _insert(df, target, overwrite=True, partitions="dynamic")
     if on_null == "divert":

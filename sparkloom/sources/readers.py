@@ -42,3 +42,15 @@ def read_pruned(spark: SparkSession, table: str, fields: list[Field], fmt: str =
     """Only the schema's columns (minus the load-time column) are read; Catalyst turns the
     projection into the columnar ``ReadSchema`` so other columns are never decoded."""
     return read_table(spark, table=table, fmt=fmt).select(*raw_projection(fields))
+
+
+def read_partitioned(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A path table of very many partition folders. Spark lists each folder in a task of its own; a folder of a few files is
+    listed faster than a task starts, so the folders are dealt over as many tasks as run at a time."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), 4 * spark.sparkContext.defaultParallelism)))
+    try:
+        return spark.read.format(fmt).load(path)  # the listing happens here
+    finally:
+        spark.conf.set(key, before)

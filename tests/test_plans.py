@@ -13,14 +13,23 @@ SINK_QUERIES = {"partition_overwrite", "ingestion_partition", "table_sink_append
                 "text_roundtrip", "header_roundtrip", "tagged_sink", "incremental_staging",
                 "incremental_staging_no_day", "tagged_sink_chunks", "header_null_lines",
                 "table_sink_truncate_partitioned", "catalog_source", "catalog_sink", "catalog_partition_overwrite",
-                "partition_divert"}
+                "partition_divert", "group_line_shards", "word_line_shards", "cogroup_line_shards", "named_shards", "routed_tables"}
+# Columnar Arrow nodes on purpose: user-written element functions, and the one-pass arg-max (tasks stream their rows once).
+ARROW_QUERIES = {"user_element_filter", "user_element_expand", "max_length_filter", "longest_words"}
+ROW_NODES = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - SINK_QUERIES))
+@pytest.mark.parametrize("name", sorted(ARROW_QUERIES))
+def test_arrow_queries_are_columnar(spark, name):
+    p = plan(QUERIES[name](spark, SF))
+    assert "MapInArrow" in p and not any(node in p for node in ROW_NODES), p
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SINK_QUERIES - ARROW_QUERIES))
 def test_no_python_in_plan(spark, name):
     p = plan(QUERIES[name](spark, SF))
     assert not any(node in p for node in PYTHON_NODES), p
