@@ -11,15 +11,15 @@ them that fell to k. Two texts agree in a component with probability equal to th
 are drawn only up to a time by which all components are usually filled, and up to twice that for the rest.
 
 Classes. Exact copies collapse first (128-bit digest), so all that follows runs on different texts.
-Texts that share a band of the signature meet; in a band every text is compared with the band's heads
-(least of 1, 4, 16, ... slices of all but its largest component, round by round) until it is a head itself, unless
-both are of one component already, and only while the band holds different components. Pairs whose whole signatures agree
-in less than the threshold minus ``SLACK`` are let go (a pair at the threshold does with probability
-2e-8, five and a half standard deviations at 120 components); each other comparison counts the
-multisets' overlap exactly. Links make components; all steps are joins and partial aggregations,
-written round by round in the shared folder. So two near texts share a class unless no band of theirs
-is equal (about 7e-5 at similarity 0.8 with 24 bands of 5, far less above). The price: in a band of texts that are all
-unlike, every pair is compared.
+Texts that share a band of the signature meet. A band's texts are dealt to *blocks* of bounded size, and a block is solved where it
+lies: a multiset is a set of (shingle, occurrence), so the overlaps of all its texts are one product of a 0/1 matrix with its
+transpose (rare elements are counted pair by pair), exact whole numbers; from the pairs at the threshold or above a task returns only
+the links that join different components, at most one less than texts. Links make components, joins and partial aggregations.
+The first ``first`` bands are solved, then of the others those whose texts are not of one component already; of bands with the same
+texts one is solved. Where a band has several blocks, the texts outside its largest component (*stragglers*) meet all its
+blocks afterwards, unless one component is left. So two near texts share a class unless no band of theirs is equal (about 7e-5
+at similarity 0.8 with 24 bands of 5, far less above). No pair is dropped for an estimate and none is a row; only a band of very many texts that
+are all unlike costs more than in proportion: each block of stragglers then meets each block.
 
 Defined cases: texts of one to four words have one shingle, all of them; texts without words are near
 their exact copies only; a null text is a copy of the empty one; null ids come last and a class of null
@@ -38,15 +38,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, mix64, ragged_take, text_bytes
+from .common import Scratch, mix64, ragged_take
 from .components import components
 
 U = np.uint64
 _MASK = (1 << 64) - 1
 _LAST = np.iinfo(np.int64).max
 SLICE_BYTES = 3 << 20  # text signed at a time
-SLACK = 0.2
-_SIGNED = "node binary, first_id long, bands array<long>, sketch binary, packed binary"
+BLOCK_TEXTS, BLOCK_BYTES = 640, 2 << 20  # a block of a band, compressed
+_SIGNED = "node binary, first_id long, bands array<long>, packed binary"
 
 
 def bags(texts: pa.Array, words: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -154,66 +154,161 @@ def _sign(bands: int, rows: int, words: int):
                 some = np.diff(bounds) > 0
                 lens = np.where(some, bands, 0)
                 keys = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lens)].astype(np.int32)), pa.array(key[some].reshape(-1).view(np.int64)))
-                low = np.ascontiguousarray(sig.reshape(len(some), -1).astype(np.uint8))
-                sketch = pa.array([x.tobytes() for x in low], pa.binary())
                 packed = pa.array([press.compress(t.as_buffer()) for t in part["text"].cast(pa.binary())], pa.binary())
-                yield pa.RecordBatch.from_arrays([part["node"], part["first_id"], keys, sketch, packed],
-                                                 names=["node", "first_id", "bands", "sketch", "packed"])
+                yield pa.RecordBatch.from_arrays([part["node"], part["first_id"], keys, packed], names=["node", "first_id", "bands", "packed"])
 
     return sign
 
 
-def _alike(least: float):
-    """Pairs whose sketches (a byte per component) agree in a share of at least ``least``."""
-    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                one, two = (np.frombuffer(text_bytes(b[f"sketch_{s}"])[0], np.uint8).reshape(b.num_rows, -1) for s in ("a", "b"))
-                ok = pa.array((one == two).mean(axis=1) >= least)
-                yield pa.RecordBatch.from_arrays([b["a"].filter(ok), b["b"].filter(ok)], names=["a", "b"])
-
-    return alike
-
-
-def _compare(words: int):
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_ = zstandard.ZstdDecompressor()
-        for whole in batches:
-            for x in range(0, whole.num_rows, 1000):
-                b = whole.slice(x, 1000)
-                place: dict = {}
-                texts = []
-                pairs = []
-                for side in ("a", "b"):
-                    at = []
-                    for node, data in zip(b[side].to_pylist(), b[f"packed_{side}"], strict=True):
-                        if node not in place:
-                            place[node] = len(texts)
-                            texts.append(open_.decompress(data.as_py()).decode())
-                        at.append(place[node])
-                    pairs.append(at)
-                h, count, bounds = bags(pa.array(texts, pa.string()), words)
-                bag = [(h[i:j], count[i:j]) for i, j in zip(bounds[:-1], bounds[1:], strict=True)]
-                both = [similarity(bag[i], bag[j]) for i, j in zip(*pairs, strict=True)]
-                yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array([s[0] for s in both], pa.int64()), pa.array([s[1] for s in both], pa.int64())],
-                                                 names=["a", "b", "least", "most"])
-
-    return compare
-
-
-def _beside(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
-    """Pairs (a, b) with a column of both nodes."""
-    a, b = (table.select(F.col("node").alias(s), F.col(column).alias(f"{column}_{s}")) for s in ("a", "b"))
-    return pairs.join(a, "a").join(b, "b")
-
-
-def near_duplicates(df: DataFrame, threshold: float = 0.8, words: int = 5, bands: int = 24, rows: int = 5,
+def elements(h: np.ndarray, count: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(element hashes, bounds per text) of multisets as sets: the i-th occurrence of a shingle is an element of its own."""
+    if not len(count) or count.max() == 1:
+        return h, bounds
+    ends = np.cumsum(count)
+    nth = np.arange(int(ends[-1])) - np.repeat(ends - count, count)
+    e = np.repeat(h, count)
+    again = nth > 0
+    e[again] = mix64(e[again] + nth[again].astype(U) * U(0x9E3779B97F4A7C15))
+    return e, np.r_[0, ends][bounds]
+
+
+def overlaps(e: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sizes of all pairwise intersections of sets (upper triangle of a square matrix)."""
+    n = len(bounds) - 1
+    row = np.repeat(np.arange(n), np.diff(bounds))
+    order = np.argsort(e, kind="stable")
+    e, row = e[order], row[order]
+    head = np.flatnonzero(np.r_[True, e[1:] != e[:-1]][:len(e)])
+    held = np.diff(np.r_[head, len(e)])
+    common = held >= _COMMON
+    # Elements of few texts: their pairs are counted one by one.
+    rare = np.repeat(~common & (held > 1), held)
+    x, y = e[rare], row[rare]
+    pairs = [np.zeros(0, np.int64)]
+    for k in range(1, min(_COMMON, len(x))):
+        same = x[k:] == x[:-k]
+        if not same.any():
+            break
+        pairs.append(y[:-k][same] * n + y[k:][same])  # rows ascend within an element
+    out = np.bincount(np.concatenate(pairs), minlength=n * n).reshape(n, n)
+    # Elements of many texts: columns of a 0/1 matrix, whose product with its transpose counts all pairs.
+    column = np.repeat(np.cumsum(common) - 1, held)
+    wide = np.repeat(common, held)
+    column, y, total = column[wide], row[wide], int(common.sum())
+    starts = np.searchsorted(column, np.arange(0, total + _COLUMNS, _COLUMNS))
+    for i, (a, z) in enumerate(zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)):
+        m = np.zeros((n, min(_COLUMNS, total - i * _COLUMNS)), np.float32)
+        m[y[a:z], column[a:z] - i * _COLUMNS] = 1
+        out += np.rint(m @ m.T).astype(out.dtype)
+    return np.triu(out, 1)
+
+
+_COMMON, _COLUMNS = 16, 1024
+
+
+def links(e: np.ndarray, bounds: np.ndarray, label: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Pairs of texts that join the components ``label`` of one block as its near pairs do: for every component that is joined to one
+    with a smaller number, a text of each."""
+    if not (label != label[0]).any():
+        return []
+    n, size = len(label), np.diff(bounds)
+    if n == 2:
+        both = len(np.intersect1d(e[bounds[0]:bounds[1]], e[bounds[1]:bounds[2]], assume_unique=True))
+        return [(0, 1)] if both >= threshold * (int(size.sum()) - both) else []
+    both = overlaps(e, bounds)
+    a, b = np.nonzero(both >= threshold * (size[:, None] + size[None, :] - both))
+    at = a < b
+    a, b = a[at], b[at]
+    new = label[a] != label[b]
+    low, high = np.minimum(label[a[new]], label[b[new]]), np.maximum(label[a[new]], label[b[new]])
+    # Least label reachable: spread along the edges, jump, until nothing moves.
+    root = np.arange(int(label.max()) + 1)
+    while True:
+        before = root.copy()
+        np.minimum.at(root, high, before[low])
+        np.minimum.at(root, low, before[high])
+        root = root[root]
+        if (root == before).all():
+            break
+    first = np.full(len(root), n)
+    np.minimum.at(first, label, np.arange(n))
+    joined = np.flatnonzero(root != np.arange(len(root)))
+    return list(zip(first[root[joined]].tolist(), first[joined].tolist(), strict=True))
+
+
+def _solve(threshold: float, words: int):
+    """(a, b): the links of every block; rows (key, block, node, label, packed) come sorted by (key, block, node)."""
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_, held, size = zstandard.ZstdDecompressor(), [], 0
+
+        def told() -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            block = np.stack([np.asarray(rows["key"]), np.asarray(rows["block"]).astype(np.int64)])
+            cut = np.r_[0, np.flatnonzero((block[:, 1:] != block[:, :-1]).any(axis=0)) + 1, rows.num_rows]
+            node, label = rows["node"].to_pylist(), rows["label"].to_pylist()
+            # A text is cut into shingles once for all blocks held.
+            place = {}
+            for i, x in enumerate(node):
+                place.setdefault(x, i)
+            own = {x: k for k, x in enumerate(place)}
+            texts = pa.array([open_.decompress(rows["packed"][i].as_py()).decode() for i in place.values()], pa.string())
+            e, bounds = elements(*bags(texts, words))
+            out = []
+            for x, y in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+                names = list(dict.fromkeys(node[x:y]))  # a straggler may also stand in the block it meets
+                of = dict(zip(node[x:y], label[x:y], strict=True))
+                code: dict = {}
+                number = np.array([code.setdefault(of[v], len(code)) for v in names])
+                at = np.array([own[v] for v in names])
+                lens = bounds[at + 1] - bounds[at]
+                found = links(ragged_take(e, bounds[at], lens), np.r_[0, np.cumsum(lens)], number, threshold)
+                out += [(names[i], names[j]) for i, j in found]
+            a, b = zip(*out, strict=True) if out else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+        last = None
+        for batch in batches:
+            key, block = np.asarray(batch["key"]), np.asarray(batch["block"]).astype(np.int64)
+            if not batch.num_rows:
+                continue
+            new = np.r_[(key[0], block[0]) != last, (key[1:] != key[:-1]) | (block[1:] != block[:-1])]
+            starts = np.flatnonzero(new).tolist()
+            weight = np.cumsum(np.asarray(pc.binary_length(batch["packed"])).astype(np.int64))
+            at = 0
+            for x in starts:
+                here = size + int(weight[x - 1] if x else 0) - int(weight[at - 1] if at else 0)
+                if here >= BLOCK_BYTES or (here and x - at + sum(h.num_rows for h in held) >= 8 * BLOCK_TEXTS):
+                    if x > at:
+                        held.append(batch.slice(at, x - at))
+                    yield told()
+                    held, size, at = [], 0, x
+            held.append(batch.slice(at))
+            size += int(weight[-1]) - int(weight[at - 1] if at else 0)
+            last = (key[-1], block[-1])
+        if held:
+            yield told()
+
+    return solve
+
+
+def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``rows`` with the component of each node, its own name where it has no link."""
+    if labels is None:
+        return rows.withColumn("label", F.col("node"))
+    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def _met(blocks: DataFrame, signed: DataFrame, threshold: float, words: int) -> DataFrame:
+    """(a, b): links of the blocks (key, block, node, label), each solved in one task."""
+    dealt = blocks.join(signed.select("node", "packed"), "node").select("key", "block", "node", "label", "packed")
+    return dealt.repartition("key", "block").sortWithinPartitions("key", "block", "node").mapInArrow(_solve(threshold, words), "a binary, b binary")
+
+
+def near_duplicates(df: DataFrame, threshold: float = 0.8, words: int = 5, bands: int = 24, rows: int = 5, first: int = 4,
                     id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(digest, class, class_id) of every distinct text; ``digest`` is ``digest_of(text)``, class id the least id.
 
     Inside, a text is named by its least id and its digest, so that the least name of a component is its class.
-    Both sides of every join on a name or band that may be hot are read from a table, where the join can
-    split a hot key over tasks.
     """
     scratch = Scratch(df.sparkSession)
     docs = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
@@ -221,47 +316,48 @@ def near_duplicates(df: DataFrame, threshold: float = 0.8, words: int = 5, bands
     texts = docs.groupBy(digest_of(F.col("text")).alias("digest")).agg(F.min("id").alias("first_id"), F.first("text").alias("text"))
     texts = texts.select(F.concat(_ordered_bytes(F.col("first_id")), "digest").alias("node"), "first_id", "text")
     signed = scratch.write(texts.mapInArrow(_sign(bands, rows, words), _SIGNED), "bagminhash")
-    keys = signed.select(F.explode("bands").alias("key"), "node")
-    shared = scratch.write(keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("key"), "shared")
-    left = scratch.write(keys.join(shared, "key").withColumn("label", F.col("node")), "bands")
-    near_nodes = scratch.write(left.select("node").distinct(), "near")
-    packed = scratch.write(signed.select("node", "packed").join(near_nodes, "node", "left_semi"), "packed")
-    done, labels, slices = None, None, 1
-    while not left.isEmpty():
-        # Heads come from all but the band's largest component: once those have met all of the band, one component is left.
-        sizes = left.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "label")).alias("m"))
-        others = left.join(sizes.select("key", F.col("m.label").alias("most")), "key").filter("label != most")
-        slice_of = F.pmod(F.xxhash64("node"), F.lit(slices)).alias("slice")
-        heads = others.groupBy("key", slice_of).agg(F.min(F.struct("node", "label")).alias("h"))
-        heads = scratch.write(heads.select("key", F.col("h.node").alias("head"), F.col("h.label").alias("head_label")), "heads")
-        met = left.join(heads, "key").filter("label != head_label")  # other heads too, and smaller texts
-        pairs = met.select(F.greatest("node", "head").alias("a"), F.least("node", "head").alias("b")).distinct()
-        if done is not None:
-            pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = scratch.write(pairs, "pairs")
-        pairs = _beside(pairs, signed, "sketch").mapInArrow(_alike(threshold - SLACK), "a binary, b binary")
-        pairs = scratch.write(pairs, "alike")
-        told = _beside(pairs, packed, "packed").mapInArrow(_compare(words), "a binary, b binary, least long, most long")
-        told = scratch.write(told.withColumn("near", F.col("least") >= F.lit(threshold) * F.col("most")), "compared")
-        done = told if done is None else done.unionByName(told)
-        # Only heads leave the band: they have met all of it. The rest, linked or not, meet again under more heads, but only
-        # in bands that still hold texts of different components (links inside a component add nothing).
-        rest = left.select("key", "node").join(heads.select("key", F.col("head").alias("node")), ["key", "node"], "left_anti")
-        if labels is None or not told.filter("near").isEmpty():
-            labels = components(done.filter("near").select("a", "b"), scratch)
-        rest = scratch.write(rest.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label")), "rest")
-        open_keys = scratch.write(rest.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-                                  .filter("low < high").select("key"), "open")
-        left, slices = scratch.write(rest.join(open_keys, "key"), "bands"), slices * 4
-    names = signed.select("node")
-    if done is not None:
-        names = names.join(labels, "node", "left")
-        names = names.select("node", F.coalesce("label", "node").alias("class"))
-    else:
-        names = names.select("node", F.col("node").alias("class"))
-    first = F.conv(F.hex(F.substring("class", 1, 8)), 16, -10).cast("long").bitwiseXOR(F.lit(_SIGN))
+    edges, labels = None, None
+
+    def linked(found: DataFrame) -> None:
+        nonlocal edges, labels
+        found = scratch.write(found, "links")
+        if not found.isEmpty():
+            edges = found if edges is None else edges.unionByName(found)
+            before, labels = labels, scratch.write(components(edges, scratch), "labels")
+            scratch.drop(before)
+
+    for low, n in ((1, min(first, bands)), (first + 1, bands - first)):
+        if n <= 0:
+            continue
+        entries = signed.select(F.explode(F.slice("bands", low, n)).alias("key"), "node", F.octet_length("packed").cast("long").alias("bytes"))
+        # Bands of one component are done; of bands with the same texts one is enough.
+        groups = _labelled(entries, labels).groupBy("key").agg(
+            F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.bit_xor(F.xxhash64("node")).alias("set"),
+            F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
+        groups = groups.groupBy("n", "bytes", "set").agg(F.min("key").alias("key"))
+        blocks = F.greatest(F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
+        groups = scratch.write(groups.select("key", blocks.alias("blocks")), "groups")
+        members = scratch.write(entries.select("key", "node").join(groups, "key"), "members")
+        block = F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block")
+        linked(_met(_labelled(members, labels).select("key", block, "node", "label"), signed, threshold, words))
+        wide = _labelled(members.filter("blocks > 1"), labels)
+        sizes = wide.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(
+            F.max(F.struct("n", "label")).alias("m"), F.sum("n").alias("all"), F.count("*").alias("labels")).filter("labels > 1")
+        sizes = scratch.write(sizes.select("key", F.col("m.label").alias("most"), F.ceil((F.col("all") - F.col("m.n")) / BLOCK_TEXTS).cast("int").alias("turns")), "wide")
+        if not sizes.isEmpty():
+            # Blocks of stragglers (``turn``) meet every block of the band: copies of both, one group each.
+            wide = wide.join(sizes, "key")
+            turn = F.pmod(F.xxhash64("node", F.lit(1)), F.col("turns"))
+            asked = wide.filter("label <> most").select("key", turn.alias("turn"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"), "blocks", "node", "label")
+            whole = wide.select("key", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).cast("long").alias("turn"), block.alias("b"), "blocks", "node", "label")
+            met = asked.unionByName(whole).select("key", (F.col("turn") * F.col("blocks") + F.col("b")).alias("block"), "node", "label").distinct()
+            linked(_met(met, signed, threshold, words))
+        scratch.drop(sizes)
+        scratch.drop(groups, members)
+    names = _labelled(signed.select("node"), labels).select("node", F.col("label").alias("class"))
+    first_of = F.conv(F.hex(F.substring("class", 1, 8)), 16, -10).cast("long").bitwiseXOR(F.lit(_SIGN))
     out = scratch.write(names.select(F.expr("substring(node, 9)").alias("digest"), "class",
-                                     F.when(first != _LAST, first).alias("class_id")), "classes")
+                                     F.when(first_of != _LAST, first_of).alias("class_id")), "classes")
     scratch.close(keep=1)
     return out
 
