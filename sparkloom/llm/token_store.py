@@ -20,13 +20,16 @@ follow each other by text; an empty table gives no shards and no rows.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -171,6 +174,18 @@ _PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_CHARS = {b: b if b in _PLAIN else 256 + sum(x not in _PLAIN for x in range(b)) for b in range(256)}
 
 
+@lru_cache(maxsize=4)
+def cuts_known(spec: str) -> bool:
+    """Whether the tokenizer is byte-level BPE with the pattern above and nothing before or after it: only then may texts be
+    cut at spaces and single words go to the bare model. Any other one encodes whole texts."""
+    t = json.loads(spec)
+    pre, model, post = t.get("pre_tokenizer") or {}, t["model"], t.get("post_processor")
+    level = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
+    plain = model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
+    special = all("<|" in x["content"] and not (x["lstrip"] or x["rstrip"] or x["single_word"]) for x in t.get("added_tokens", []))
+    return level and plain and special and not t.get("normalizer") and (post is None or post.get("type") == "ByteLevel")
+
+
 def _ids_of(new: list, spec: str) -> dict:
     """{part: its ids as bytes}. Single words go straight to the library's BPE model (they are what its own
     pattern cuts); anything else through its whole pipeline."""
@@ -185,22 +200,97 @@ def _ids_of(new: list, spec: str) -> dict:
     return out
 
 
+def _class(chars) -> str:
+    return "".join(f"\\x{{{ord(c):x}}}" for c in chars)
+
+
+_LOW = [chr(c) for c in range(0x250)]
+_GAP_CHARS = _class(chr(c) for c in range(0x3001) if chr(c).isspace())
+_OPENS, _ENDS = rf"\A(?:\z|[{_GAP_CHARS}])", rf"(?:\A|[{_GAP_CHARS}])\z"
+# A word and what follows it up to the fragment's end, neither letter, number nor space ("<" may open a special string).
+_SIMPLE = (rf"\A(?P<word> ?[{_class(c for c in _LOW if re.match(f'[{_LETTER}]', c))}]+)"
+           rf"(?P<rest>[{_class(c for c in _LOW if not re.match(f'[{_SPACE}{_LETTER}{_NUMBER}<]', c))}]*)\z")
+
+
+def _units(pieces: pa.Array, spaced: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """``fragments.fragments`` for byte-level BPE, in Arrow: (distinct fragments, number of each occurrence's, bounds per piece)."""
+    words = pc.split_pattern(pieces, " ")
+    offs = np.asarray(words.offsets).astype(np.int64)
+    offs = offs - offs[0]
+    code = words.flatten().dictionary_encode()
+    vocab, num = code.dictionary, np.asarray(code.indices).astype(np.int64)
+    ends, opens = (np.asarray(pc.match_substring_regex(vocab, x)).astype(bool) for x in (_ENDS, _OPENS))
+    first = np.zeros(len(num), bool)
+    first[offs[:-1]] = True
+    lead = np.ones(len(num), bool)
+    lead[offs[:-1]] = spaced
+    start = np.ones(len(num), bool)
+    start[1:] = first[1:] | ~(ends[num[:-1]] | opens[num[1:]])
+    heads = np.flatnonzero(start)
+    size = np.diff(np.r_[heads, len(num)])
+    plain = size == 1
+    key = (num * 2 + lead)[heads]
+    used = np.zeros(2 * len(vocab), bool)
+    used[key[plain]] = True
+    at = np.flatnonzero(used)
+    place = np.cumsum(used) - 1
+    blank = pc.if_else(pa.array((at & 1).astype(bool)), pa.scalar(" "), pa.scalar(""))
+    units = pc.binary_join_element_wise(blank, vocab.take(pa.array(at >> 1)), pa.scalar(""))
+    out = np.empty(len(heads), np.int64)
+    out[plain] = place[key[plain]]
+    extra: dict = {}
+    strings = vocab.to_pylist() if not plain.all() else []
+    for i in np.flatnonzero(~plain):
+        h = heads[i]
+        unit = (" " if lead[h] else "") + " ".join(strings[k] for k in num[h:h + size[i]])
+        out[i] = extra.setdefault(unit, len(units) + len(extra))
+    return pa.concat_arrays([units, pa.array(list(extra), pa.string())]), out, np.searchsorted(heads, offs)
+
+
+def _cut(units: pa.Array) -> tuple[list, np.ndarray, np.ndarray]:
+    """(distinct parts, part numbers of all fragments in order, bounds per fragment): ``parts`` of every fragment."""
+    found = pc.extract_regex(units, _SIMPLE)
+    fast = np.asarray(found.is_valid())
+    word, rest = (pc.struct_field(found, x).filter(pa.array(fast)) for x in ("word", "rest"))
+    more = np.asarray(pc.binary_length(rest)).astype(np.int64) > 0
+    slow = [parts(u) for u in units.filter(pa.array(~fast)).to_pylist()]
+    n = np.ones(len(units), np.int64)
+    n[fast] += more
+    n[~fast] = [len(x) for x in slow]
+    bounds = np.r_[0, np.cumsum(n)]
+    strings = pa.concat_arrays([word, rest.filter(pa.array(more)), pa.array([x for xs in slow for x in xs], pa.string())])
+    code = strings.dictionary_encode()
+    number = np.asarray(code.indices).astype(np.int64)
+    seq = np.empty(int(bounds[-1]), np.int64)
+    head = bounds[:-1][fast]
+    seq[head] = number[:len(word)]
+    seq[head[more] + 1] = number[len(word):len(word) + int(more.sum())]
+    seq[ragged_take(np.arange(len(seq)), bounds[:-1][~fast], n[~fast])] = number[len(word) + int(more.sum()):]
+    return code.dictionary.to_pylist(), seq, bounds
+
+
 def encode_pieces(pieces: pa.Array, continued: np.ndarray, spec: str, cache: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all pieces, tokens per piece) by the tokenizers library, a distinct fragment at a time."""
-    units, code, bounds = fr.fragments(pieces, continued, fr.ends_space, fr.opens_space)
-    cut = [parts(u) for u in units]
-    fresh = _ids_of(list({p for c in cut for p in c if p not in cache}), spec)
+    """(ids of all pieces, tokens per piece) by the tokenizers library, a distinct part of a distinct fragment at a time."""
+    if not cuts_known(spec):
+        got = [e.ids for e in fr.tokenizer(spec).encode_batch_fast(pieces.to_pylist(), add_special_tokens=False)]
+        return np.array([x for ids in got for x in ids], np.uint32), np.array([len(ids) for ids in got], np.int64)
+    if not len(pieces):
+        return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    units, code, bounds = _units(pieces, continued)
+    words, seq, cuts = _cut(units)
+    fresh = _ids_of([w for w in words if w not in cache], spec)
+    cells = [cache[w] if w in cache else fresh[w] for w in words]
     if len(cache) + len(fresh) <= CACHE:
         cache.update(fresh)
-        fresh = {}
-    cells = [cache[c[0]] if len(c) == 1 and c[0] in cache else b"".join([cache[p] if p in cache else fresh[p] for p in c]) for c in cut]
-    del cut, units
     size = np.array([len(c) >> 2 for c in cells], np.int64)
     flat = np.frombuffer(b"".join(cells), np.uint32)
     start = np.cumsum(size) - size
-    lens = size[code]
-    total = np.r_[0, np.cumsum(lens)]
-    return ragged_take(flat, start[code], lens), total[bounds[1:]] - total[bounds[:-1]]
+    del units, words, cells, fresh
+    n = np.diff(cuts)[code]
+    order = ragged_take(seq, cuts[code], n)
+    lens = size[order]
+    total = np.r_[0, np.cumsum(lens)][np.r_[0, np.cumsum(n)]]
+    return ragged_take(flat, start[order], lens), total[bounds[1:]] - total[bounds[:-1]]
 
 
 def write_shards(df: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id", text: str = "text",
@@ -213,7 +303,7 @@ def write_shards(df: DataFrame, path: str, tokenizer_path: str, id_col: str = "d
     ordered = rows.repartitionByRange(parts, "id").sortWithinPartitions("id", "text")
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, pid, seq = fr.seen("ids", hash(spec)), TaskContext.get().partitionId(), 0
+        cache, pid, seq = fr.seen("ids", spec), TaskContext.get().partitionId(), 0
         docs, ids, held = [], [], 0
 
         def close() -> pa.RecordBatch:
@@ -228,7 +318,8 @@ def write_shards(df: DataFrame, path: str, tokenizer_path: str, id_col: str = "d
             number = np.asarray(b["id"].fill_null(0)).astype(np.int64)
             null = np.asarray(b["id"].is_null().cast(pa.uint8()))
             arr, at = b["text"], 0
-            for who, pieces, continued in fr.balanced(arr, slice_bytes):
+            whole = 0 if cuts_known(spec) else int(pc.max(pc.binary_length(arr)).as_py() or 0)  # texts that may not be cut
+            for who, pieces, continued in fr.balanced(arr, max(slice_bytes, whole)):
                 got, n = encode_pieces(pieces, continued, spec, cache)
                 if len(who) == 1 and who[0] == at - 1:  # a further piece of the text before: put it ahead of its end id
                     ids[-1] = np.concatenate([ids[-1][:-1], got, [np.uint32(end_id)]])

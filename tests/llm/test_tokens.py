@@ -122,3 +122,30 @@ def test_queries_on_the_given_table(spark):
         want[i] = (at, len(a), zlib.crc32(a.tobytes()))
         at += len(a)
     assert {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in queries.op4_token_store(spark, SF).collect()} == want
+
+
+def test_store_of_another_tokenizer_equals_its_library(spark):
+    texts = [*ODD_TEXTS, "Hello World, it's 10 o'clock", *noise(60, 9), "long text " * 3000]
+    path = shared_dir(spark, "shards-word")
+    token_store.write_shards(documents(spark, texts), path, WORD, slice_bytes=2000)
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in token_store.read_tokens(spark.read.schema(token_store.SHARDS).parquet(path)).collect()}
+    want = [np.array([*ids, 0], "<u4") for ids in library(WORD, texts)]
+    assert got == {i: (len(x), zlib.crc32(x.tobytes())) for i, x in enumerate(want)}
+    with open(WORD) as w, open(BYTE) as b:
+        assert not token_store.cuts_known(w.read()) and token_store.cuts_known(b.read())
+
+
+def test_parts_of_fragments_are_cut_as_one_by_one():
+    units = [" a", "a", "a,", " a.b", "a's", " \"a", "a<|endoftext|>", "a<b", "", " ", "1", " x1", "\n\n", "é!", "你好", " a?!)", "a\u0301", "\x00"]
+    words, seq, bounds = token_store._cut(pa.array(units))
+    assert [[words[k] for k in seq[x:y]] for x, y in zip(bounds[:-1], bounds[1:], strict=True)] == [token_store.parts(u) for u in units]
+
+
+def test_caches_of_a_worker_are_named_by_content_and_few():
+    fragments.release()
+    one = fragments.seen("a", "x")
+    one["k"] = 1
+    assert fragments.seen("a", "x") is one and fragments.seen("a", "y") == {}
+    fragments.seen("a", "z")
+    assert fragments.seen("a", "x") == {} and len(fragments._SEEN) == 2
+    fragments.release()
