@@ -25,21 +25,31 @@ class Scratch:
     """Intermediate tables of one operator run in the shared folder, removed once its result is written."""
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.paths = spark, []
+        self.spark, self.tables = spark, []
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = shared_dir(self.spark, name)
-        self.paths.append(path)
         df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def close(self, keep: int = 0) -> None:
-        """Remove all tables but the last ``keep`` written."""
+        self.tables.append((path, self.spark.read.schema(df.schema).parquet(path)))
+        return self.tables[-1][1]
+
+    def drop(self, *tables: DataFrame | None) -> None:
+        """Remove tables that ``write`` returned, as soon as what was made of them is written."""
+        gone = [(path, table) for path, table in self.tables if any(table is t for t in tables)]
+        self._remove([path for path, _ in gone])
+        self.tables = [(path, table) for path, table in self.tables if not any(table is t for t in tables)]
+
+    def close(self, keep: int = 0, forget: bool = True) -> None:
+        """Remove all tables but the last ``keep`` written, which stay for good unless ``forget`` is off."""
+        last = len(self.tables) - keep
+        self._remove([path for path, _ in self.tables[:last]])
+        self.tables = [] if forget else self.tables[last:]
+
+    def _remove(self, paths: list) -> None:
         context = self.spark.sparkContext
-        for path in self.paths[:len(self.paths) - keep]:
+        for path in paths:
             where = context._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
-        self.paths = []
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -51,6 +61,20 @@ def fold(key: Column, modulus: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % modulus
 
 
+def release_memory() -> None:
+    """In a Python worker: give back what earlier tasks left (fragment caches, Arrow's pool, freed heap)."""
+    import ctypes
+
+    from . import fragments
+
+    fragments.release()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc: the allocator keeps its own counsel
+        pass
+
+
 def text_bytes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(all bytes, offsets) of a string array without copying; nulls are empty texts."""
     if isinstance(arr, pa.ChunkedArray):

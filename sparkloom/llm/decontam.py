@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import Scratch
+
 PIECE = 1 << 20
 _TABLE = 22
 _ONE = np.int64(1) << 40
@@ -254,19 +256,30 @@ def _short(p: Patterns, piece: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
+_APART = 0xFFFFFFFE  # no code point
+
+
 def _leaks(p: Patterns, texts: list) -> dict:
-    """{(row, item): (passages, edits, start, end)}; edits, start and end of the best passage."""
-    parts, starts, at = [], [], 0
+    """{(row, item): (passages, edits, start, end)}; edits, start and end of the best passage.
+
+    Between two texts stand more separators than any passage may have edits; they match nothing, so no region reaches from one text to the next.
+    """
+    apart = np.full(int(p.budget.max(initial=0)) + 1, _APART, np.uint32)
+    parts, starts, size, at = [], [], [], 0
     for t in texts:
         c = _codes(normalise(t))
         starts.append(at)
-        parts += [c, np.zeros(1, np.uint32)]
-        at += len(c) + 1
+        size.append(len(c))
+        parts += [c, apart]
+        at += len(c) + len(apart)
     if not parts:
         return {}
-    starts = np.array(starts)
+    starts, size = np.array(starts), np.array(size)
     who, edits, start, end = matches(p, np.concatenate(parts)).T
-    row, item = np.searchsorted(starts, start, "right") - 1, p.item[who]
+    # A region may begin or end in separators (each one an edit): its text is the one it ends in, its places are that text's.
+    row = np.searchsorted(starts, start, "right") - 1
+    row = np.where(start >= starts[row] + size[row], np.minimum(row + 1, len(starts) - 1), row)
+    start, end, item = np.maximum(start, starts[row]), np.minimum(end, starts[row] + size[row]), p.item[who]
     order = np.lexsort((who, end, start, edits, item, row))
     who, edits, start, end, row, item = (x[order] for x in (who, edits, start, end, row, item))
     passages = np.unique(np.stack([row, item, who]), axis=1)[:2]
@@ -287,18 +300,18 @@ def _slices(texts: list, size: int = 1 << 21) -> Iterator[tuple[int, list]]:
         yield a, texts[a:]
 
 
-def _parts(benchmark: DataFrame, item_id: str, text: str, part_chars: int) -> Iterator[tuple[list, list]]:
-    """The benchmark in parts of about that many characters: (ids, texts) each."""
+def _parts(benchmark: DataFrame, item_id: str, text: str, part_chars: int) -> Iterator[tuple[list, list, bool]]:
+    """The benchmark in parts of about that many characters: (ids, texts, whether it is the only part) each."""
     items = benchmark.select(F.col(item_id).cast("long").alias("item"), F.col(text).cast("string").alias("text")).filter("text is not null")
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
     n = max(1, -(-chars // part_chars))
     for k in range(n):
         rows = (items if n == 1 else items.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == k)).orderBy("item", "text").collect()
-        yield [r["item"] for r in rows], [r["text"] for r in rows]
+        yield [r["item"] for r in rows], [r["text"] for r in rows], n == 1
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_id: str = "item_id",
-               item_text: str = "text", part_chars: int = 20_000_000, **how) -> DataFrame:
+               item_text: str = "text", part_chars: int = 1_000_000, **how) -> DataFrame:
     """(id, item_id, n_passages, edits, start, end): one row per document and item that it leaks.
 
     Places count characters of the normalised text, for the passage with the fewest edits.
@@ -308,8 +321,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     rows = docs.select(F.col(id_col).alias(id_col), F.col(text).cast("string").alias("_text"))
     schema = rows.selectExpr(f"`{id_col}`", "cast(null as long) as item_id", "0L as n_passages", "0L as edits", "0L as start", "0L as `end`").schema
     arrow = to_arrow_schema(schema)
-    out = None
-    for ids, texts in _parts(benchmark, item_id, item_text, part_chars):
+    out, scratch = None, Scratch(docs.sparkSession)
+    for ids, texts, alone in _parts(benchmark, item_id, item_text, part_chars):
         p = compile_patterns(texts, **how)
 
         def look(batches: Iterator[pa.RecordBatch], p=p, ids=ids) -> Iterator[pa.RecordBatch]:
@@ -322,14 +335,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                         yield pa.RecordBatch.from_arrays([b.column(0).take(at), *(pa.array(c, pa.int64()) for c in rest)], schema=arrow)
 
         part = rows.mapInArrow(look, schema)
+        if not alone:  # written part by part, so that one part's patterns are held at a time
+            part = scratch.write(part, "leaks")
         out = part if out is None else out.unionByName(part)
     return out
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
-               part_chars: int = 20_000_000, **how) -> DataFrame:
+               part_chars: int = 1_000_000, **how) -> DataFrame:
     """The rows of ``docs`` that leak no item, all columns as they are."""
-    for _, texts in _parts(benchmark, item_id, item_text, part_chars):
+    scratch = Scratch(docs.sparkSession)
+    for _, texts, alone in _parts(benchmark, item_id, item_text, part_chars):
         p = compile_patterns(texts, **how)
         place = docs.columns.index(text)
 
@@ -341,4 +357,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_i
                 yield b.filter(pa.array(~gone))
 
         docs = docs.mapInArrow(keep, docs.schema)
+        if not alone:
+            docs = scratch.write(docs, "no-leaks")
+            scratch.close(keep=1, forget=False)
     return docs

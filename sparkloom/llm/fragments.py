@@ -29,11 +29,20 @@ def tokenizer(spec: str):
 
 
 _SEEN: dict = {}
+_MOST = 2  # caches a worker keeps
 
 
 def seen(*key) -> dict:
-    """A cache that lives as long as the Python worker (module state, never shipped with a function)."""
-    return _SEEN.setdefault(key, {})
+    """A cache that lives as long as the Python worker (module state, never shipped with a function); ``key`` names what
+    it depends on by value. A worker keeps the last ``_MOST`` of them."""
+    _SEEN[key] = _SEEN.pop(key, {})
+    while len(_SEEN) > _MOST:
+        _SEEN.pop(next(iter(_SEEN)))
+    return _SEEN[key]
+
+
+def release() -> None:
+    _SEEN.clear()
 
 
 def _plain(text: str, at: int) -> bool:

@@ -1,8 +1,8 @@
 """Language ID: multinomial naive Bayes over hashed character n-grams.
 
-Training counts hashed 1-3-grams (code points, lower case) of a bounded sample of labelled texts:
-about ``per_language`` texts of each language, chosen by a hash of the row; class priors use all
-labelled rows. The matrix (features x languages) is at most ``2**bits * max_languages`` doubles and
+Training counts hashed 1-3-grams (code points, lower case) of a bounded sample of labelled texts: at most
+``per_language`` rows of each language, the least by a hash of id and text (so copies are drawn one by one, and a language
+of few, often copied texts is learned as well); class priors use all labelled rows. The matrix (features x languages) is at most ``2**bits * max_languages`` doubles and
 goes to the tasks with the function; more languages than that raise an error. Scoring is a map over
 Arrow batches: gather rows of the matrix, sum per text. No text is shuffled.
 
@@ -13,16 +13,14 @@ n-grams; repeated rows count as often as they occur; equal scores go to the smal
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_LETTER = re.compile(r"[^\W\d_]")
 _SLICE = 1 << 19
 
 
@@ -80,9 +78,10 @@ def _owners(owner: list) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(df: DataFrame, text: str = "text", lang: str = "lang", train: Column | None = None, bits: int = 15,
-        per_language: int = 4000, max_languages: int = 64, alpha: float = 0.5) -> NaiveBayes:
+        per_language: int = 4000, max_languages: int = 64, alpha: float = 0.5, id_col: str = "doc_id") -> NaiveBayes:
     """Learn from the rows where ``train`` holds and text and language are not null."""
-    rows = df.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"),
+    own = F.col(id_col) if id_col in df.columns else F.lit(None)
+    rows = df.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"), own.cast("string").alias("id"),
                      (F.lit(True) if train is None else train).alias("train"))
     rows = rows.filter("train and text is not null and lang is not null").drop("train")
     seen = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(max_languages + 1).collect()}
@@ -91,9 +90,12 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", train: Column | N
     names = sorted(seen)
     if not names:
         return NaiveBayes([], np.zeros(0), np.zeros((1 << bits, 0)), bits)
-    share = F.create_map(*[F.lit(x) for k in names for x in (k, min(1.0, per_language / seen[k]))])
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = rows.filter(draw < share[F.col("lang")])
+    # A draw by hash leaves about twice the rows wanted; the window keeps the bound whatever repeats.
+    share = F.create_map(*[F.lit(x) for k in names for x in (k, min(1.0, 2 * per_language / seen[k]))])
+    draw = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    order = Window.partitionBy("lang").orderBy("draw", "id", "text")
+    sample = rows.withColumn("draw", draw).filter(F.col("draw") < share[F.col("lang")])
+    sample = sample.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_language).select("text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(names), 1 << bits), np.int64)
@@ -118,7 +120,7 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", train: Column | N
 
 def score_texts(model: NaiveBayes, texts: list) -> tuple[list, np.ndarray]:
     """Predicted language and its posterior for each text (None allowed)."""
-    live = [bool(t) and _LETTER.search(t) is not None for t in texts]
+    live = [bool(t) and any(map(str.isalpha, t)) for t in texts]
     if not model.languages:
         return ["und"] * len(texts), np.zeros(len(texts))
     total = np.tile(model.prior, (len(texts), 1))

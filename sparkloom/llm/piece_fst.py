@@ -22,6 +22,7 @@ rows; decoding gives the text back but for U+2581, which reads back as a space.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -330,6 +331,8 @@ def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text: str = "
     from pyspark.sql.pandas.types import to_arrow_schema
 
     shared = df.sparkSession.sparkContext.broadcast(compile_model(model_path))
+    with open(model_path, "rb") as f:
+        name = hashlib.sha256(f.read()).hexdigest()
     rows = df.select(F.col(id_col).alias(id_col), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     schema = rows.selectExpr(f"`{id_col}`", *["text"] * keep_text, *["array(0) as ids"] * keep_ids, "0L as n_bytes", "0L as n_tokens",
                              "0L as n_byte_tokens", "0L as ids_crc32", "true as round_trip").schema
@@ -337,7 +340,7 @@ def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        cache, decode_ids = fr.seen("pieces", id(m)), Decoder(m)
+        cache, decode_ids = fr.seen("pieces", name), Decoder(m)
         is_byte = np.zeros(len(m.pieces), bool)
         is_byte[m.bytes_of] = True
         for b in batches:

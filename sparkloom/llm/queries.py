@@ -91,7 +91,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     part = fold(F.col("doc_id"), 3)
     model = langid.fit(docs, train=part != 1)
-    rows = docs.select("doc_id", (part == 1).alias("held_out"), "text")
+    rows = docs.select("doc_id", F.coalesce(part == 1, F.lit(True)).alias("held_out"), "text")
     return langid.predict(rows, model).drop("text")
 
 
@@ -100,11 +100,11 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return piece_fst.encode(_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"), keep_ids=False)
+    return piece_fst.encode(_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = token_count.token_counts(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+    counted = token_count.token_counts(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"), white_space="dropped")
     return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 

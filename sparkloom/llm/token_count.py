@@ -61,7 +61,7 @@ def piece_lengths(pieces: pa.Array, spec: str | bytes, white_space: str | None,
 
 
 def token_counts(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text: str = "text",
-                 white_space: str | None = "dropped") -> DataFrame:
+                 white_space: str | None = None) -> DataFrame:
     """(id, n_bytes, n_tokens) for every row."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -77,7 +77,7 @@ def token_counts(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     arrow = to_arrow_schema(schema)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = fr.seen("lengths", hash(spec), white_space)
+        cache = fr.seen("lengths", spec, white_space)
         for b in batches:
             arr = b["_text"].fill_null("")
             n = np.zeros(len(arr), np.int64)

@@ -128,3 +128,29 @@ def test_quotes_of_a_passage_are_found_at_every_offset():
         got = decontam._leaks(p, [f"0123 {t.strip()} 4567" for t in quotes + noisy])
         assert set(got) == {(r, 1) for r in range(2 * len(quotes))}
     assert set(decontam._leaks(p, ["xtiny oney", "tin one", "a tiny\n ONE"])) == {(0, 2), (2, 2)}
+
+
+@pytest.mark.parametrize("order", [(0, 1), (1, 0)])
+@pytest.mark.parametrize("parts", [1, 2, 3])
+def test_a_passage_split_over_two_texts_is_in_neither(spark, order, parts):
+    rng = random.Random(8)
+    item = "".join(rng.choice("abcdefgh ") for _ in range(100)).replace("  ", "xy").strip().ljust(100, "q")
+    texts = ["some words before " + item[:55], item[55:] + " and some after", item[:97], item[4:], "tail " + item[:97]]
+    p = decontam.compile_patterns([item], step=1)
+    alone = [decontam._leaks(p, [t]) for t in texts]
+    assert [bool(x) for x in alone] == [False, False, True, True, True]
+    rows = [(n, texts[i]) for n, i in enumerate((*order, 2, *order, 3, 0, 3, 4, 1))]
+    together = decontam._leaks(p, [t for _, t in rows])
+    assert together == {(n, 0): v for n, t in rows for v in decontam._leaks(p, [t]).values()}
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    got = decontam.find_leaks(df, spark.createDataFrame([(7, item)], "item_id long, text string"), step=1).collect()
+    assert {(r.doc_id, r.item_id): (r.n_passages, r.edits, r.start, r.end) for r in got} == {(n, 7): v for (n, _), v in together.items()}
+
+
+def test_benchmark_in_parts_gives_the_same_leaks(spark):
+    items, texts = cases(6)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    asked = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    whole = sorted(map(tuple, decontam.find_leaks(df, asked).collect()))
+    assert sorted(map(tuple, decontam.find_leaks(df, asked, part_chars=300).collect())) == whole and whole
+    assert sorted(r.doc_id for r in decontam.drop_leaks(df, asked, part_chars=300).collect()) == sorted(set(range(len(texts))) - {r[0] for r in whole})

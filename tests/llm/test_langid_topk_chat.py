@@ -1,8 +1,10 @@
 """Language ID on held-out rows, exact top-k against brute force, chat formatting round trips."""
 
 import hashlib
+import math
 import random
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -41,6 +43,60 @@ def test_language_id_odd_rows(spark):
     assert {r.lang_pred for r in langid.predict(df, nothing).collect()} == {"und"}
 
 
+def plain_features(text, bits):
+    """The hashed 1-3-grams of one text, one by one."""
+    codes, mask = [ord(c) for c in text.lower()], (1 << 64) - 1
+    for n in (1, 2, 3):
+        for i in range(len(codes) - n + 1):
+            gram = codes[i:i + n]
+            if 0 in gram:
+                continue
+            h = gram[0] * 0x9E3779B97F4A7C15 & mask
+            for c in gram[1:]:
+                h = (h + c) * 0xD6E8FEB86659FD93 & mask
+            h = (h ^ h >> 29) * 0xBF58476D1CE4E5B9 & mask
+            yield h >> 64 - bits
+
+
+def test_language_id_against_brute_force_bayes(spark):
+    rows = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    learned = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1 and r[1] is not None and r[2] is not None]
+    names, bits = sorted({r[2] for r in learned}), 15
+    counts = {k: Counter() for k in names}
+    for _, t, k in learned:
+        counts[k].update(plain_features(t, bits))
+    total = {k: sum(counts[k].values()) + 0.5 * (1 << bits) for k in names}
+    prior = Counter(r[2] for r in learned)
+    got = {r.doc_id: r for r in queries.op6_language_id(spark, SF).collect()}
+    for i, t, _ in rows:
+        if not any(c.isalpha() for c in t or ""):
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        f = Counter(plain_features(t, bits))
+        log = {k: math.log(prior[k] / len(learned)) + sum(n * math.log((counts[k][x] + 0.5) / total[k]) for x, n in f.items()) for k in names}
+        best = max(names, key=lambda k: log[k])
+        assert got[i].lang_pred == best
+        assert got[i].score == pytest.approx(1 / sum(math.exp(v - log[best]) for v in log.values()), abs=1e-6)
+
+
+def test_language_id_signs_are_no_letters_and_null_ids_are_not_learned(spark):
+    learn = spark.createDataFrame([(0, "the cat", "en"), (1, "der hund", "de")], "doc_id long, text string, lang string")
+    assert langid.score_texts(langid.fit(learn), ["½", "²", "①", "ⅷ", "a½"])[0][:4] == ["und"] * 4
+
+
+def test_language_id_sample_is_bounded_whatever_repeats(spark):
+    rows = [(i, "same text in english", "en") for i in range(900)] + [(2000 + i, "immer derselbe text", "de") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df, per_language=50)
+    n = len(list(plain_features("same text in english", 15)))
+    # exactly 50 copies of either text were counted: weight of a feature that occurs once in the text
+    once = next(x for x, c in Counter(plain_features("same text in english", 15)).items() if c == 1)
+    k = model.languages.index("en")
+    assert model.weight[once, k] == pytest.approx(math.log((50 + 0.5) / (50 * n + 0.5 * (1 << 15))))
+    same = spark.createDataFrame([(7, "one id and text", "en")] * 500, "doc_id long, text string, lang string")
+    assert langid.fit(same, per_language=20).weight.max() <= math.log((20 * 3 + 0.5) / (20 * 10 + 0.5 * (1 << 15)))
+
+
 def test_language_id_slices_do_not_change_scores(monkeypatch):
     model = langid.NaiveBayes(["a", "b"], np.log([0.5, 0.5]), np.log(np.random.default_rng(0).random((1 << 8, 2))), 8)
     texts = ["some words here", "", None, "other é text", "z" * 50]

@@ -101,3 +101,22 @@ def test_query(spark, library):
     for r in got:
         want = library.encode(rows[r.doc_id])
         assert (r.n_tokens, r.ids_crc32, r.n_bytes) == (len(want), zlib.crc32(np.array(want, "<u4").tobytes()), len(rows[r.doc_id].encode()))
+
+
+def test_two_models_in_one_session(spark, library, tmp_path):
+    """A worker's cache belongs to a model's bytes, so a second model never gets the first one's ids."""
+    with open(PATH, "rb") as f:
+        data = f.read()
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    other = pb.ModelProto()
+    other.ParseFromString(data)
+    a, b = (next(i for i, p in enumerate(other.pieces) if p.piece == x) for x in ("\u2581the", "\u2581of"))
+    other.pieces[a].piece, other.pieces[b].piece = "\u2581of", "\u2581the"
+    path = str(tmp_path / "other.model")
+    with open(path, "wb") as f:
+        f.write(other.SerializeToString())
+    df = spark.createDataFrame([(i, "the cat of the house") for i in range(20)], "doc_id long, text string")
+    for p in (PATH, path, PATH, path):
+        want = sentencepiece.SentencePieceProcessor(model_file=p).encode("the cat of the house")
+        assert {tuple(r.ids) for r in piece_fst.encode(df, p).collect()} == {tuple(want)}
