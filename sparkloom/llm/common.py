@@ -61,13 +61,15 @@ def fold(key: Column, modulus: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % modulus
 
 
-def release_memory() -> None:
-    """In a Python worker: give back what earlier tasks left (fragment caches, Arrow's pool, freed heap)."""
+def release_memory(caches: bool = True) -> None:
+    """In a Python worker, which lives through many tasks: give back what earlier ones left (fragment caches, Arrow's pool,
+    freed heap). Called as a task or group begins."""
     import ctypes
 
     from . import fragments
 
-    fragments.release()
+    if caches:
+        fragments.release()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)

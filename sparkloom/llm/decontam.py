@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, release_memory
 
 PIECE = 1 << 20
 _TABLE = 22
@@ -326,6 +326,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         p = compile_patterns(texts, **how)
 
         def look(batches: Iterator[pa.RecordBatch], p=p, ids=ids) -> Iterator[pa.RecordBatch]:
+            release_memory()
             for b in batches:
                 for a, some in _slices(b["_text"].to_pylist()):
                     found = sorted(_leaks(p, some).items())
@@ -350,6 +351,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_i
         place = docs.columns.index(text)
 
         def keep(batches: Iterator[pa.RecordBatch], p=p, place=place) -> Iterator[pa.RecordBatch]:
+            release_memory()
             for b in batches:
                 gone = np.zeros(b.num_rows, bool)
                 for a, some in _slices(b.column(place).to_pylist()):

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import release_memory
+
 _SLICE = 1 << 19
 
 
@@ -146,6 +148,7 @@ def predict(df: DataFrame, model: NaiveBayes, text: str = "text", pred: str = "l
     arrow = to_arrow_schema(schema)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for b in batches:
             lang, p = score_texts(model, b.column(b.schema.get_field_index(text)).to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(p, pa.float64())],

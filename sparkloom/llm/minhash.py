@@ -38,13 +38,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, mix64, ragged_take
+from .common import Scratch, mix64, ragged_take, release_memory
 from .components import components
 
 U = np.uint64
 _MASK = (1 << 64) - 1
 _LAST = np.iinfo(np.int64).max
-SLICE_BYTES = 3 << 20  # text signed at a time
+SLICE_BYTES = 2 << 20  # text signed at a time
 BLOCK_TEXTS, BLOCK_BYTES = 640, 2 << 20  # a block of a band, compressed
 _SIGNED = "node binary, first_id long, bands array<long>, packed binary"
 
@@ -140,6 +140,7 @@ def similarity(a: tuple, b: tuple) -> tuple[int, int]:
 
 def _sign(bands: int, rows: int, words: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         press = zstandard.ZstdCompressor(level=1)
         for b in batches:
             size = np.asarray(pc.binary_length(b["text"])).astype(np.int64)
@@ -239,6 +240,7 @@ def links(e: np.ndarray, bounds: np.ndarray, label: np.ndarray, threshold: float
 def _solve(threshold: float, words: int):
     """(a, b): the links of every block; rows (key, block, node, label, packed) come sorted by (key, block, node)."""
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         open_, held, size = zstandard.ZstdDecompressor(), [], 0
 
         def told() -> pa.RecordBatch:
@@ -338,7 +340,7 @@ def near_duplicates(df: DataFrame, threshold: float = 0.8, words: int = 5, bands
         blocks = F.greatest(F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
         groups = scratch.write(groups.select("key", blocks.alias("blocks")), "groups")
         members = scratch.write(entries.select("key", "node").join(groups, "key"), "members")
-        block = F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block")
+        block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")
         linked(_met(_labelled(members, labels).select("key", block, "node", "label"), signed, threshold, words))
         wide = _labelled(members.filter("blocks > 1"), labels)
         sizes = wide.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(
@@ -347,10 +349,10 @@ def near_duplicates(df: DataFrame, threshold: float = 0.8, words: int = 5, bands
         if not sizes.isEmpty():
             # Blocks of stragglers (``turn``) meet every block of the band: copies of both, one group each.
             wide = wide.join(sizes, "key")
-            turn = F.pmod(F.xxhash64("node", F.lit(1)), F.col("turns"))
+            turn = F.pmod(F.xxhash64("node", F.lit(1)), F.col("turns")).cast("int")
             asked = wide.filter("label <> most").select("key", turn.alias("turn"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"), "blocks", "node", "label")
-            whole = wide.select("key", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).cast("long").alias("turn"), block.alias("b"), "blocks", "node", "label")
-            met = asked.unionByName(whole).select("key", (F.col("turn") * F.col("blocks") + F.col("b")).alias("block"), "node", "label").distinct()
+            whole = wide.select("key", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), block.alias("b"), "blocks", "node", "label")
+            met = asked.unionByName(whole).select("key", (F.col("turn").cast("long") * F.col("blocks") + F.col("b")).alias("block"), "node", "label").distinct()
             linked(_met(met, signed, threshold, words))
         scratch.drop(sizes)
         scratch.drop(groups, members)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import fragments as fr
-from .common import ragged_take
+from .common import ragged_take, release_memory
 
 SPACE = "▁"
 _NEVER = np.iinfo(np.int32).max
@@ -339,6 +339,7 @@ def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text: str = "
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory(caches=False)
         m = shared.value
         cache, decode_ids = fr.seen("pieces", name), Decoder(m)
         is_byte = np.zeros(len(m.pieces), bool)

@@ -200,3 +200,49 @@ def test_unlike_texts_of_one_band_all_meet(spark):
     want, largest = band_classes(texts, 1, 2)
     assert largest > 150
     assert found_classes(spark, texts, bands=1, rows=2) == want
+
+
+@pytest.mark.parametrize("size", [8, 60])
+def test_bands_of_many_blocks_lose_no_link(spark, monkeypatch, size):
+    """Blocks of a few texts: what one block does not hold, stragglers and other blocks must still link."""
+    monkeypatch.setattr(minhash, "BLOCK_TEXTS", size)
+    texts = chains(3, 30, 4)
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(166)]
+    for p in range(60):
+        for _ in range(2):
+            t = list(base)
+            t[10], t[40], t[80], t[120] = f"pair{p}", *(f"w{rng.randrange(10**6)}" for _ in range(3))
+            texts.append((1000 + len(texts), " ".join(t)))
+    want, largest = band_classes(texts, 2, 2)
+    assert largest > 2 * size or size > 8
+    assert found_classes(spark, texts, bands=2, rows=2, first=1) == want
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_overlaps_by_matrix_product(monkeypatch, seed):
+    rng = random.Random(seed)
+    monkeypatch.setattr(minhash, "_COMMON", rng.choice([2, 4, 16]))
+    monkeypatch.setattr(minhash, "_COLUMNS", rng.choice([3, 1024]))
+    texts = [" ".join(rng.choices("abcd", k=rng.randrange(1, 60))) for _ in range(rng.randrange(1, 40))]
+    e, bounds = minhash.elements(*minhash.bags(pa.array(texts), 2))
+    got = minhash.overlaps(e, bounds)
+    for i in range(len(texts)):
+        for j in range(len(texts)):
+            assert got[i, j] == (sum((bag(texts[i], 2) & bag(texts[j], 2)).values()) if i < j else 0)
+    label = np.array([rng.randrange(len(texts)) for _ in texts])
+    pairs = minhash.links(e, bounds, label, .5)
+    parent = list(range(len(texts)))
+
+    def components_of(edges):
+        own = {int(k): int(k) for k in label}
+        while True:
+            before = dict(own)
+            for i, j in edges:
+                low = min(own[int(label[i])], own[int(label[j])])
+                own = {k: low if v in (own[int(label[i])], own[int(label[j])]) else v for k, v in own.items()}
+            if own == before:
+                return own
+
+    near = [(i, j) for i in parent for j in parent if i < j and jaccard(bag(texts[i], 2), bag(texts[j], 2)) >= .5]
+    assert components_of(pairs) == components_of(near) and len(pairs) < max(len(set(label.tolist())), 1)
