@@ -5,6 +5,7 @@ from conftest import lines_df
 from sparkloom.operators import keyed
 from sparkloom.sources import readers
 
+# Sample lines whose results are held to.
 WORD_LINES = ["cat, 1", "dog, 5", "and, 1", "jump, 3", "tree, 2", "cat, 5", "dog, 2", "and, 2", "cat, 9", "and, 6"]
 
 
