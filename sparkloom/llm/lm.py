@@ -1,25 +1,28 @@
 """LM scoring with a weighted backoff automaton.
 
-The model is a bigram model with Dirichlet smoothing over add-one unigrams, learned from all training
-texts: with c over training tokens, N tokens and V distinct ones,
+The model is an n-gram model of any ``order`` from 2 with Dirichlet smoothing at every level down to add-one unigrams,
+learned from all training texts: with c over training tokens, N tokens and V distinct ones, and h' the history h
+without its first word,
 
-    P(x) = (c(x) + 1) / (N + V + 1)          P(x | h) = (c(h x) + mu P(x)) / (c(h) + mu)
+    P(x) = (c(x) + 1) / (N + V + 1)          P(x | h) = (c(h x) + mu P(x | h')) / (c(h) + mu)
 
-As an automaton: a state per history word and the root (no history); from a state an arc per seen
-bigram, weighing log10 P(x | h), to the state of x; else the failure arc to the root, weighing
-log10(mu / (c(h) + mu)), where every known word has an arc log10 P(x). One left-to-right traversal
-carries the state and adds up the weights.
+As an automaton: a state per seen history of up to ``order - 1`` words (a text's start counts as one) and the root (no
+history); from a state an arc per seen n-gram, weighing log10 P(x | h), to the longest seen history that ends with x;
+else the failure arc to the state of h', weighing log10(mu / (c(h) + mu)), down to the root, where every word has an arc
+log10 P(x). One left-to-right traversal carries the state and adds up the weights.
 
 No task needs the whole model. Documents live in blocks (a fixed hash of the row; one exchange that
 Spark reuses), counts in buckets: a block sends its distinct words with their training counts, once
-each, and gets back the corpus counts and exact word numbers; then the same for its distinct bigrams;
-then it builds the automaton of just its own words and bigrams and scores its documents. Frequent
-words and bigrams are thus summed per block before each exchange. The word counts are written to the
-shared folder (the totals N and V need all of them before any score).
+each, and gets back the corpus counts and exact word numbers; then the same for its distinct n-grams of all levels at
+once, as word numbers; then it builds the automaton of just its own words and n-grams and scores its documents. Frequent
+words and n-grams are thus summed per block before each exchange. The word counts are written to the
+shared folder (the totals N and V need all of them before any score). A block holds about ``BLOCK_BYTES`` of text, or
+less where the session has more shuffle partitions than that needs.
 
 Defined cases: a null text is empty (its only token is the end); a text's words are the runs of
 bytes other than ASCII white space, ASCII letters in lower case; rows that repeat an id are texts of
-their own; with nothing to learn from N = V = 0; an empty table gives no rows.
+their own; a very long text is one block's, whole, and is read in lanes side by side; with nothing to learn from
+N = V = 0; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -39,38 +42,49 @@ from .common import mix64, shuffle_partitions
 
 END = ""  # no word is empty
 LANE = 64
+#: Text of a block: about 3 million tokens, some 200 bytes each while their n-grams are sorted.
+BLOCK_BYTES = 16 << 20
 _WORDS = "bucket int, block int, words binary, counts binary"
 _KNOWN = "block int, bucket int, counts binary, numbers binary, n long, v long"
-_PAIRS = "bucket int, block int, a binary, b binary, counts binary"
+_GRAMS = "bucket int, block int, level int, words binary, counts binary"
 _SEEN = "block int, bucket int, kind int, a binary, b binary"
 
 
 class BackoffAutomaton:
-    """States 0 (root) and 1..S (histories); arcs sorted by (state, word); failure arcs lead to the root."""
+    """States 0 (root) and 1..S (histories); arcs sorted by (state, word); failure arcs lead to ``back`` (the root without it)."""
 
     def __init__(self, root_weight: np.ndarray, root_target: np.ndarray, arc_state: np.ndarray, arc_word: np.ndarray,
-                 arc_weight: np.ndarray, arc_target: np.ndarray, fail_weight: np.ndarray):
+                 arc_weight: np.ndarray, arc_target: np.ndarray, fail_weight: np.ndarray,
+                 back: np.ndarray | None = None, order: int = 2):
         self.words = len(root_weight)
         key = arc_state * self.words + arc_word
-        order = np.argsort(key)
-        self.key, self.weight, self.target = key[order], arc_weight[order], arc_target[order]
+        by_key = np.argsort(key)
+        self.key, self.weight, self.target = key[by_key], arc_weight[by_key], arc_target[by_key]
         self.root_weight, self.root_target, self.fail = root_weight, root_target, fail_weight
+        self.back = np.zeros(len(fail_weight), np.int64) if back is None else back
+        self.order = order
 
     def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(weights, next states) after reading one word from each state."""
-        key = state * self.words + word
-        at = np.searchsorted(self.key, key)
-        at[at == len(self.key)] = 0
-        hit = (self.key[at] == key) & (state > 0) if len(self.key) else np.zeros(len(state), bool)
-        weight = self.fail[state] + self.root_weight[word]
-        after = self.root_target[word]
-        weight[hit] = self.weight[at[hit]]
-        after[hit] = self.target[at[hit]]
+        weight, after = self.root_weight[word], self.root_target[word]
+        fallen = np.zeros(len(state))
+        live = np.arange(len(state))
+        for _ in range(self.order - 1):  # no state is further from the root
+            key = state * self.words + word[live]
+            at = np.searchsorted(self.key, key)
+            at[at == len(self.key)] = 0
+            hit = (self.key[at] == key) & (state > 0) if len(self.key) else np.zeros(len(live), bool)
+            done, arc = live[hit], at[hit]
+            weight[done], after[done] = fallen[done] + self.weight[arc], self.target[arc]
+            live, state = live[~hit], state[~hit]
+            fallen[live] += self.fail[state]
+            state = self.back[state]
+        weight[live] += fallen[live]
         return weight, after
 
     def traverse(self, words: np.ndarray, bounds: np.ndarray, start: int) -> np.ndarray:
         """Weight of every token. Texts run in lanes of ``LANE`` tokens side by side; a lane inside a text
-        reads the token before it first, which leads to the same state as reading the text from its start."""
+        reads the ``order - 1`` tokens before it first, which leads to the same state as reading the text from its start."""
         out = np.empty(len(words))
         lens = np.diff(bounds)
         lanes = -(-lens // LANE)
@@ -79,9 +93,11 @@ class BackoffAutomaton:
         end = np.minimum(at + LANE, np.repeat(bounds[1:], lanes))
         order = np.argsort(at - end, kind="stable")  # long lanes first
         at, end, inner = at[order], end[order], inner[order]
-        state = np.full(len(at), start, np.int64)
-        warm = np.flatnonzero(inner)
-        state[warm] = self.step(np.zeros(len(warm), np.int64), words[at[warm] - 1])[1]
+        read = inner * LANE  # tokens of the text before the lane
+        state = np.where(read >= self.order - 1, 0, start)
+        for j in range(self.order - 1, 0, -1):
+            warm = np.flatnonzero(read >= j)
+            state[warm] = self.step(state[warm], words[at[warm] - j])[1]
         size = end - at
         for i in range(int(size.max()) if len(size) else 0):
             live = int(np.searchsorted(-size, -i, "left"))  # lanes with more than i tokens
@@ -117,26 +133,39 @@ class _Texts:
         bucket = np.array([zlib.crc32(w.encode()) for w in self.vocab], np.int64)
         self.hash = bucket
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct (history, word) and their training counts; history ``len(vocab)`` is the start."""
+    def grams(self, order: int) -> list[dict]:
+        """Distinct n-grams of every level from 2 to ``order``: their history (an n-gram of the level below; a text's start is
+        word ``len(vocab)``), last word, suffix (the n-gram of the level below that they end with) and training count."""
         size = len(self.vocab) + 1
-        before = np.empty(len(self.words), np.int64)
-        before[1:] = self.words[:-1]
-        before[self.bounds[:-1]] = size - 1
-        key = before * size + self.words
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
-        count = np.add.reduceat(self.learn[order].astype(np.int64), heads) if len(heads) else heads
-        return key[heads] // size, key[heads] % size, count
+        place = np.arange(len(self.words)) - np.repeat(self.bounds[:-1], np.diff(self.bounds))
+        below, levels = self.words, []
+        for level in range(2, order + 1):
+            at = np.flatnonzero(place >= level - 2)
+            history = below[at - 1]
+            if level == 2:
+                history[place[at] == 0] = size - 1
+            key = history * size + self.words[at]
+            by_key = np.argsort(key)
+            key, at = key[by_key], at[by_key]
+            new = np.r_[True, key[1:] != key[:-1]] if len(key) else np.zeros(0, bool)
+            heads = np.flatnonzero(new)
+            count = np.add.reduceat(self.learn[at].astype(np.int64), heads) if len(heads) else heads
+            levels.append({"history": key[heads] // size, "word": key[heads] % size, "suffix": below[at[heads]], "count": count})
+            below = np.full(len(self.words), -1, np.int64)
+            below[at] = np.cumsum(new) - 1
+        return levels
 
 
 def _z(a: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a).tobytes())
+    """Numbers by byte planes, the high ones being nearly all zero, compressed."""
+    a = np.ascontiguousarray(a)
+    planes = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def _u(data: bytes, kind: str = "<i8") -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def _table(schema: str, rows: list) -> pa.Table:
@@ -192,66 +221,115 @@ def _read_known(t: _Texts, rows: list, buckets: int) -> tuple[np.ndarray, np.nda
     return count, number
 
 
-def _pair_keys(t: _Texts, number: np.ndarray, buckets: int):
-    a, b, count = t.pairs()
+def _hash(words: list[np.ndarray]) -> np.ndarray:
+    hashed = words[0].astype(np.uint64)
+    for w in words[1:]:
+        hashed = mix64(hashed * np.uint64(0x9E3779B97F4A7C15) + w.astype(np.uint64))
+    return hashed
+
+
+def _spelt(levels: list[dict], number: np.ndarray):
+    """Per level its n-grams as columns of word numbers (the start is -1)."""
     wide = np.r_[number, -1]
-    one, two = wide[a], wide[b]
-    bucket = (mix64(one.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + two.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-    return a, b, count, one, two, bucket
+    below = [wide]
+    for g in levels:
+        below = [*(w[g["history"]] for w in below), wide[g["word"]]]
+        yield below
+
+
+def _bucket(words: list[np.ndarray], buckets: int) -> np.ndarray:
+    return (_hash(words) % np.uint64(buckets)).astype(np.int64)
 
 
-def _send_pairs(buckets: int):
+def _send_grams(buckets: int, order: int):
     def send(key: tuple, table: pa.Table, known: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return _table(_PAIRS, [])
+            return _table(_GRAMS, [])
         t = _Texts(table)
         _, number = _read_known(t, known.to_pylist(), buckets)
-        _, _, count, one, two, bucket = _pair_keys(t, number, buckets)
-        return _table(_PAIRS, [(b, key[0].as_py(), _z(one[at]), _z(two[at]), _z(count[at].astype("<u4"))) for b, at in _by_bucket(bucket)])
+        levels = t.grams(order)
+        return _table(_GRAMS, [
+            (b, key[0].as_py(), level, _z(np.concatenate([w[at] for w in words])), _z(g["count"][at].astype("<u4")))
+            for level, (g, words) in enumerate(zip(levels, _spelt(levels, number), strict=True), 2)
+            for b, at in _by_bucket(_bucket(words, buckets))])
 
     return send
 
 
-def _sum_pairs(key: tuple, table: pa.Table) -> pa.Table:
-    rows = table.to_pylist()
-    one = [_u(r["a"]) for r in rows]
-    a, b = np.concatenate(one), np.concatenate([_u(r["b"]) for r in rows])
-    count = np.concatenate([_u(r["counts"], "<u4") for r in rows]).astype(np.int64)
-    order = np.lexsort((b, a))
+def _totals(words: list[np.ndarray], count: np.ndarray) -> np.ndarray:
+    """The sum of the counts of all rows that hold the same n-gram, per row."""
+    hashed = _hash(words)
+    order = np.argsort(hashed)
     new = np.ones(len(order), bool)
-    new[1:] = (a[order[1:]] != a[order[:-1]]) | (b[order[1:]] != b[order[:-1]])
+    new[1:] = np.logical_or.reduce([w[order[1:]] != w[order[:-1]] for w in words])
+    if (new[1:] & (hashed[order[1:]] == hashed[order[:-1]])).any():  # two n-grams of one hash: sort by the words themselves
+        order = np.lexsort(words[::-1])
+        new[1:] = np.logical_or.reduce([w[order[1:]] != w[order[:-1]] for w in words])
     heads = np.flatnonzero(new)
     total = np.empty(len(order), np.int64)
     total[order] = np.repeat(np.add.reduceat(count[order], heads), np.diff(np.r_[heads, len(order)]))
-    cut = np.cumsum([0, *map(len, one)])
-    return _table(_SEEN, [(r["block"], r["bucket"], 1, _z(total[x:y]), None) for r, x, y in zip(rows, cut[:-1], cut[1:], strict=True)])
+    return total
 
 
-def automaton(count: np.ndarray, starts: int, a: np.ndarray, b: np.ndarray, seen: np.ndarray, n: int, v: int, mu: float) -> BackoffAutomaton:
-    """Automaton over words 0..W-1 with corpus counts; history W is the start of a text (seen ``starts`` times)."""
-    uni = (count + 1) / (n + v + 1)
-    state = np.where(np.r_[count, starts] > 0, np.arange(1, len(count) + 2), 0)
-    history = np.r_[count, starts].astype(float)
-    live = seen > 0
-    a, b, seen = a[live], b[live], seen[live]
-    weight = np.log10((seen + mu * uni[b]) / (history[a] + mu))
-    fail = np.r_[0.0, np.log10(mu / (history + mu))]
-    return BackoffAutomaton(np.log10(uni), state[:-1], state[a], b, weight, state[b], fail)
+def _sum_grams(key: tuple, table: pa.Table) -> pa.Table:
+    out = []
+    for level in sorted(set(table["level"].to_pylist())):
+        rows = table.filter(pc.equal(table["level"], level)).to_pylist()
+        words = [_u(r["words"]).reshape(level, -1) for r in rows]
+        cut = np.cumsum([0, *(w.shape[1] for w in words)])
+        total = _totals(list(np.concatenate(words, axis=1)), np.concatenate([_u(r["counts"], "<u4") for r in rows]).astype(np.int64))
+        out += [(r["block"], r["bucket"], level, _z(total[x:y]), None) for r, x, y in zip(rows, cut[:-1], cut[1:], strict=True)]
+    return _table(_SEEN, out)
+
 
+def automaton(count: np.ndarray, starts: int, a: np.ndarray, b: np.ndarray, seen: np.ndarray, n: int, v: int, mu: float,
+              higher: tuple = ()) -> BackoffAutomaton:
+    """Automaton over words 0..W-1 with corpus counts; history W is the start of a text (seen ``starts`` times).
 
-def _score(buckets: int, n: int, v: int, starts: int, mu: float, schema: pa.Schema):
+    Bigrams are (a, b) with their counts ``seen``; each further level is (histories, last words, suffixes, counts), histories
+    and suffixes being places in the level below.
+    """
+    uni = (count + 1) / (n + v + 1)
+    order = 2 + len(higher)
+    history = np.r_[count, starts].astype(float)  # counts of the level below
+    state = np.where(history > 0, np.arange(1, len(count) + 2), 0)
+    root_target, prob, states = state[:-1], uni, len(count) + 2
+    fail, back = [np.r_[0.0, np.log10(mu / (history + mu))]], [np.zeros(states, np.int64)]
+    arcs = []
+    for level, (h, word, suffix, seen) in enumerate([(a, b, b, seen), *higher], 2):
+        live = seen > 0
+        prob = (seen + mu * prob[suffix]) / (history[h] + mu)
+        shorter = state[suffix]
+        if level < order:
+            own = np.zeros(len(seen), np.int64)
+            own[live] = states + np.arange(int(live.sum()))
+            states += int(live.sum())
+            fail.append(np.log10(mu / (seen[live] + mu)))
+            back.append(shorter[live])
+        else:
+            own = shorter
+        arcs.append((state[h[live]], word[live], np.log10(prob[live]), own[live]))
+        state, history = own, seen.astype(float)
+    return BackoffAutomaton(np.log10(uni), root_target, *(np.concatenate(x) for x in zip(*arcs, strict=True)), np.concatenate(fail),
+                            np.concatenate(back), order)
+
+
+def _score(buckets: int, order: int, n: int, v: int, starts: int, mu: float, schema: pa.Schema):
     def score(key: tuple, table: pa.Table, back: pa.Table) -> pa.Table:
         if not table.num_rows:
             return schema.empty_table()
         t = _Texts(table)
         rows = back.to_pylist()
         count, number = _read_known(t, [r for r in rows if r["kind"] == 0], buckets)
-        a, b, _, _, _, bucket = _pair_keys(t, number, buckets)
-        pairs = {r["bucket"]: r for r in rows if r["kind"] == 1}
-        seen = np.zeros(len(a), np.int64)
-        for k, at in _by_bucket(bucket):
-            seen[at] = _u(pairs[k]["a"])
-        model = automaton(count, starts, a, b, seen, n, v, mu)
+        levels = t.grams(order)
+        for level, (g, words) in enumerate(zip(levels, _spelt(levels, number), strict=True), 2):
+            got = {r["bucket"]: r["a"] for r in rows if r["kind"] == level}
+            g["seen"] = np.zeros(len(g["word"]), np.int64)
+            for k, at in _by_bucket(_bucket(words, buckets)):
+                g["seen"][at] = _u(got[k])
+        first, *rest = levels
+        model = automaton(count, starts, first["history"], first["word"], first["seen"], n, v, mu,
+                          tuple((g["history"], g["word"], g["suffix"], g["seen"]) for g in rest))
         begin = len(t.vocab) + 1 if starts else 0
         weight = model.traverse(t.words, t.bounds, begin)
         heads = t.bounds[:-1]
@@ -262,14 +340,17 @@ def _score(buckets: int, n: int, v: int, starts: int, mu: float, schema: pa.Sche
     return score
 
 
-def score_texts(df: DataFrame, train: Column, id_col: str = "doc_id", text: str = "text", mu: float = 4.0) -> DataFrame:
+def score_texts(df: DataFrame, train: Column, id_col: str = "doc_id", text: str = "text", mu: float = 4.0, order: int = 2) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row; learns where ``train`` holds."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    if order < 2:
+        raise ValueError("order must be 2 at least")
     spark = df.sparkSession
-    blocks = buckets = 2 * shuffle_partitions(spark)
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
                      F.coalesce(train, F.lit(False)).alias("train"))
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("bytes"), F.count_if("train").alias("starts")).first()
+    blocks = buckets = max(2 * shuffle_partitions(spark), -(-size["bytes"] // BLOCK_BYTES))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int"))
     by_block = rows.groupBy("block")
     path = shared_dir(spark, "lm-words")
@@ -277,12 +358,11 @@ def score_texts(df: DataFrame, train: Column, id_col: str = "doc_id", text: str
         .write.mode("overwrite").parquet(path)
     known = spark.read.schema(_KNOWN).parquet(path)
     total = known.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("v"), F.lit(0)).alias("v")).first()
-    starts = rows.filter("train").count()
     known = known.select("block", "bucket", F.lit(0).alias("kind"), F.col("counts").alias("a"), F.col("numbers").alias("b"))
-    pairs = by_block.cogroup(known.groupBy("block")).applyInArrow(_send_pairs(buckets), _PAIRS)
-    seen = pairs.groupBy("bucket").applyInArrow(_sum_pairs, _SEEN)
+    grams = by_block.cogroup(known.groupBy("block")).applyInArrow(_send_grams(buckets, order), _GRAMS)
+    seen = grams.groupBy("bucket").applyInArrow(_sum_grams, _SEEN)
     schema = df.select(F.col(id_col).cast("long").alias(id_col)).selectExpr(
         "*", "false as held_out", "0L as n_tokens", "0L as n_known", "0L as train_tokens", "0D as base_score", "0D as score").schema
     back = known.unionByName(seen).groupBy("block")
     return by_block.cogroup(back).applyInArrow(
-        _score(buckets, total["n"], total["v"], starts, mu, to_arrow_schema(schema)), schema)
+        _score(buckets, order, total["n"], total["v"], size["starts"], mu, to_arrow_schema(schema)), schema)

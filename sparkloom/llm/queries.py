@@ -84,7 +84,7 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.score_texts(_table(spark, sf_dir, "documents"), train=fold(F.col("doc_id"), 7) != 2)
+    return lm.score_texts(_table(spark, sf_dir, "documents"), train=fold(F.col("doc_id"), 7) != 2, order=3)
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
