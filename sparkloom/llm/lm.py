@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.session import shared_dir
 
-from .common import mix64, shuffle_partitions
+from .common import mix64, release_memory, shuffle_partitions
 
 END = ""  # no word is empty
 LANE = 64
@@ -124,6 +124,7 @@ class _Texts:
             self.vocab.append(END)
         n = len(offs) - 1
         self.bounds = inner + np.arange(n + 1)
+        del flat, split, code
         self.words = np.full(len(number) + n, self.vocab.index(END), np.int64)
         inside = np.ones(len(self.words), bool)
         inside[self.bounds[1:] - 1] = False
@@ -147,6 +148,7 @@ class _Texts:
             key = history * size + self.words[at]
             by_key = np.argsort(key)
             key, at = key[by_key], at[by_key]
+            del by_key, history
             new = np.r_[True, key[1:] != key[:-1]] if len(key) else np.zeros(0, bool)
             heads = np.flatnonzero(new)
             count = np.add.reduceat(self.learn[at].astype(np.int64), heads) if len(heads) else heads
@@ -185,6 +187,7 @@ def _by_bucket(bucket: np.ndarray):
 
 def _send_words(buckets: int):
     def send(key: tuple, table: pa.Table) -> pa.Table:
+        release_memory()
         t = _Texts(table)
         count = np.bincount(t.words[t.learn], minlength=len(t.vocab))
         return _table(_WORDS, [
@@ -237,21 +240,37 @@ def _spelt(levels: list[dict], number: np.ndarray):
         yield below
 
 
-def _bucket(words: list[np.ndarray], buckets: int) -> np.ndarray:
-    return (_hash(words) % np.uint64(buckets)).astype(np.int64)
+def _dealt(words: list[np.ndarray], buckets: int):
+    """(bucket, its n-grams by their first word), by a hash of the whole n-gram: no word or history is hot."""
+    order = np.argsort(words[0], kind="stable")
+    bucket = (_hash(words) % np.uint64(buckets)).astype(np.int64)
+    for b, at in _by_bucket(bucket[order]):
+        yield b, order[at]
+
+
+def _pack(words: list[np.ndarray], at: np.ndarray) -> bytes:
+    """Columns of some n-grams, the first (ascending) as differences."""
+    return _z(np.concatenate([np.diff(words[0][at], prepend=0), *(w[at] for w in words[1:])]))
+
+
+def _unpack(data: bytes, level: int) -> np.ndarray:
+    words = _u(data).reshape(level, -1).copy()
+    np.cumsum(words[0], out=words[0])
+    return words
 
 
 def _send_grams(buckets: int, order: int):
     def send(key: tuple, table: pa.Table, known: pa.Table) -> pa.Table:
+        release_memory()
         if not table.num_rows:
             return _table(_GRAMS, [])
         t = _Texts(table)
         _, number = _read_known(t, known.to_pylist(), buckets)
         levels = t.grams(order)
         return _table(_GRAMS, [
-            (b, key[0].as_py(), level, _z(np.concatenate([w[at] for w in words])), _z(g["count"][at].astype("<u4")))
+            (b, key[0].as_py(), level, _pack(words, at), _z(g["count"][at].astype("<u4")))
             for level, (g, words) in enumerate(zip(levels, _spelt(levels, number), strict=True), 2)
-            for b, at in _by_bucket(_bucket(words, buckets))])
+            for b, at in _dealt(words, buckets)])
 
     return send
 
@@ -272,10 +291,11 @@ def _totals(words: list[np.ndarray], count: np.ndarray) -> np.ndarray:
 
 
 def _sum_grams(key: tuple, table: pa.Table) -> pa.Table:
+    release_memory()
     out = []
     for level in sorted(set(table["level"].to_pylist())):
         rows = table.filter(pc.equal(table["level"], level)).to_pylist()
-        words = [_u(r["words"]).reshape(level, -1) for r in rows]
+        words = [_unpack(r["words"], level) for r in rows]
         cut = np.cumsum([0, *(w.shape[1] for w in words)])
         total = _totals(list(np.concatenate(words, axis=1)), np.concatenate([_u(r["counts"], "<u4") for r in rows]).astype(np.int64))
         out += [(r["block"], r["bucket"], level, _z(total[x:y]), None) for r, x, y in zip(rows, cut[:-1], cut[1:], strict=True)]
@@ -316,6 +336,7 @@ def automaton(count: np.ndarray, starts: int, a: np.ndarray, b: np.ndarray, seen
 
 def _score(buckets: int, order: int, n: int, v: int, starts: int, mu: float, schema: pa.Schema):
     def score(key: tuple, table: pa.Table, back: pa.Table) -> pa.Table:
+        release_memory()
         if not table.num_rows:
             return schema.empty_table()
         t = _Texts(table)
@@ -325,11 +346,12 @@ def _score(buckets: int, order: int, n: int, v: int, starts: int, mu: float, sch
         for level, (g, words) in enumerate(zip(levels, _spelt(levels, number), strict=True), 2):
             got = {r["bucket"]: r["a"] for r in rows if r["kind"] == level}
             g["seen"] = np.zeros(len(g["word"]), np.int64)
-            for k, at in _by_bucket(_bucket(words, buckets)):
+            for k, at in _dealt(words, buckets):
                 g["seen"][at] = _u(got[k])
         first, *rest = levels
         model = automaton(count, starts, first["history"], first["word"], first["seen"], n, v, mu,
                           tuple((g["history"], g["word"], g["suffix"], g["seen"]) for g in rest))
+        del levels, first, rest, g, words, got, rows
         begin = len(t.vocab) + 1 if starts else 0
         weight = model.traverse(t.words, t.bounds, begin)
         heads = t.bounds[:-1]
