@@ -46,7 +46,7 @@ LANE = 64
 BLOCK_BYTES = 16 << 20
 _WORDS = "bucket int, block int, words binary, counts binary"
 _KNOWN = "block int, bucket int, counts binary, numbers binary, n long, v long"
-_GRAMS = "bucket int, block int, level int, words binary, counts binary"
+_GRAMS = "bucket int, block int, words array<binary>, counts array<binary>"  # an entry per level, empty where none
 _SEEN = "block int, bucket int, kind int, a binary, b binary"
 
 
@@ -171,7 +171,7 @@ def _u(data: bytes, kind: str = "<i8") -> np.ndarray:
 
 
 def _table(schema: str, rows: list) -> pa.Table:
-    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<binary>": pa.list_(pa.binary())}
     fields = [f.split() for f in schema.split(", ")]
     cols = list(zip(*rows, strict=True)) if rows else [[] for _ in fields]
     return pa.table({n: pa.array(c, kinds[k]) for (n, k), c in zip(fields, cols, strict=True)})
@@ -267,10 +267,11 @@ def _send_grams(buckets: int, order: int):
         t = _Texts(table)
         _, number = _read_known(t, known.to_pylist(), buckets)
         levels = t.grams(order)
-        return _table(_GRAMS, [
-            (b, key[0].as_py(), level, _pack(words, at), _z(g["count"][at].astype("<u4")))
-            for level, (g, words) in enumerate(zip(levels, _spelt(levels, number), strict=True), 2)
-            for b, at in _dealt(words, buckets)])
+        parts: dict = {}
+        for i, (g, words) in enumerate(zip(levels, _spelt(levels, number), strict=True)):
+            for b, at in _dealt(words, buckets):
+                parts.setdefault(b, [(b"", b"")] * len(levels))[i] = _pack(words, at), _z(g["count"][at].astype("<u4"))
+        return _table(_GRAMS, [(b, key[0].as_py(), [w for w, _ in p], [c for _, c in p]) for b, p in parts.items()])
 
     return send
 
@@ -292,14 +293,18 @@ def _totals(words: list[np.ndarray], count: np.ndarray) -> np.ndarray:
 
 def _sum_grams(key: tuple, table: pa.Table) -> pa.Table:
     release_memory()
-    out = []
-    for level in sorted(set(table["level"].to_pylist())):
-        rows = table.filter(pc.equal(table["level"], level)).to_pylist()
-        words = [_unpack(r["words"], level) for r in rows]
+    rows = table.to_pylist()
+    answers: list = [[] for _ in rows]
+    for i in range(len(rows[0]["words"])):
+        own = [j for j, r in enumerate(rows) if r["words"][i]]
+        if not own:
+            continue
+        words = [_unpack(rows[j]["words"][i], i + 2) for j in own]
         cut = np.cumsum([0, *(w.shape[1] for w in words)])
-        total = _totals(list(np.concatenate(words, axis=1)), np.concatenate([_u(r["counts"], "<u4") for r in rows]).astype(np.int64))
-        out += [(r["block"], r["bucket"], level, _z(total[x:y]), None) for r, x, y in zip(rows, cut[:-1], cut[1:], strict=True)]
-    return _table(_SEEN, out)
+        total = _totals(list(np.concatenate(words, axis=1)), np.concatenate([_u(rows[j]["counts"][i], "<u4") for j in own]).astype(np.int64))
+        for j, x, y in zip(own, cut[:-1], cut[1:], strict=True):
+            answers[j].append(total[x:y])
+    return _table(_SEEN, [(r["block"], r["bucket"], 1, _z(np.concatenate(t)), None) for r, t in zip(rows, answers, strict=True)])
 
 
 def automaton(count: np.ndarray, starts: int, a: np.ndarray, b: np.ndarray, seen: np.ndarray, n: int, v: int, mu: float,
@@ -343,11 +348,13 @@ def _score(buckets: int, order: int, n: int, v: int, starts: int, mu: float, sch
         rows = back.to_pylist()
         count, number = _read_known(t, [r for r in rows if r["kind"] == 0], buckets)
         levels = t.grams(order)
-        for level, (g, words) in enumerate(zip(levels, _spelt(levels, number), strict=True), 2):
-            got = {r["bucket"]: r["a"] for r in rows if r["kind"] == level}
+        got = {r["bucket"]: _u(r["a"]) for r in rows if r["kind"] == 1}
+        used = dict.fromkeys(got, 0)
+        for g, words in zip(levels, _spelt(levels, number), strict=True):
             g["seen"] = np.zeros(len(g["word"]), np.int64)
             for k, at in _dealt(words, buckets):
-                g["seen"][at] = _u(got[k])
+                g["seen"][at] = got[k][used[k]:used[k] + len(at)]
+                used[k] += len(at)
         first, *rest = levels
         model = automaton(count, starts, first["history"], first["word"], first["seen"], n, v, mu,
                           tuple((g["history"], g["word"], g["suffix"], g["seen"]) for g in rest))
