@@ -3,7 +3,12 @@
 A Python data source whose Arrow writers stream their partition into a hidden staging folder of the target and whose commit
 gives the files their names: shard numbers are partition numbers, the total is known once all tasks are through. An empty
 shard is a file too (its header, or nothing). A failed or repeated attempt leaves its file in the staging folder, which goes
-away with commit or abort. Rows may be *pieces* of lines, so that one line can be longer than any row.
+away with commit or abort.
+
+Rows may be *pieces* of lines, so that one line can be longer than any row, and a shard larger than any task's share: the
+pieces, in the order of the files, are cut evenly over the tasks, each writes its slice of a shard as a part, and a second job
+joins the parts, one task for each. Where the store writes a file at any position (local and mounted folders), every part goes
+straight to its place; a file of another store has one writer, which appends the shard's parts and holds none of them.
 
 Targets are paths or URIs that ``pyarrow.fs`` opens (local and mounted folders, S3, GCS, HDFS with libhdfs).
 """
@@ -18,12 +23,13 @@ from pyspark.sql import functions as F
 from sparkloom.functions.formatting import COGROUP_KEY_SEP, COGROUP_SIDE_SEP, KEY_SEP, LIST_CLOSE, LIST_OPEN, LIST_SEP
 from sparkloom.operators import keyed
 
-FORMAT = "sparkloom_shards"
+FORMAT, PARTS = "sparkloom_shards", "sparkloom_shard_parts"
+BLOCK = 1 << 20  # bytes of a part that are held as it is joined
 
 
-def _source():
-    """The data source class. It is made here so that it travels to the workers by value, installed package or not."""
-    from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+def _sources():
+    """The data source classes. They are made here so that they travel to the workers by value, installed package or not."""
+    from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
     def open_store(path):
         from pyarrow import fs
@@ -32,6 +38,14 @@ def _source():
             path = "/" + path[len("file:"):].lstrip("/")
         return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
+    def put(out, text):
+        """Append the bytes of a string array, which lie one after the other."""
+        for chunk in text.chunks if hasattr(text, "chunks") else [text]:
+            offsets = memoryview(chunk.buffers()[1]).cast("q")
+            a, z = offsets[chunk.offset], offsets[chunk.offset + len(chunk)]
+            if z > a:
+                out.write(chunk.buffers()[2].slice(a, z - a))
+
     class Shard(WriterCommitMessage):
         def __init__(self, number, file):
             self.number, self.file = number, file
@@ -56,33 +70,17 @@ def _source():
             with store.open_output_stream(file) as out:
                 if self.header is not None:
                     out.write((self.header + "\n").encode())
-                any_line = False
                 for batch in iterator:
-                    if not batch.num_rows:
-                        continue
-                    text = batch.column("value").cast(pa.large_string()).fill_null("")
-                    if "first" in batch.schema.names:  # pieces: a line ends where the next one begins
-                        begins = batch.column("first")
-                        if not any_line:
-                            begins = pa.concat_arrays([pa.array([False]), begins.slice(1)])
-                        text = pc.binary_join_element_wise(pc.if_else(begins, pa.scalar(close, pa.large_string()), pa.scalar("", pa.large_string())), text, pa.scalar("", pa.large_string()))
-                    else:
-                        text = pc.binary_join_element_wise(text, pa.scalar(close, pa.large_string()), pa.scalar("", pa.large_string()))
-                    any_line = True
-                    for chunk in text.chunks if isinstance(text, pa.ChunkedArray) else [text]:
-                        offsets = memoryview(chunk.buffers()[1]).cast("q")
-                        a, z = offsets[chunk.offset], offsets[chunk.offset + len(chunk)]
-                        if z > a:
-                            out.write(chunk.buffers()[2].slice(a, z - a))
-                if any_line and "first" in batch.schema.names:
-                    out.write(close.encode())
+                    if batch.num_rows:
+                        text = batch.column("value").cast(pa.large_string()).fill_null("")
+                        put(out, pc.binary_join_element_wise(text, pa.scalar(close, pa.large_string()), pa.scalar("", pa.large_string())))
             return Shard(task.partitionId(), file.rsplit("/", 1)[1])
 
         def commit(self, messages):
             store, root = open_store(self.path)
             if self.overwrite:
                 self.clear(store, root)
-            shards = {m.number: m.file for m in messages if m is not None}
+            shards = {m.number: m.file for m in messages if m is not None and m.file is not None}
             total = self.total or len(shards)
             for number in range(total):
                 name = f"{root}/{self.prefix}-{number:05d}-of-{total:05d}{self.suffix}"
@@ -107,6 +105,131 @@ def _source():
             if store.get_file_info(f"{root}/{self.staging}").type != fs.FileType.NotFound:
                 store.delete_dir(f"{root}/{self.staging}")
 
+    class PartWriter(ShardWriter):
+        """Pieces in the order of the files: each task's slice of a shard is a part, ``partition-shard-attempt``. A line ends where
+        the next one begins, so every line of a part comes after an end; the shard's first part has one too many."""
+
+        def write(self, iterator):
+            import pyarrow as pa
+            import pyarrow.compute as pc
+            from pyspark import TaskContext
+
+            task = TaskContext.get()
+            store, root = open_store(self.path)
+            store.create_dir(f"{root}/{self.staging}", recursive=True)
+            close, none = pa.scalar(self.line_end + "\n", pa.large_string()), pa.scalar("", pa.large_string())
+            out, files = None, {}
+            try:
+                for batch in iterator:
+                    text = batch.column("value").cast(pa.large_string()).fill_null("")
+                    text = pc.binary_join_element_wise(pc.if_else(batch.column("first"), close, none), text, none)
+                    for number in pc.unique(batch.column("shard")).to_pylist():
+                        if number not in files:
+                            if out is not None:
+                                out.close()
+                            files[number] = f"{task.partitionId()}-{number}-{task.taskAttemptId()}"
+                            out = store.open_output_stream(f"{root}/{self.staging}/{files[number]}")
+                        put(out, text.filter(pc.equal(batch.column("shard"), number)))
+            finally:
+                if out is not None:
+                    out.close()
+            return Shard(task.partitionId(), files)
+
+        def commit(self, messages):
+            import json
+
+            store, root = open_store(self.path)
+            store.create_dir(f"{root}/{self.staging}", recursive=True)
+            with store.open_output_stream(f"{root}/{self.staging}/parts") as out:  # files of other attempts are not on it
+                out.write(json.dumps([(m.number, number, file) for m in messages if m is not None for number, file in m.file.items()]).encode())
+
+    class Places(InputPartition):
+        def __init__(self, rows, anywhere):
+            self.rows, self.anywhere = rows, anywhere
+
+    class PartReader(DataSourceReader):
+        """The parts and their places in the shards: a partition for each part, or for each shard whose file has one writer."""
+
+        def __init__(self, options):
+            self.path, self.line_end = options["path"].rstrip("/"), options.get("line_end", "")
+            self.staging = f"_shards-{options['job']}"
+
+        def partitions(self):
+            import json
+
+            store, root = open_store(self.path)
+            with store.open_input_stream(f"{root}/{self.staging}/parts") as listed:
+                parts = sorted(json.loads(listed.read()))
+            sizes = store.get_file_info([f"{root}/{self.staging}/{file}" for _, _, file in parts])
+            shards = {}
+            for (_, number, file), info in zip(parts, sizes, strict=True):
+                shards.setdefault(number, []).append((file, info.size))
+            placed = []
+            for number, files in sorted(shards.items()):
+                at, rows = 0, []
+                for i, (file, size) in enumerate(files):
+                    skip = 0 if i else len((self.line_end + "\n").encode())
+                    rows.append((number, file, skip, at, i + 1 == len(files)))
+                    at += size - skip
+                placed.append(rows)
+            anywhere = bool(placed) and self.anywhere(store, f"{root}/{self.staging}/trial")
+            if anywhere:
+                placed = [[row] for rows in placed for row in rows]
+            return [Places(rows, anywhere) for rows in placed or [[]]]
+
+        def anywhere(self, store, file):
+            """Whether the store writes a file at any position (not every mounted folder does)."""
+            import os
+
+            from pyarrow import fs
+
+            if not isinstance(store, fs.LocalFileSystem):
+                return False
+            try:
+                with open(os.open(file, os.O_RDWR | os.O_CREAT), "r+b", buffering=0) as out:
+                    return os.pwrite(out.fileno(), b"z", 1) + os.pwrite(out.fileno(), b"a", 0) == 2 and os.pread(out.fileno(), 2, 0) == b"az"
+            except OSError:
+                return False
+            finally:
+                if os.path.exists(file):
+                    os.remove(file)
+
+        def read(self, partition):
+            for row in partition.rows:
+                yield (*row, partition.anywhere)
+
+    class JoinWriter(ShardWriter):
+        """Parts into whole shards. A task has one part and writes it at its place (a repeated attempt writes the same bytes
+        there), or all parts of a shard in their order."""
+
+        def write(self, iterator):
+            import os
+
+            from pyspark import TaskContext
+
+            store, root = open_store(self.path)
+            number, file, out = None, None, None
+            try:
+                for row in (r for batch in iterator for r in batch.to_pylist()):
+                    if out is None:
+                        number = row["shard"]
+                        file = f"whole-{number}" if row["anywhere"] else f"whole-{number}-{TaskContext.get().taskAttemptId()}"
+                        if row["anywhere"]:
+                            out = open(os.open(f"{root}/{self.staging}/{file}", os.O_WRONLY | os.O_CREAT, 0o666), "wb")
+                            out.seek(row["at"])
+                        else:
+                            out = store.open_output_stream(f"{root}/{self.staging}/{file}")
+                    with store.open_input_stream(f"{root}/{self.staging}/{row['file']}") as part:
+                        part.read(row["skip"])
+                        while block := part.read(BLOCK):
+                            out.write(block)
+                    if row["last"]:
+                        out.write((self.line_end + "\n").encode())
+            finally:
+                if out is not None:
+                    out.close()
+            return Shard(number, file)
+
     class Shards(DataSource):
         @classmethod
         def name(cls):
@@ -116,16 +239,28 @@ def _source():
             return "value string"
 
         def writer(self, schema, overwrite):
-            return ShardWriter(dict(self.options), overwrite)
+            return {"parts": PartWriter, "join": JoinWriter}.get(self.options.get("step"), ShardWriter)(dict(self.options), overwrite)
+
+    class Parts(DataSource):
+        @classmethod
+        def name(cls):
+            return PARTS
+
+        def schema(self):
+            return "shard int, file string, skip bigint, at bigint, last boolean, anywhere boolean"
+
+        def reader(self, schema):
+            return PartReader(dict(self.options))
 
-    return Shards
+    return Shards, Parts
 
 
-def _save(df: DataFrame, path: str, prefix: str, suffix: str, header: str | None, mode: str, num_shards: int | None, line_end: str = "") -> str:
-    spark = df.sparkSession
-    spark.dataSource.register(_source())
+def _save(df: DataFrame, path: str, prefix: str, suffix: str, header: str | None, mode: str, num_shards: int | None, line_end: str = "",
+          job: str | None = None, step: str = "whole") -> str:
+    for source in _sources():
+        df.sparkSession.dataSource.register(source)
     writer = df.write.format(FORMAT).mode(mode).option("path", path).option("prefix", prefix).option("suffix", suffix)
-    writer = writer.option("job", uuid.uuid4().hex).option("line_end", line_end)
+    writer = writer.option("job", job or uuid.uuid4().hex).option("line_end", line_end).option("step", step)
     writer = writer.option("num_shards", str(num_shards or 0))
     (writer if header is None else writer.option("header", header)).save()
     return path
@@ -150,17 +285,23 @@ def write_named_lines(df: DataFrame, path: str, prefix: str = "part", suffix: st
 # A1 / J1 whose lines are longer than any row
 # --------------------------------------------------------------------------------------------
 def _write_pieces(pieces: DataFrame, order: list[str], path: str, num_shards: int, prefix: str, suffix: str, mode: str) -> str:
-    placed = pieces.repartition(num_shards, F.col(order[0])).sortWithinPartitions(*order)
-    return _save(placed.select("value", "first"), path, prefix, suffix, None, mode, num_shards, LIST_CLOSE)
+    """A key's shard is its hash's; the pieces are cut over the tasks by their order in the files, so that neither a shard nor a
+    line is one task's share."""
+    numbered = pieces.select(F.pmod(F.hash(order[0]), F.lit(num_shards)).alias("shard"), "*")
+    placed = numbered.repartitionByRange("shard", *order).sortWithinPartitions("shard", *order)
+    job = uuid.uuid4().hex
+    _save(placed.select("shard", "value", "first"), path, prefix, suffix, None, mode, num_shards, LIST_CLOSE, job, "parts")
+    parts = pieces.sparkSession.read.format(PARTS).option("path", path).option("job", job).option("line_end", LIST_CLOSE).load()
+    return _save(parts, path, prefix, suffix, None, mode, num_shards, LIST_CLOSE, job, "join")
 
 
 def write_group_lines(df: DataFrame, path: str, key: str = "k", value: str = "v", num_shards: int = 1, chunk_size: int = 10_000,
                       prefix: str = "part", suffix: str = "", mode: str = "append") -> str:
     """A1 + P6 + K1 for groups of any size: one line ``key:[v1, v2, ...]`` per key, values ascending.
 
-    The lists are made as chunks (``group_chunks``: sorted runs, no row or task holds a group); a shard's task then appends the
-    chunks of its keys to its file, one after the other. Memory is a batch of chunks, whatever a key holds; a key's line lies in
-    one file, so writing it is one task's work, but not sorting or rendering it. A NULL key reads ``null``."""
+    The lists are made as chunks (``group_chunks``: sorted runs, no row or task holds a group), which are written as parts of the
+    shards and joined. Memory is a batch of chunks, whatever a key holds; a key's line lies in one file, but sorting, rendering
+    and writing it are many tasks' work. A NULL key reads ``null``."""
     chunks = keyed.group_chunks(df, key, value, chunk_size)
     head = F.concat(F.coalesce(F.col(key).cast("string"), F.lit("null")), F.lit(KEY_SEP + LIST_OPEN))
     first = F.col("chunk") == F.lit(0)
