@@ -56,6 +56,8 @@ def _sources():
             self.prefix, self.suffix = options.get("prefix", "part"), options.get("suffix", "")
             self.header, self.line_end = options.get("header"), options.get("line_end", "")
             self.staging, self.total = f"_shards-{options['job']}", int(options.get("num_shards", "0"))
+            store, root = open_store(self.path)  # on the driver, once: a task that comes after an abort finds no folder
+            store.create_dir(f"{root}/{self.staging}", recursive=True)
 
         def write(self, iterator):
             import pyarrow as pa
@@ -65,7 +67,6 @@ def _sources():
             task = TaskContext.get()
             store, root = open_store(self.path)
             file = f"{root}/{self.staging}/{task.partitionId():05d}-{task.taskAttemptId()}"
-            store.create_dir(f"{root}/{self.staging}", recursive=True)
             close = self.line_end + "\n"
             with store.open_output_stream(file) as out:
                 if self.header is not None:
@@ -116,7 +117,6 @@ def _sources():
 
             task = TaskContext.get()
             store, root = open_store(self.path)
-            store.create_dir(f"{root}/{self.staging}", recursive=True)
             close, none = pa.scalar(self.line_end + "\n", pa.large_string()), pa.scalar("", pa.large_string())
             out, files = None, {}
             try:
@@ -139,7 +139,6 @@ def _sources():
             import json
 
             store, root = open_store(self.path)
-            store.create_dir(f"{root}/{self.staging}", recursive=True)
             with store.open_output_stream(f"{root}/{self.staging}/parts") as out:  # files of other attempts are not on it
                 out.write(json.dumps([(m.number, number, file) for m in messages if m is not None for number, file in m.file.items()]).encode())
 
